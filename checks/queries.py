@@ -1,0 +1,426 @@
+"""One query per operator or load, each over the whole given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.views import Tables
+from stratamart.model import (
+    CATEGORIES,
+    CITIES,
+    COUNTRIES,
+    CUSTOMERS,
+    DECLARED,
+    DIMENSIONS,
+    FACT_DIMENSIONS,
+    PRODUCTS,
+    SALES,
+    SALES_PARTITIONS,
+    SELLERS,
+    TRANSACTION,
+    Lake,
+)
+from stratamart.operators.audit import load_audit
+from stratamart.operators.dimensions import first_load, merge_changes
+from stratamart.operators.keys import extend_keys, number_rows
+from stratamart.operators.lookup import current_versions, swap_keys, swap_keys_at_date
+from stratamart.operators.pricing import conform_sales, price_as_of, price_by_product, with_calendar, with_totals
+from stratamart.operators.quality import quality_report
+from stratamart.operators.shaping import merge_names, move_after, stack
+from stratamart.operators.watermark import high_watermark, newer_than, newer_than_table, read_watermark
+from stratamart.plans import bronze, gold, incremental, silver
+from stratamart.plans.report import sales_by_month as monthly
+from stratamart.sinks.tables import append_partitioned, overwrite, overwrite_partitioned
+from stratamart.sources.landing import scan_csv
+from stratamart.sources.tables import scan_partition, scan_table, scan_table_if_present
+from stratamart.workspace import new_folder
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+# Load dates fall inside the span of the sales, so that both versions of a customer are in use.
+FIRST_LOAD = "1996-01-01"
+SECOND_LOAD = "1998-06-01"
+
+
+def query(name: str) -> Callable[[Callable[[Tables], DataFrame]], None]:
+    """Register the decorated function under ``name``."""
+
+    def register(build: Callable[[Tables], DataFrame]) -> None:
+        QUERIES[name] = lambda spark, folder: comparable(build(Tables(spark, folder)))
+
+    return register
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and dates as ISO text, which Spark and other engines hand out alike."""
+    shown = []
+    for f in df.schema.fields:
+        column = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            column = column.cast("double").alias(f.name)
+        elif isinstance(f.dataType, T.DateType):
+            column = column.cast("string").alias(f.name)
+        shown.append(column)
+    return df.select(*shown)
+
+
+def new_lake(t: Tables) -> Lake:
+    return Lake.under(new_folder(t.spark, "lake"))
+
+
+def land(df: DataFrame, path: str) -> None:
+    df.write.option("header", True).csv(path)
+
+
+def land_dimensions(t: Tables, lake: Lake) -> None:
+    for table, rows in dimension_sources(t).items():
+        land(rows, lake.landing_file(table))
+
+
+def dimension_sources(t: Tables) -> dict[str, DataFrame]:
+    return {
+        CATEGORIES: t.categories(),
+        PRODUCTS: t.products(),
+        CUSTOMERS: t.customers(),
+        CITIES: t.cities(),
+        COUNTRIES: t.countries(),
+        SELLERS: t.sellers(),
+    }
+
+
+# --- sources -----------------------------------------------------------------------------------
+
+
+@query("bronze_csv_scan")
+def bronze_csv_scan(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    land(t.sales(), lake.landing_file(SALES))
+    return scan_csv(t.spark, lake.landing_file(SALES), DECLARED[SALES])
+
+
+@query("bronze_csv_batches")
+def bronze_csv_batches(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    sales = t.sales()
+    land(t.second_batch(sales), lake.landing_file("vendas_2"))
+    land(t.third_batch(sales), lake.landing_file("vendas_3"))
+    bronze.ingest_sales_batches(t.spark, lake, ["vendas_2", "vendas_3"])
+    return stack(*(scan_table(t.spark, lake.table("bronze", b)) for b in ("vendas_2", "vendas_3")))
+
+
+@query("table_scan")
+def table_scan(t: Tables) -> DataFrame:
+    return scan_table(t.spark, f"{t.folder}/lineitem.parquet")
+
+
+@query("partition_scan")
+def partition_scan(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, SALES)
+    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, SALES_PARTITIONS)
+    return scan_partition(t.spark, path, Ano=1998, Mes=1)
+
+
+# --- sinks -------------------------------------------------------------------------------------
+
+
+@query("overwrite_roundtrip")
+def overwrite_roundtrip(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, CUSTOMERS)
+    overwrite(t.sellers(), path)
+    overwrite(t.customers(), path)
+    return scan_table(t.spark, path)
+
+
+@query("partitioned_overwrite")
+def partitioned_overwrite(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, SALES)
+    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, ("ano", "mes"))
+    return scan_table(t.spark, path)
+
+
+@query("partitioned_append")
+def partitioned_append(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, SALES)
+    sales = with_calendar(t.sale_lines().drop("_order"))
+    overwrite_partitioned(t.first_batch(sales), path, SALES_PARTITIONS)
+    held = scan_table(t.spark, path).schema
+    append_partitioned(t.third_batch(sales), path, SALES_PARTITIONS, target=held)
+    return scan_table(t.spark, path)
+
+
+# --- projections and filters -------------------------------------------------------------------
+
+
+@query("drop_columns")
+def drop_columns(t: Tables) -> DataFrame:
+    return t.customers().drop("PrimeiroNome", "NomeDoMeio", "UltimoNome", "NotThere")
+
+
+@query("fact_column_order")
+def fact_column_order(t: Tables) -> DataFrame:
+    priced = price_by_product(t.sales().drop(TRANSACTION), t.products())
+    return with_totals(priced.select(*reversed(priced.columns)))
+
+
+@query("reorder_after_key")
+def reorder_after_key(t: Tables) -> DataFrame:
+    return move_after(t.cities().select("Cidade", "CidadeID", "PaisID"), "PaisID", "CidadeID")
+
+
+@query("filter_equality")
+def filter_equality(t: Tables) -> DataFrame:
+    return t.products().filter(F.col("ProdutoID") == 101).select("ProdutoID", "DataCadastro")
+
+
+@query("incremental_filter")
+def incremental_filter(t: Tables) -> DataFrame:
+    sales = t.sale_lines().drop("_order")
+    return newer_than_table(stack(t.second_batch(sales), t.third_batch(sales)), t.first_batch(sales))
+
+
+@query("incremental_bootstrap")
+def incremental_bootstrap(t: Tables) -> DataFrame:
+    absent = scan_table_if_present(t.spark, new_folder(t.spark, SALES))
+    return newer_than(t.sale_lines().drop("_order"), read_watermark(absent))
+
+
+# --- joins, aggregate, union -------------------------------------------------------------------
+
+
+@query("price_lookup_join")
+def price_lookup_join(t: Tables) -> DataFrame:
+    return price_by_product(t.sale_lines().drop("_order"), t.products())
+
+
+@query("fact_sk_lookup")
+def fact_sk_lookup(t: Tables) -> DataFrame:
+    sources = dimension_sources(t)
+    dimensions = [(spec, number_rows(sources[spec.table], spec.key, spec.sk)) for spec in FACT_DIMENSIONS]
+    return swap_keys(t.sales().drop(TRANSACTION), dimensions)
+
+
+@query("high_watermark")
+def high_watermark_of_sales(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, SALES)
+    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, SALES_PARTITIONS)
+    return high_watermark(scan_table(t.spark, path))
+
+
+@query("union_batches")
+def union_batches(t: Tables) -> DataFrame:
+    sales = t.sale_lines().drop("_order")
+    third = t.third_batch(sales)
+    return stack(t.second_batch(sales), third.select(*reversed(third.columns)))
+
+
+# --- layers ------------------------------------------------------------------------------------
+
+
+@query("bronze_ingest")
+def bronze_ingest(t: Tables) -> DataFrame:
+    """Row and distinct-row counts of the seven bronze tables after a landing-zone ingest."""
+    lake = new_lake(t)
+    land_dimensions(t, lake)
+    land(t.first_batch(t.sales()), lake.landing_file(SALES))
+    bronze.ingest(t.spark, lake)
+    tables = [*dimension_sources(t), SALES]
+    return stack(*(_profile(scan_table(t.spark, lake.table("bronze", n)), n) for n in tables))
+
+
+def _profile(df: DataFrame, table: str) -> DataFrame:
+    return df.agg(
+        F.count("*").alias("linhas"), F.sum(F.length(F.concat_ws("|", *df.columns))).alias("caracteres")
+    ).select(F.lit(table).alias("tabela"), "linhas", "caracteres")
+
+
+@query("silver_customers")
+def silver_customers(t: Tables) -> DataFrame:
+    return merge_names(t.customers(), "ClienteID")
+
+
+@query("silver_sellers")
+def silver_sellers(t: Tables) -> DataFrame:
+    return merge_names(t.sellers(), "VendedorID")
+
+
+@query("silver_passthrough")
+def silver_passthrough(t: Tables) -> DataFrame:
+    """Every value of the four tables silver takes over unchanged, one text per row."""
+    lake = new_lake(t)
+    sources = dimension_sources(t)
+    for table in (*silver.UNCHANGED, CUSTOMERS, SELLERS):
+        overwrite(sources[table], lake.table("bronze", table))
+    silver.build_dimensions(t.spark, lake)
+    kept = [(n, scan_table(t.spark, lake.table("silver", n))) for n in silver.UNCHANGED]
+    return stack(*(df.select(F.lit(n).alias("tabela"), F.concat_ws("|", *df.columns).alias("linha")) for n, df in kept))
+
+
+@query("silver_sales")
+def silver_sales(t: Tables) -> DataFrame:
+    return conform_sales(t.sales(), t.products())
+
+
+def _gold_dimension(table: str) -> Callable[[Tables], DataFrame]:
+    def build(t: Tables) -> DataFrame:
+        rows = dimension_sources(t)[table]
+        if table in silver.PERSONS:
+            rows = merge_names(rows, silver.PERSONS[table])
+        return first_load(rows, DIMENSIONS[table], FIRST_LOAD)
+
+    return build
+
+
+for _name, _table in {
+    "gold_dim_customer": CUSTOMERS,
+    "gold_dim_seller": SELLERS,
+    "gold_dim_product": PRODUCTS,
+    "gold_dim_category": CATEGORIES,
+    "gold_dim_city": CITIES,
+    "gold_dim_country": COUNTRIES,
+}.items():
+    query(_name)(_gold_dimension(_table))
+
+
+@query("gold_sales")
+def gold_sales(t: Tables) -> DataFrame:
+    """Dimensions are stored first; the fact takes its keys from the stored ones."""
+    lake = new_lake(t)
+    sources = dimension_sources(t)
+    for spec in FACT_DIMENSIONS:
+        overwrite(first_load(sources[spec.table], spec, FIRST_LOAD), lake.table("gold", spec.table))
+    stored = [(spec, current_versions(rows)) for spec, rows in gold.stored_dimensions(t.spark, lake)]
+    return swap_keys(conform_sales(t.sales(), t.products()), stored)
+
+
+def _silver_after_increment(t: Tables, lake: Lake) -> DataFrame:
+    """Fill bronze and silver from the first batch, then add the other two; returns the audit."""
+    sales = t.sales()
+    overwrite(t.products(), lake.table("bronze", PRODUCTS))
+    overwrite_partitioned(
+        conform_sales(t.first_batch(sales), t.products()), lake.table("silver", SALES), SALES_PARTITIONS
+    )
+    overwrite(t.second_batch(sales), lake.table("bronze", "vendas_2"))
+    overwrite(t.third_batch(sales), lake.table("bronze", "vendas_3"))
+    return incremental.append_sales(t.spark, lake, ["vendas_2", "vendas_3"])
+
+
+@query("incremental_silver_sales")
+def incremental_silver_sales(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    _silver_after_increment(t, lake)
+    return scan_table(t.spark, lake.table("silver", SALES))
+
+
+# --- history, quality, audit -------------------------------------------------------------------
+
+
+@query("surrogate_keys")
+def surrogate_keys(t: Tables) -> DataFrame:
+    """Early buyers already have keys; all customers are then keyed, the early ones unchanged."""
+    known = number_rows(_early_customers(t).select("ClienteID"), "ClienteID", "SK_Cliente")
+    return extend_keys(known, t.customers().select("ClienteID"), "ClienteID", "SK_Cliente")
+
+
+def _early_customers(t: Tables) -> DataFrame:
+    early = t.read("orders").filter(F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz"))
+    return t.customers().join(early, F.col("ClienteID") == F.col("o_custkey"), "left_semi")
+
+
+def _dimension_of_early_customers(t: Tables) -> DataFrame:
+    return first_load(merge_names(_early_customers(t), "ClienteID"), DIMENSIONS[CUSTOMERS], FIRST_LOAD)
+
+
+def _later_extract(t: Tables) -> DataFrame:
+    """All accounts still open; some customers moved, some lost or gained a city."""
+    balance = F.col("Saldo")
+    city = (
+        F.when(balance >= 9000, F.col("CidadeID") + 1)
+        .when((balance >= 8000) & (balance < 8500), F.lit(None).cast("int"))
+        .otherwise(F.col("CidadeID"))
+    )
+    return merge_names(t.customers(), "ClienteID").filter(balance >= 0).withColumn("CidadeID", city)
+
+
+def _merged_customers(t: Tables) -> DataFrame:
+    return merge_changes(_dimension_of_early_customers(t), _later_extract(t), DIMENSIONS[CUSTOMERS], SECOND_LOAD)
+
+
+@query("scd2_merge")
+def scd2_merge(t: Tables) -> DataFrame:
+    return _merged_customers(t)
+
+
+@query("price_asof_join")
+def price_asof_join(t: Tables) -> DataFrame:
+    return price_as_of(t.sale_lines().drop("_order"), t.price_history())
+
+
+@query("fact_sk_point_in_time")
+def fact_sk_point_in_time(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    overwrite(_merged_customers(t), lake.table("gold", CUSTOMERS))
+    for spec, source in ((DIMENSIONS[SELLERS], t.sellers()), (DIMENSIONS[PRODUCTS], t.products())):
+        overwrite(first_load(source, spec, FIRST_LOAD), lake.table("gold", spec.table))
+    return swap_keys_at_date(t.sales().drop(TRANSACTION), gold.stored_dimensions(t.spark, lake))
+
+
+@query("fact_sk_current")
+def fact_sk_current(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    overwrite(_merged_customers(t), lake.table("gold", CUSTOMERS))
+    stored = gold.stored_dimensions(t.spark, lake, [DIMENSIONS[CUSTOMERS]])
+    return swap_keys(t.sales().drop(TRANSACTION), [(spec, current_versions(rows)) for spec, rows in stored])
+
+
+@query("gold_incremental_refresh")
+def gold_incremental_refresh(t: Tables) -> DataFrame:
+    lake = new_lake(t)
+    sources = dimension_sources(t)
+    for spec in FACT_DIMENSIONS:
+        overwrite(first_load(sources[spec.table], spec, FIRST_LOAD), lake.table("gold", spec.table))
+    overwrite(t.products(), lake.table("bronze", PRODUCTS))
+    sales = t.sales()
+    overwrite_partitioned(
+        conform_sales(t.first_batch(sales), t.products()), lake.table("silver", SALES), SALES_PARTITIONS
+    )
+    gold.build_sales(t.spark, lake)
+    overwrite(t.second_batch(sales), lake.table("bronze", "vendas_2"))
+    overwrite(t.third_batch(sales), lake.table("bronze", "vendas_3"))
+    incremental.append_sales(t.spark, lake, ["vendas_2", "vendas_3"])
+    gold.refresh_sales(t.spark, lake)
+    return scan_table(t.spark, lake.table("gold", SALES))
+
+
+@query("dq_summary")
+def dq_summary(t: Tables) -> DataFrame:
+    """Early buyers stand in for the customer table, so that there are orphans to report."""
+    path = new_folder(t.spark, SALES)
+    overwrite_partitioned(conform_sales(t.sales(), t.products()), path, SALES_PARTITIONS)
+    parents = {
+        "ClienteID": (CUSTOMERS, _early_customers(t)),
+        "VendedorID": (SELLERS, t.sellers()),
+        "ProdutoID": (PRODUCTS, t.price_history()),
+        "CidadeID": (CITIES, t.cities()),
+        "PaisID": (COUNTRIES, t.countries()),
+        "CategoriaID": (CATEGORIES, t.categories()),
+    }
+    return quality_report(scan_table(t.spark, path), SALES, parents)
+
+
+@query("load_audit")
+def load_audit_of_batches(t: Tables) -> DataFrame:
+    sales = t.sale_lines()
+    mark = read_watermark(t.first_batch(sales))
+    batches = {"vendas_2": t.second_batch(sales), "vendas_3": t.third_batch(sales)}
+    return load_audit(stack(*(b.withColumn("lote", F.lit(n)) for n, b in batches.items())), mark)
+
+
+@query("sales_by_month")
+def sales_by_month(t: Tables) -> DataFrame:
+    priced = price_by_product(t.sale_lines().withColumn("ClienteID", F.lit(None).cast("bigint")), t.products())
+    return monthly(with_calendar(with_totals(priced)))

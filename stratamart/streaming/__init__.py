@@ -1,0 +1,2 @@
+"""Intentionally empty: every load is a bounded batch cut off by a high-water mark
+(see ``stratamart.operators.watermark``); nothing here runs as a stream."""
