@@ -186,7 +186,7 @@ _SELECTS = {
         for table, source, columns in (
             ("categorias", "categorias", "CategoriaID"),
             ("produtos", "produtos", "ProdutoID, Produto, CategoriaID, Preco, DataCadastro"),
-            ("clientes", "clientes", "ClienteID, PrimeiroNome, NomeDoMeio, UltimoNome, CidadeID, Saldo"),
+            ("clientes", "clientes", "ClienteID, PrimeiroNome, NomeDoMeio, UltimoNome, CidadeID, CAST(Saldo AS DOUBLE)"),
             ("cidades", "cidades", "CidadeID, Cidade, PaisID"),
             ("paises", "paises", "PaisID, Pais"),
             ("vendedores", "vendedores", "VendedorID, PrimeiroNome, NomeDoMeio, UltimoNome, CidadeID"),

@@ -223,7 +223,7 @@ def union_batches(t: Tables) -> DataFrame:
 
 @query("bronze_ingest")
 def bronze_ingest(t: Tables) -> DataFrame:
-    """Row and distinct-row counts of the seven bronze tables after a landing-zone ingest."""
+    """Rows of the seven bronze tables after a landing-zone ingest, and the length of their values."""
     lake = new_lake(t)
     land_dimensions(t, lake)
     land(t.first_batch(t.sales()), lake.landing_file(SALES))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from stratamart.model import DECLARED, LANDING_FILES, SALES, Lake
 from stratamart.sinks.tables import overwrite
@@ -12,14 +13,20 @@ from stratamart.sources.landing import scan_csv
 
 
 def ingest(spark: SparkSession, lake: Lake, tables: Iterable[str] = tuple(LANDING_FILES), infer: bool = False) -> None:
-    """Replace the bronze copy of each table by its landing file."""
+    """Replace the bronze copy of each table by its landing file.
+
+    Declared types are used unless ``infer`` asks for all types to be taken from the data.
+    """
     for table in tables:
-        declared = None if infer else DECLARED.get(table)
-        overwrite(scan_csv(spark, lake.landing_file(table), declared), lake.table("bronze", table), lake.fmt)
+        _copy(spark, lake, table, None if infer else DECLARED[table], infer_rest=table != SALES)
 
 
 def ingest_sales_batches(spark: SparkSession, lake: Lake, batches: Iterable[str], infer: bool = False) -> None:
     """Replace the bronze copy of each batch, a sales file of its own beside the first one."""
-    declared = None if infer else DECLARED[SALES]
     for batch in batches:
-        overwrite(scan_csv(spark, lake.landing_file(batch), declared), lake.table("bronze", batch), lake.fmt)
+        _copy(spark, lake, batch, None if infer else DECLARED[SALES], infer_rest=False)
+
+
+def _copy(spark: SparkSession, lake: Lake, table: str, declared: T.StructType | None, infer_rest: bool) -> None:
+    rows = scan_csv(spark, lake.landing_file(table), declared, infer_rest=infer_rest)
+    overwrite(rows, lake.table("bronze", table), lake.fmt)

@@ -15,22 +15,25 @@ def scan_csv(
     path: str,
     declared: T.StructType | None = None,
     delimiter: str = ",",
+    infer_rest: bool = True,
 ) -> DataFrame:
     """Scan a CSV file, or a folder of them, that starts with a header line.
 
-    With ``declared`` types no pass over the data is needed: only the header is read ahead, so
-    columns are matched by name and files may order them differently. Columns the declaration
-    does not name pass through as strings. Files of one folder whose headers disagree are
-    refused. Without ``declared`` the types are inferred, at the price of a second pass.
+    Declared columns are matched by name, so files may order them differently, and get their
+    declared type whatever a batch happens to contain. The types of other columns are inferred,
+    which takes a second pass over the file; with ``infer_rest`` off they stay strings, and only
+    the header is read ahead. Files of one folder whose headers disagree are refused.
     """
     reader = spark.read.option("sep", delimiter).option("header", True)
     if declared is None:
         return reader.option("inferSchema", True).csv(path)
 
-    header = reader.csv(path).columns
-    missing = sorted(set(declared.names) - set(header))
+    header = reader.csv(path).schema
+    missing = sorted(set(declared.names) - set(header.names))
     if missing:
         raise LandingFileError(f"{path} lacks the columns {', '.join(missing)}")
+    if infer_rest and set(header.names) - set(declared.names):
+        header = reader.option("inferSchema", True).csv(path).schema
     kinds = {f.name: f.dataType for f in declared.fields}
-    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in header.fields])
+    return reader.option("inferSchema", False).schema(schema).option("enforceSchema", False).csv(path)

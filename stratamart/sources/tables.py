@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Error conditions Spark raises when there is no table at a path yet.
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST"}
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
