@@ -1,0 +1,127 @@
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.operators.pricing import with_calendar
+from stratamart.sinks.tables import (
+    SchemaMismatch,
+    append_partitioned,
+    overwrite,
+    overwrite_partitioned,
+    replace_partitions,
+)
+from stratamart.sources.tables import scan_partition, scan_table, scan_table_if_present
+from tests.frames import plan_of, sales
+
+BY = ("Ano", "Mes")
+
+
+def three_months(spark):
+    return with_calendar(sales(spark, [(1, 1, "2018-01-05"), (2, 1, "2018-02-05"), (3, 1, "2019-02-05"), (4, 1, None)]))
+
+
+def test_overwrite_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite(spark.range(5), path)
+    overwrite(spark.range(2), path)
+    assert scan_table(spark, path).count() == 2
+
+
+def test_partition_folders_follow_the_schema_spelling(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(three_months(spark), path, ("ano", "mes"))
+    assert (Path(path) / "Ano=2018" / "Mes=1").is_dir()
+    assert set(scan_table(spark, path).columns) == set(three_months(spark).columns)
+
+
+def test_undated_rows_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(three_months(spark), path, BY)
+    back = scan_table(spark, path)
+    assert back.count() == 4
+    assert back.filter("Ano is null and Mes is null").first().VendasID == 4
+
+
+def test_partition_scan_keeps_columns_and_prunes(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(three_months(spark), path, BY)
+    part = scan_partition(spark, path, Ano=2018, Mes=1)
+    assert [(r.VendasID, r.Ano, r.Mes) for r in part.collect()] == [(1, 2018, 1)]
+    plan = plan_of(part, capsys)
+    assert "PartitionFilters: [" in plan and "2018" in plan.split("PartitionFilters: ")[1].splitlines()[0]
+    assert scan_partition(spark, path, Ano=None, Mes=None).first().VendasID == 4
+
+
+def test_unknown_partition_column(spark, tmp_path):
+    with pytest.raises(SchemaMismatch):
+        overwrite_partitioned(spark.range(1), str(tmp_path / "t"), ["Ano"])
+
+
+def test_append_matches_columns_by_name_and_widens(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(spark.sql("select 1L as id, cast(1.5 as decimal(12,2)) as v, 2018 as Ano"), path, ["Ano"])
+    held = scan_table(spark, path).schema
+    more = spark.sql("select 2019 as Ano, cast(2.5 as decimal(10,1)) as v, 2 as id")
+    append_partitioned(more, path, ["Ano"], target=held)
+    back = scan_table(spark, path)
+    assert back.schema == held
+    assert {tuple(r) for r in back.collect()} == {(1, Decimal("1.50"), 2018), (2, Decimal("2.50"), 2019)}
+
+
+@pytest.mark.parametrize(
+    "select",
+    [
+        "select 'x' as id, cast(1 as decimal(12,2)) as v, 2019 as Ano",
+        "select 1L as id, cast(1 as decimal(12,4)) as v, 2019 as Ano",
+        "select 1L as id, 1.0D as v, 2019 as Ano",
+        "select 1L as id, 2019 as Ano",
+        "select 1L as id, cast(1 as decimal(12,2)) as v, 2019 as Ano, 1 as extra",
+    ],
+)
+def test_append_refuses_what_does_not_fit(spark, tmp_path, select):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(spark.sql("select 1L as id, cast(1.5 as decimal(12,2)) as v, 2018 as Ano"), path, ["Ano"])
+    with pytest.raises(SchemaMismatch):
+        append_partitioned(spark.sql(select), path, ["Ano"], target=scan_table(spark, path).schema)
+    assert scan_table(spark, path).count() == 1
+
+
+def test_replace_touches_only_given_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_partitioned(three_months(spark), path, BY)
+    january = {p.name for p in (Path(path) / "Ano=2018" / "Mes=1").glob("*.parquet")}
+    february = with_calendar(sales(spark, [(7, 1, "2018-02-01"), (8, 1, "2018-02-02")]))
+    replace_partitions(february, path, BY)
+    assert {r.VendasID for r in scan_table(spark, path).collect()} == {1, 7, 8, 3, 4}
+    assert {p.name for p in (Path(path) / "Ano=2018" / "Mes=1").glob("*.parquet")} == january
+
+
+def test_month_holding_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(200_000, numPartitions=8).select(
+        "id",
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.lit(2018).alias("Ano"),
+        F.when(F.col("id") % 3 < 2, 1).otherwise((F.col("id") % 11 + 2).cast("int")).alias("Mes"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1MB")
+    try:
+        overwrite_partitioned(rows, str(tmp_path / "t"), BY)
+    finally:
+        spark.conf.unset(size)
+    files = {m: len(list((tmp_path / "t" / "Ano=2018" / f"Mes={m}").glob("*.parquet"))) for m in range(1, 13)}
+    assert files[1] > 3
+    assert sorted(files[m] for m in range(2, 13))[5] <= 2  # those not sharing the split partition
+    assert scan_table(spark, str(tmp_path / "t")).count() == 200_000
+
+
+def test_absent_and_empty_tables_are_none_but_broken_ones_raise(spark, tmp_path):
+    assert scan_table_if_present(spark, str(tmp_path / "absent")) is None
+    (tmp_path / "empty").mkdir()
+    assert scan_table_if_present(spark, str(tmp_path / "empty")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        scan_table_if_present(spark, str(tmp_path / "broken")).count()
