@@ -157,7 +157,7 @@ def _audit(batch: str) -> str:
 _SELECTS = {
     "bronze_csv_scan": f"SELECT {_SALE} FROM vendas",
     "bronze_csv_batches": f"SELECT {_SALE} FROM vendas_2 UNION ALL SELECT {_SALE} FROM vendas_3",
-    "table_scan": "SELECT * FROM lineitem",
+    "table_scan": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem",
     "partition_scan": f"SELECT {_LINE}, {_MONTH} FROM linhas WHERE year(DataVenda) = 1998 AND month(DataVenda) = 1",
     "overwrite_roundtrip": f"SELECT {_CUSTOMER} FROM clientes",
     "partitioned_overwrite": f"SELECT {_LINE}, {_MONTH} FROM linhas",

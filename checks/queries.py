@@ -57,13 +57,13 @@ def query(name: str) -> Callable[[Callable[[Tables], DataFrame]], None]:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and dates as ISO text, which Spark and other engines hand out alike."""
+    """Decimals as doubles, dates and times as ISO text, which Spark and other engines hand out alike."""
     shown = []
     for f in df.schema.fields:
         column = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             column = column.cast("double").alias(f.name)
-        elif isinstance(f.dataType, T.DateType):
+        elif isinstance(f.dataType, (T.DateType, T.TimestampNTZType)):
             column = column.cast("string").alias(f.name)
         shown.append(column)
     return df.select(*shown)

@@ -25,5 +25,5 @@ def load_audit(batches: DataFrame, mark: date | None, batch: str = "lote", colum
         F.count_if(day.isNull()).alias("sem_data"),
         F.min(column).alias("primeira_data"),
         F.max(column).alias("ultima_data"),
-        F.lit(mark).cast("date").alias("marca"),
+        F.lit(mark).cast(batches.schema[column].dataType).alias("marca"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratamart.functions.dates import open_end
 from stratamart.model import ACTIVE, SALE_DATE, VALID_FROM, VALID_TO, Dimension
-from stratamart.operators.broadcasting import BROADCAST_BYTES, broadcast_if_small
+from stratamart.operators.broadcasting import BROADCAST_BYTES, broadcast_if_small, fits_broadcast
 from stratamart.operators.validity import lookup_valid
 
 Dimensions = Iterable[tuple[Dimension, DataFrame]]
@@ -27,6 +27,16 @@ def swap_keys(fact: DataFrame, dimensions: Dimensions, limit: int = BROADCAST_BY
     return fact.drop(*(spec.key for spec, _ in dimensions))
 
 
+def keeps_clustering(dimensions: Dimensions, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether :func:`swap_keys` broadcasts every dimension and so leaves fact rows where they are."""
+    return all(fits_broadcast(rows.select(spec.key, spec.sk), limit) for spec, rows in dimensions)
+
+
+def keeps_clustering_at_date(dimensions: Dimensions, limit: int = BROADCAST_BYTES) -> bool:
+    """:func:`keeps_clustering` for :func:`swap_keys_at_date`."""
+    return all(fits_broadcast(open_ended(rows, spec), limit) for spec, rows in dimensions)
+
+
 def current_versions(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col(ACTIVE) == 1)
 

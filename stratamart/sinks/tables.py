@@ -19,16 +19,21 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
+def overwrite_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", clustered: bool = False
+) -> None:
+    """Replace the whole table; ``clustered`` as for :func:`gather`."""
     by = resolve(df, by)
-    gather(df, by).write.format(fmt).partitionBy(*by).mode("overwrite").save(path)
+    gather(df, by, clustered).write.format(fmt).partitionBy(*by).mode("overwrite").save(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", clustered: bool = False
+) -> None:
     """Overwrite only the storage partitions that ``df`` has rows for."""
     by = resolve(df, by)
     (
-        gather(df, by)
+        gather(df, by, clustered)
         .write.format(fmt)
         .partitionBy(*by)
         .option("partitionOverwriteMode", "dynamic")
@@ -55,14 +60,17 @@ def append_partitioned(
     gather(df, by).write.format(fmt).partitionBy(*by).mode("append").save(path)
 
 
-def gather(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def gather(df: DataFrame, by: Sequence[str], clustered: bool = False) -> DataFrame:
     """Bring rows of one storage partition together before a partitioned write.
 
     Without it each task writes a file into every partition it meets. The rebalance hint lets
     the adaptive planner split a partition that holds much of the table over many tasks and
     merge small ones, each task aiming at ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    ``clustered`` rows need no shuffle: they come straight from a scan of a table stored by the
+    same partitions, so that each task meets only the few its files belong to.
     """
-    return df.hint("rebalance", *by)
+    return df if clustered else df.hint("rebalance", *by)
 
 
 def resolve(df: DataFrame, names: Sequence[str]) -> list[str]:

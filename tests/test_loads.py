@@ -80,6 +80,15 @@ def test_full_load(spark, lake):
         assert {r.data_inicio for r in dim.collect()} == {date(2020, 1, 1)}
 
 
+def test_inferred_types_load_the_same_totals(spark, lake, tmp_path):
+    other = Lake(lake.landing, str(tmp_path / "b"), str(tmp_path / "s"), lake.gold)
+    bronze.ingest(spark, other, infer=True)
+    silver.build(spark, other)
+    assert table(spark, other, "bronze", "vendas").schema["DataVenda"].dataType.simpleString() == "date"
+    totals = by_id(table(spark, other, "silver", "vendas"), "PrecoTotal")
+    assert totals == by_id(table(spark, lake, "silver", "vendas"), "PrecoTotal")
+
+
 def test_swapping_keys_back_yields_the_natural_keys(spark, lake):
     fact, sold = table(spark, lake, "gold", "vendas"), table(spark, lake, "silver", "vendas")
     back = fact.join(table(spark, lake, "gold", "produtos"), "SK_Produto")

@@ -57,6 +57,11 @@ def test_total_is_missing_exactly_when_no_product_was_registered(spark):
     }
 
 
+def test_registration_later_on_the_sale_day_does_not_count(spark):
+    known = spark.sql("select 1L as ProdutoID, 2 as Preco, timestamp'2018-01-01 08:00:00' as DataCadastro")
+    assert prices(price_by_product(sales(spark, [(1, 1, "2018-01-01"), (2, 1, "2018-01-02")]), known)) == {1: None, 2: 2}
+
+
 def test_price_of_a_double_is_rounded_half_up(spark):
     known = spark.sql("select 1L as ProdutoID, 1.005D as Preco, date'2018-01-01' as DataCadastro")
     assert prices(price_by_product(sales(spark, [(1, 1, "2018-01-01")]), known)) == {1: Decimal("1.01")}
