@@ -12,16 +12,18 @@ _ROW_BITS = 33
 
 
 def number_rows(df: DataFrame, key: str, sk: str, after: int = 0) -> DataFrame:
-    """Add ``sk``: ``after`` + 1, + 2, ... in the order of ``key``, which must be unique.
+    """Add ``sk``: ``after`` + 1, + 2, ... in the order of ``key``, meant to be unique.
 
-    One range shuffle sorts the table over all tasks. Each row's partition and position are
-    written out before they are used, since a second run of the shuffle may draw other range
-    bounds. A running sum over one count per partition then turns positions into ranks, so
-    neither the driver nor any single task sees the rows.
+    One range shuffle sorts the table over all tasks; should rows share a key after all, a hash
+    of the whole row orders them and lets the shuffle part them. Each row's partition and
+    position are written out before they are used, since a second run of the shuffle may draw
+    other range bounds. A running sum over one count per partition then turns positions into
+    ranks, so neither the driver nor any single task sees the rows.
     """
+    order = [F.col(key), F.xxhash64(*df.columns)]
     placed = materialize(
-        df.repartitionByRange(key)
-        .sortWithinPartitions(key)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "keys",
     ).withColumn("_slice", F.shiftright("_place", _ROW_BITS))

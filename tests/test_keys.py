@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from stratamart.operators.keys import extend_keys, highest, number_rows
 
 
@@ -40,3 +42,18 @@ def test_known_keys_stay_and_new_ones_follow(spark):
     known = spark.createDataFrame([(5, 1), (9, 2)], "k bigint, sk bigint")
     df = spark.createDataFrame([(1,), (5,), (7,)], "k bigint")
     assert keyed(extend_keys(known, df, "k", "sk")) == {5: 1, 1: 3, 7: 4}
+
+
+def test_rows_sharing_a_key_are_spread_and_numbered_once(spark):
+    """A third of the rows have no key: no slice gets them all, and the numbering stays dense."""
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) as k", "concat('v', id) as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = number_rows(rows, "k", "sk").cache()
+        ranks = sorted(r.sk for r in out.collect())
+        hot = out.filter("k is null").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranks == list(range(1, 3001))
+    assert len(hot) > 1
+    assert sorted(r.sk for r in out.filter("k is null").collect()) == list(range(1, 1001))
