@@ -6,23 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Session setting with the largest join side to broadcast, and its value where it is not set.
+SETTING = "spark.stratamart.broadcastBytes"
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 # Bytes of one row in a broadcast hash table besides its fields: row header, key and pointers.
 _ROW_OVERHEAD = 40
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether counted rows at a fixed width per row stay within ``limit`` bytes.
 
-    Columns without a fixed width give no bound, so such a side never passes. Counting a stored
-    table reads only its file footers.
+    Without ``limit`` the session setting holds. Columns without a fixed width give no bound, so
+    such a side never passes. Counting a stored table reads only its file footers.
     """
+    if limit is None:
+        limit = int(df.sparkSession.conf.get(SETTING, str(BROADCAST_BYTES)))
     width = _row_width(df.schema)
     return width is not None and df.count() * width <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """``df`` hinted for broadcast when it fits; otherwise as it is, for Spark to shuffle.
 
     In the shuffled join the adaptive planner splits the partition of a hot key on the

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from stratamart.functions.dates import open_end
 from stratamart.model import ACTIVE, SALE_DATE, VALID_FROM, VALID_TO, Dimension
-from stratamart.operators.broadcasting import BROADCAST_BYTES, broadcast_if_small, fits_broadcast
+from stratamart.operators.broadcasting import broadcast_if_small, fits_broadcast
 from stratamart.operators.validity import lookup_valid
 
 Dimensions = Iterable[tuple[Dimension, DataFrame]]
 
 
-def swap_keys(fact: DataFrame, dimensions: Dimensions, limit: int = BROADCAST_BYTES) -> DataFrame:
+def swap_keys(fact: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
     """Replace each natural key by the surrogate key; a key without a dimension row gets null.
 
     Only the two key columns of a dimension take part. All rows of it do, so the dimension must
@@ -27,27 +27,18 @@ def swap_keys(fact: DataFrame, dimensions: Dimensions, limit: int = BROADCAST_BY
     return fact.drop(*(spec.key for spec, _ in dimensions))
 
 
-def keeps_clustering(dimensions: Dimensions, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether :func:`swap_keys` broadcasts every dimension and so leaves fact rows where they are."""
-    return all(fits_broadcast(rows.select(spec.key, spec.sk), limit) for spec, rows in dimensions)
-
-
-def keeps_clustering_at_date(dimensions: Dimensions, limit: int = BROADCAST_BYTES) -> bool:
-    """:func:`keeps_clustering` for :func:`swap_keys_at_date`."""
-    return all(fits_broadcast(open_ended(rows, spec), limit) for spec, rows in dimensions)
-
-
 def current_versions(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col(ACTIVE) == 1)
 
 
 def swap_keys_at_date(
-    fact: DataFrame, dimensions: Dimensions, at: str = SALE_DATE, limit: int = BROADCAST_BYTES
+    fact: DataFrame, dimensions: Dimensions, at: str = SALE_DATE, limit: int | None = None
 ) -> DataFrame:
     """Like :func:`swap_keys`, with the version that was valid on the date of the fact row.
 
     The first version of a key counts from the beginning of time: a dimension starts on the day
-    it was first loaded, which is later than the sales it has to serve.
+    it was first loaded, which is later than the sales it has to serve. Undated rows find the
+    version of a key that never changed, and null for one that did.
     """
     dimensions = list(dimensions)
     for spec, rows in dimensions:
@@ -55,6 +46,11 @@ def swap_keys_at_date(
     return fact.drop(*(spec.key for spec, _ in dimensions))
 
 
+def keeps_place(dimensions: Dimensions, limit: int | None = None) -> bool:
+    """Whether :func:`swap_keys_at_date` broadcasts every dimension, moving no fact row."""
+    return all(fits_broadcast(open_ended(rows, spec), limit) for spec, rows in dimensions)
+
+
 def open_ended(dimension: DataFrame, spec: Dimension) -> DataFrame:
     """Key, surrogate key and validity, with nulls for the open bounds of first and last version.
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from stratamart.functions.dates import month_of, year_of
 from stratamart.functions.money import line_total, unit_price
 from stratamart.model import FACT_COLUMNS, MONTH, REGISTERED, SALE_DATE, TRANSACTION, YEAR
-from stratamart.operators.broadcasting import BROADCAST_BYTES, broadcast_if_small
+from stratamart.operators.broadcasting import broadcast_if_small
 from stratamart.operators.validity import intervals, lookup_valid
 
 
-def price_by_product(sales: DataFrame, products: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def price_by_product(sales: DataFrame, products: DataFrame, limit: int | None = None) -> DataFrame:
     """Add ``PrecoUnitario`` from the product, if it was registered on or before the sale date.
 
     Sales without such a product stay, with a null price. Every product row that qualifies
@@ -27,7 +27,7 @@ def price_by_product(sales: DataFrame, products: DataFrame, limit: int = BROADCA
     return sales.join(broadcast_if_small(p, limit), known, "left").drop("_product", "_registered")
 
 
-def price_as_of(sales: DataFrame, prices: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def price_as_of(sales: DataFrame, prices: DataFrame, limit: int | None = None) -> DataFrame:
     """Add ``PrecoUnitario``: the latest price registered on or before the sale date.
 
     One row per sale, however many price rows a product has. Of several prices registered on

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.operators.broadcasting import BROADCAST_BYTES, fits_broadcast
+from stratamart.operators.broadcasting import fits_broadcast
 
 
 def lookup_valid(
@@ -16,7 +16,7 @@ def lookup_valid(
     at: str,
     start: str,
     end: str,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """Left join: add the columns of the version of ``key`` with ``start <= at < end``.
 

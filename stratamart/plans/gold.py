@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.model import DIMENSIONS, FACT_DIMENSIONS, SALES, SALES_PARTITIONS, Dimension, Lake
 from stratamart.operators.dimensions import first_load, merge_changes
-from stratamart.operators.lookup import (
-    current_versions,
-    keeps_clustering,
-    keeps_clustering_at_date,
-    swap_keys,
-    swap_keys_at_date,
-)
+from stratamart.operators.lookup import keeps_place, swap_keys_at_date
 from stratamart.operators.months import differing_months, in_months
 from stratamart.sinks.tables import overwrite, overwrite_partitioned, replace_partitions
 from stratamart.sources.tables import scan_table, scan_table_if_present
@@ -51,19 +45,8 @@ def update_dimension(spark: SparkSession, lake: Lake, spec: Dimension, load_date
 
 
 def build_sales(spark: SparkSession, lake: Lake) -> None:
-    """Replace the fact; keys come from the stored dimensions, never from a second numbering.
-
-    Silver is stored by the same months, so with broadcast dimensions nothing is shuffled.
-    """
-    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
-    dimensions = [(spec, current_versions(rows)) for spec, rows in stored_dimensions(spark, lake)]
-    overwrite_partitioned(
-        swap_keys(sales, dimensions),
-        lake.table("gold", SALES),
-        SALES_PARTITIONS,
-        lake.fmt,
-        clustered=keeps_clustering(dimensions),
-    )
+    """Replace the fact; keys come from the stored dimensions, never from a second numbering."""
+    _store_fact(spark, lake, scan_table(spark, lake.table("silver", SALES), lake.fmt), overwrite_partitioned)
 
 
 def refresh_sales(spark: SparkSession, lake: Lake) -> None:
@@ -79,14 +62,19 @@ def refresh_sales(spark: SparkSession, lake: Lake) -> None:
         return
     months = differing_months(sales, fact)
     if months:
-        dimensions = stored_dimensions(spark, lake)
-        replace_partitions(
-            swap_keys_at_date(in_months(sales, months), dimensions),
-            lake.table("gold", SALES),
-            SALES_PARTITIONS,
-            lake.fmt,
-            clustered=keeps_clustering_at_date(dimensions),
-        )
+        _store_fact(spark, lake, in_months(sales, months), replace_partitions)
+
+
+def _store_fact(spark: SparkSession, lake: Lake, sales: DataFrame, store: Callable[..., None]) -> None:
+    """Silver is stored by the same months, so with broadcast dimensions nothing is shuffled."""
+    dimensions = stored_dimensions(spark, lake)
+    store(
+        swap_keys_at_date(sales, dimensions),
+        lake.table("gold", SALES),
+        SALES_PARTITIONS,
+        lake.fmt,
+        clustered=keeps_place(dimensions),
+    )
 
 
 def stored_dimensions(

@@ -1,6 +1,7 @@
 import pytest
 
 from stratamart.model import DIMENSIONS, Dimension
+from stratamart.operators.broadcasting import SETTING, fits_broadcast
 from stratamart.operators.dimensions import first_load, merge_changes
 from stratamart.operators.lookup import current_versions, swap_keys, swap_keys_at_date
 from tests.frames import sales
@@ -58,3 +59,16 @@ def test_version_valid_on_the_sale_date(spark, history, limit):
     )
     out = swap_keys_at_date(fact, [(SPEC, history)], limit=limit)
     assert swapped(out) == {1: 1, 2: 1, 3: 3, 4: 3, 5: 4, 6: 4, 7: 2, 8: None, 9: None}
+
+
+def test_broadcast_bound(spark, tmp_path):
+    keys = spark.range(100).selectExpr("id as k", "id as sk", "'text' as t")
+    fixed = keys.select("k", "sk")
+    assert fits_broadcast(fixed)
+    assert fits_broadcast(fixed, limit=100 * 56) and not fits_broadcast(fixed, limit=100 * 56 - 1)
+    assert not fits_broadcast(keys)  # text has no fixed width
+    spark.conf.set(SETTING, "1000")
+    try:
+        assert not fits_broadcast(fixed)
+    finally:
+        spark.conf.unset(SETTING)
