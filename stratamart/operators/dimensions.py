@@ -57,7 +57,9 @@ def merge_changes(
     pairs = materialize(
         active.join(extract, spec.key, "full_outer")
         .withColumn("_replaced", changed & (F.col(VALID_FROM) >= day))
-        .withColumn("_ended", changed & (F.col(VALID_FROM) < day)),
+        .withColumn("_ended", changed & (F.col(VALID_FROM) < day))
+        .withColumn("_new", F.when(~held | F.col("_replaced") | F.col("_ended"), F.col("_new")))
+        .drop("_sent"),
         "scd2",
     )
 

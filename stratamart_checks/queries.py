@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.views import Tables
+from stratamart_checks.views import Tables
 from stratamart.model import (
     CATEGORIES,
     CITIES,

@@ -4,9 +4,13 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import connect, oracle_rows, rows_of
+from tests.frames import plan_of
 
 FOLDER = "/root/testdata/sf0.001"
 
+# Operators no plan may fall back to: all pairs of two tables, and rows sent to Python.
+SLOW = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups")
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,12 +24,15 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_agrees_with_sql(spark, con, name):
-    names, rows = rows_of(queries()[name](spark, FOLDER))
+def test_query_agrees_with_sql(spark, con, name, capsys):
+    df = queries()[name](spark, FOLDER)
+    names, rows = rows_of(df)
     expected_names, expected = oracle_rows(con, oracle_sql()[name])
     assert names == expected_names
     assert rows == expected
     assert rows
+    plan = plan_of(df, capsys)
+    assert not [slow for slow in SLOW if slow in plan]
 
 
 def test_entry_returns_rows(spark):
