@@ -42,6 +42,8 @@ from stratamart.workspace import new_folder
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+NEW_BATCHES = ("vendas_2", "vendas_3")
+
 # Load dates fall inside the span of the sales, so that both versions of a customer are in use.
 FIRST_LOAD = "1996-01-01"
 SECOND_LOAD = "1998-06-01"
@@ -106,11 +108,10 @@ def bronze_csv_scan(t: Tables) -> DataFrame:
 @query("bronze_csv_batches")
 def bronze_csv_batches(t: Tables) -> DataFrame:
     lake = new_lake(t)
-    sales = t.sales()
-    land(t.second_batch(sales), lake.landing_file("vendas_2"))
-    land(t.third_batch(sales), lake.landing_file("vendas_3"))
-    bronze.ingest_sales_batches(t.spark, lake, ["vendas_2", "vendas_3"])
-    return stack(*(scan_table(t.spark, lake.table("bronze", b)) for b in ("vendas_2", "vendas_3")))
+    for batch in NEW_BATCHES:
+        land(t.sales(batch), lake.landing_file(batch))
+    bronze.ingest_sales_batches(t.spark, lake, NEW_BATCHES)
+    return stack(*(scan_table(t.spark, lake.table("bronze", b)) for b in NEW_BATCHES))
 
 
 @query("table_scan")
@@ -121,7 +122,7 @@ def table_scan(t: Tables) -> DataFrame:
 @query("partition_scan")
 def partition_scan(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sale_lines()), path, SALES_PARTITIONS)
     return scan_partition(t.spark, path, Ano=1998, Mes=1)
 
 
@@ -139,17 +140,16 @@ def overwrite_roundtrip(t: Tables) -> DataFrame:
 @query("partitioned_overwrite")
 def partitioned_overwrite(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, ("ano", "mes"))
+    overwrite_partitioned(with_calendar(t.sale_lines()), path, ("ano", "mes"))
     return scan_table(t.spark, path)
 
 
 @query("partitioned_append")
 def partitioned_append(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    sales = with_calendar(t.sale_lines().drop("_order"))
-    overwrite_partitioned(t.first_batch(sales), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sale_lines("vendas_1")), path, SALES_PARTITIONS)
     held = scan_table(t.spark, path).schema
-    append_partitioned(t.third_batch(sales), path, SALES_PARTITIONS, target=held)
+    append_partitioned(with_calendar(t.sale_lines("vendas_3")), path, SALES_PARTITIONS, target=held)
     return scan_table(t.spark, path)
 
 
@@ -179,14 +179,13 @@ def filter_equality(t: Tables) -> DataFrame:
 
 @query("incremental_filter")
 def incremental_filter(t: Tables) -> DataFrame:
-    sales = t.sale_lines().drop("_order")
-    return newer_than_table(stack(t.second_batch(sales), t.third_batch(sales)), t.first_batch(sales))
+    return newer_than_table(stack(*map(t.sale_lines, NEW_BATCHES)), t.sale_lines("vendas_1"))
 
 
 @query("incremental_bootstrap")
 def incremental_bootstrap(t: Tables) -> DataFrame:
     absent = scan_table_if_present(t.spark, new_folder(t.spark, SALES))
-    return newer_than(t.sale_lines().drop("_order"), read_watermark(absent))
+    return newer_than(t.sale_lines(), read_watermark(absent))
 
 
 # --- joins, aggregate, union -------------------------------------------------------------------
@@ -194,7 +193,7 @@ def incremental_bootstrap(t: Tables) -> DataFrame:
 
 @query("price_lookup_join")
 def price_lookup_join(t: Tables) -> DataFrame:
-    return price_by_product(t.sale_lines().drop("_order"), t.products())
+    return price_by_product(t.sale_lines(), t.products())
 
 
 @query("fact_sk_lookup")
@@ -207,15 +206,14 @@ def fact_sk_lookup(t: Tables) -> DataFrame:
 @query("high_watermark")
 def high_watermark_of_sales(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines().drop("_order")), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sale_lines()), path, SALES_PARTITIONS)
     return high_watermark(scan_table(t.spark, path))
 
 
 @query("union_batches")
 def union_batches(t: Tables) -> DataFrame:
-    sales = t.sale_lines().drop("_order")
-    third = t.third_batch(sales)
-    return stack(t.second_batch(sales), third.select(*reversed(third.columns)))
+    second, third = map(t.sale_lines, NEW_BATCHES)
+    return stack(second, third.select(*reversed(third.columns)))
 
 
 # --- layers ------------------------------------------------------------------------------------
@@ -226,7 +224,7 @@ def bronze_ingest(t: Tables) -> DataFrame:
     """Rows of the seven bronze tables after a landing-zone ingest, and the length of their values."""
     lake = new_lake(t)
     land_dimensions(t, lake)
-    land(t.first_batch(t.sales()), lake.landing_file(SALES))
+    land(t.sales("vendas_1"), lake.landing_file(SALES))
     bronze.ingest(t.spark, lake)
     tables = [*dimension_sources(t), SALES]
     return stack(*(_profile(scan_table(t.spark, lake.table("bronze", n)), n) for n in tables))
@@ -297,22 +295,23 @@ def gold_sales(t: Tables) -> DataFrame:
     return swap_keys(conform_sales(t.sales(), t.products()), stored)
 
 
-def _silver_after_increment(t: Tables, lake: Lake) -> DataFrame:
-    """Fill bronze and silver from the first batch, then add the other two; returns the audit."""
-    sales = t.sales()
+def _first_silver_load(t: Tables, lake: Lake) -> None:
     overwrite(t.products(), lake.table("bronze", PRODUCTS))
-    overwrite_partitioned(
-        conform_sales(t.first_batch(sales), t.products()), lake.table("silver", SALES), SALES_PARTITIONS
-    )
-    overwrite(t.second_batch(sales), lake.table("bronze", "vendas_2"))
-    overwrite(t.third_batch(sales), lake.table("bronze", "vendas_3"))
-    return incremental.append_sales(t.spark, lake, ["vendas_2", "vendas_3"])
+    priced = conform_sales(t.sales("vendas_1"), t.products())
+    overwrite_partitioned(priced, lake.table("silver", SALES), SALES_PARTITIONS)
+
+
+def _append_new_batches(t: Tables, lake: Lake) -> None:
+    for batch in NEW_BATCHES:
+        overwrite(t.sales(batch), lake.table("bronze", batch))
+    incremental.append_sales(t.spark, lake, NEW_BATCHES)
 
 
 @query("incremental_silver_sales")
 def incremental_silver_sales(t: Tables) -> DataFrame:
     lake = new_lake(t)
-    _silver_after_increment(t, lake)
+    _first_silver_load(t, lake)
+    _append_new_batches(t, lake)
     return scan_table(t.spark, lake.table("silver", SALES))
 
 
@@ -357,7 +356,7 @@ def scd2_merge(t: Tables) -> DataFrame:
 
 @query("price_asof_join")
 def price_asof_join(t: Tables) -> DataFrame:
-    return price_as_of(t.sale_lines().drop("_order"), t.price_history())
+    return price_as_of(t.sale_lines(), t.price_history())
 
 
 @query("fact_sk_point_in_time")
@@ -383,15 +382,9 @@ def gold_incremental_refresh(t: Tables) -> DataFrame:
     sources = dimension_sources(t)
     for spec in FACT_DIMENSIONS:
         overwrite(first_load(sources[spec.table], spec, FIRST_LOAD), lake.table("gold", spec.table))
-    overwrite(t.products(), lake.table("bronze", PRODUCTS))
-    sales = t.sales()
-    overwrite_partitioned(
-        conform_sales(t.first_batch(sales), t.products()), lake.table("silver", SALES), SALES_PARTITIONS
-    )
+    _first_silver_load(t, lake)
     gold.build_sales(t.spark, lake)
-    overwrite(t.second_batch(sales), lake.table("bronze", "vendas_2"))
-    overwrite(t.third_batch(sales), lake.table("bronze", "vendas_3"))
-    incremental.append_sales(t.spark, lake, ["vendas_2", "vendas_3"])
+    _append_new_batches(t, lake)
     gold.refresh_sales(t.spark, lake)
     return scan_table(t.spark, lake.table("gold", SALES))
 
@@ -414,10 +407,8 @@ def dq_summary(t: Tables) -> DataFrame:
 
 @query("load_audit")
 def load_audit_of_batches(t: Tables) -> DataFrame:
-    sales = t.sale_lines()
-    mark = read_watermark(t.first_batch(sales))
-    batches = {"vendas_2": t.second_batch(sales), "vendas_3": t.third_batch(sales)}
-    return load_audit(stack(*(b.withColumn("lote", F.lit(n)) for n, b in batches.items())), mark)
+    mark = read_watermark(t.sale_lines("vendas_1"))
+    return load_audit(stack(*(t.sale_lines(b).withColumn("lote", F.lit(b)) for b in NEW_BATCHES)), mark)
 
 
 @query("sales_by_month")

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from stratamart.model import DISCOUNT, PRICE, QUANTITY
 
-FIRST_BATCH_END = "1999-07-01"
-SECOND_BATCH_START = "1999-01-01"
-THIRD_BATCH_START = "2000-01-01"
+# Date ranges of the three sales batches, end exclusive. The second overlaps the first, so that the
+# high-water mark has rows to drop.
+BATCHES = {
+    "vendas_1": (None, "1999-07-01"),
+    "vendas_2": ("1999-01-01", "2000-01-01"),
+    "vendas_3": ("2000-01-01", None),
+}
 
 
 class Tables:
@@ -21,9 +25,18 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sale_lines(self) -> DataFrame:
-        """Sales without their customer, which only the orders know."""
-        return self.read("lineitem").select(
+    def sale_lines(self, batch: str | None = None) -> DataFrame:
+        """Sales, or those of one batch, without their customer, which only the orders know."""
+        return self._order_lines(batch).drop("_order")
+
+    def _order_lines(self, batch: str | None) -> DataFrame:
+        lines = self.read("lineitem")
+        since, until = BATCHES[batch] if batch else (None, None)
+        if since:
+            lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
+        if until:
+            lines = lines.filter(F.col("l_shipdate") < F.lit(until).cast("timestamp_ntz"))
+        return lines.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("VendasID"),
             F.col("l_suppkey").alias("VendedorID"),
             F.col("l_partkey").alias("ProdutoID"),
@@ -34,12 +47,12 @@ class Tables:
             F.col("l_orderkey").alias("_order"),
         )
 
-    def sales(self) -> DataFrame:
+    def sales(self, batch: str | None = None) -> DataFrame:
         orders = self.read("orders").select(
             F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("ClienteID")
         )
         return (
-            self.sale_lines()
+            self._order_lines(batch)
             .join(orders, "_order", "left")
             .select(
                 "VendasID", "VendedorID", "ClienteID", "ProdutoID",
@@ -95,16 +108,3 @@ class Tables:
 
     def countries(self) -> DataFrame:
         return self.read("region").select(F.col("r_regionkey").alias("PaisID"), F.col("r_name").alias("Pais"))
-
-    def first_batch(self, sales: DataFrame) -> DataFrame:
-        return sales.filter(F.col("DataVenda") < F.lit(FIRST_BATCH_END).cast("date"))
-
-    def second_batch(self, sales: DataFrame) -> DataFrame:
-        """Overlaps the first batch, so that the high-water mark has rows to drop."""
-        day = F.col("DataVenda")
-        return sales.filter(
-            (day >= F.lit(SECOND_BATCH_START).cast("date")) & (day < F.lit(THIRD_BATCH_START).cast("date"))
-        )
-
-    def third_batch(self, sales: DataFrame) -> DataFrame:
-        return sales.filter(F.col("DataVenda") >= F.lit(THIRD_BATCH_START).cast("date"))
