@@ -16,9 +16,14 @@ from stratamart.sources.tables import scan_table, scan_table_if_present
 from stratamart.workspace import materialize
 
 
-def build(spark: SparkSession, lake: Lake, load_date: date | str | None = None) -> None:
+def build(
+    spark: SparkSession,
+    lake: Lake,
+    load_date: date | str | None = None,
+    dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values()),
+) -> None:
     """Replace every gold table, starting the dimensions' history on the load date."""
-    for spec in DIMENSIONS.values():
+    for spec in dimensions:
         build_dimension(spark, lake, spec, load_date)
     build_sales(spark, lake)
 

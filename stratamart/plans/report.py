@@ -1,11 +1,15 @@
-"""The demonstration report on the sales table."""
+"""Reports on the stored tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.model import SALES_PARTITIONS
+from stratamart.model import DIMENSIONS, SALES, SALES_PARTITIONS, Dimension, Lake
+from stratamart.operators.quality import quality_report
+from stratamart.sources.tables import scan_table
 
 
 def sales_by_month(sales: DataFrame) -> DataFrame:
@@ -15,3 +19,11 @@ def sales_by_month(sales: DataFrame) -> DataFrame:
         F.sum("PrecoTotal").alias("total"),
         F.count_if(F.col("PrecoTotal").isNull()).alias("sem_preco"),
     )
+
+
+def silver_quality(
+    spark: SparkSession, lake: Lake, dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values())
+) -> DataFrame:
+    """The quality report on silver: the sales table against the tables its keys point to."""
+    parents = {d.key: (d.table, scan_table(spark, lake.table("silver", d.table), lake.fmt)) for d in dimensions}
+    return quality_report(scan_table(spark, lake.table("silver", SALES), lake.fmt), SALES, parents)

@@ -16,6 +16,7 @@ def scan_csv(
     declared: T.StructType | None = None,
     delimiter: str = ",",
     infer_rest: bool = True,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Scan a CSV file, or a folder of them, that starts with a header line.
 
@@ -23,8 +24,11 @@ def scan_csv(
     declared type whatever a batch happens to contain. The types of other columns are inferred,
     which takes a second pass over the file; with ``infer_rest`` off they stay strings, and only
     the header is read ahead. Files of one folder whose headers disagree are refused.
+
+    Short lines are padded with nulls, long ones cut, and a value that does not have its declared
+    type is read as null; with ``mode`` FAILFAST such lines are an error.
     """
-    reader = spark.read.option("sep", delimiter).option("header", True)
+    reader = spark.read.option("sep", delimiter).option("header", True).option("mode", mode)
     if declared is None:
         return reader.option("inferSchema", True).csv(path)
 

@@ -55,6 +55,14 @@ def test_short_rows_are_padded_and_long_ones_cut(spark, tmp_path):
     assert rows == {(7, None, None), (8, Decimal("1.00"), day("2018-02-01"))}
 
 
+def test_malformed_value_is_null_or_an_error(spark, tmp_path):
+    path = write_text(tmp_path / "p.csv", "ProdutoID,Preco,DataCadastro\n7,cheap,2018-02-01\n8,1.00,05/02/2018\n")
+    rows = {tuple(r) for r in scan_csv(spark, path, DECLARED[PRODUCTS]).collect()}
+    assert rows == {(7, None, day("2018-02-01")), (8, Decimal("1.00"), None)}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, path, DECLARED[PRODUCTS], mode="FAILFAST").collect()
+
+
 def test_inferred_types(spark, tmp_path):
     path = write_text(tmp_path / "p.csv", "a;b;c\n1;x;2018-02-01\n")
     df = scan_csv(spark, path, delimiter=";")

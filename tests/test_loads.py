@@ -13,6 +13,7 @@ from stratamart.operators.months import differing_months, in_months
 from stratamart.operators.pricing import with_calendar
 from stratamart.operators.watermark import high_watermark, newer_than, newer_than_table, read_watermark
 from stratamart.plans import bronze, gold, incremental, silver
+from stratamart.plans.report import silver_quality
 from stratamart.sinks.tables import SchemaMismatch, overwrite, overwrite_partitioned
 from stratamart.sources.tables import scan_table
 from tests.frames import day, plan_of, sales, write_text
@@ -133,6 +134,16 @@ def test_batch_that_does_not_fit_is_refused(spark, lake):
     assert table(spark, other, "silver", "vendas").count() == 4
 
 
+def test_quality_of_silver(spark, lake):
+    found = {(r.tabela, r.regra): r.linhas for r in silver_quality(spark, lake).collect() if r.linhas}
+    assert found == {
+        ("vendas", "nulo:PrecoUnitario"): 2,
+        ("vendas", "nulo:PrecoTotal"): 2,
+        ("vendas", "nulo:DataVenda"): 1,
+        ("vendas", "orfao:ClienteID"): 1,
+    }
+
+
 def test_refresh_rewrites_changed_months_only(spark, lake):
     fact = Path(lake.table("gold", "vendas"))
     files = {p: p.stat().st_mtime_ns for p in fact.rglob("*.parquet")}
