@@ -34,9 +34,3 @@ def newer_than(rows: DataFrame, mark: date | None, column: str = SALE_DATE) -> D
     not dated, are left out for good, so a load that is repeated adds nothing.
     """
     return rows if mark is None else rows.filter(F.col(column) > F.lit(mark))
-
-
-def newer_than_table(rows: DataFrame, table: DataFrame, column: str = SALE_DATE) -> DataFrame:
-    """:func:`newer_than` with the mark taken from ``table`` inside the same query."""
-    mark = high_watermark(table, column).scalar()
-    return rows.filter(mark.isNull() | (F.col(column) > mark))

@@ -31,7 +31,7 @@ from stratamart.operators.lookup import current_versions, swap_keys, swap_keys_a
 from stratamart.operators.pricing import conform_sales, price_as_of, price_by_product, with_calendar, with_totals
 from stratamart.operators.quality import quality_report
 from stratamart.operators.shaping import merge_names, move_after, stack
-from stratamart.operators.watermark import high_watermark, newer_than, newer_than_table, read_watermark
+from stratamart.operators.watermark import high_watermark, newer_than, read_watermark
 from stratamart.plans import bronze, gold, incremental, silver
 from stratamart.plans.report import sales_by_month as monthly
 from stratamart.sinks.tables import append_partitioned, overwrite, overwrite_partitioned
@@ -179,7 +179,8 @@ def filter_equality(t: Tables) -> DataFrame:
 
 @query("incremental_filter")
 def incremental_filter(t: Tables) -> DataFrame:
-    return newer_than_table(stack(*map(t.sale_lines, NEW_BATCHES)), t.sale_lines("vendas_1"))
+    mark = read_watermark(t.sale_lines("vendas_1"))
+    return newer_than(stack(*map(t.sale_lines, NEW_BATCHES)), mark)
 
 
 @query("incremental_bootstrap")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratamart.model import DIMENSIONS, Lake
 from stratamart.operators.months import differing_months, in_months
 from stratamart.operators.pricing import with_calendar
-from stratamart.operators.watermark import high_watermark, newer_than, newer_than_table, read_watermark
+from stratamart.operators.watermark import high_watermark, newer_than, read_watermark
 from stratamart.plans import bronze, gold, incremental, silver
 from stratamart.plans.report import silver_quality
 from stratamart.sinks.tables import SchemaMismatch, overwrite, overwrite_partitioned
@@ -187,7 +187,6 @@ def test_watermark_forms_agree(spark, lake):
     assert high_watermark(held).first()[0] == day("2018-03-01") == read_watermark(held.drop("Ano", "Mes"))
     batch = sales(spark, [(1, 1, "2018-02-28"), (2, 1, "2018-03-01"), (3, 1, "2018-03-02"), (4, 1, None)])
     assert {r.VendasID for r in newer_than(batch, day("2018-03-01")).collect()} == {3}
-    assert {r.VendasID for r in newer_than_table(batch, held).collect()} == {3}
 
 
 def test_no_mark_means_all_rows(spark):
@@ -195,7 +194,6 @@ def test_no_mark_means_all_rows(spark):
     assert read_watermark(None) is None
     assert read_watermark(with_calendar(batch.limit(0))) is None
     assert newer_than(batch, None).count() == 2
-    assert newer_than_table(batch, batch.filter("false")).count() == 2
 
 
 def test_unreadable_target_is_not_taken_for_a_missing_one(spark, lake):
