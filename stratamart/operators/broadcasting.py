@@ -14,16 +14,19 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 _ROW_OVERHEAD = 40
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None, no_more_than: DataFrame | None = None) -> bool:
     """Whether counted rows at a fixed width per row stay within ``limit`` bytes.
 
     Without ``limit`` the session setting holds. Columns without a fixed width give no bound, so
-    such a side never passes. Counting a stored table reads only its file footers.
+    such a side never passes. Counting a stored table reads only its file footers; where ``df``
+    takes work to count, ``no_more_than`` names a table with at least as many rows to count instead.
     """
     if limit is None:
         limit = int(df.sparkSession.conf.get(SETTING, str(BROADCAST_BYTES)))
     width = _row_width(df.schema)
-    return width is not None and df.count() * width <= limit
+    if width is None:
+        return False
+    return (df if no_more_than is None else no_more_than).count() * width <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:

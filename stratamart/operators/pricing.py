@@ -39,7 +39,9 @@ def price_as_of(sales: DataFrame, prices: DataFrame, limit: int | None = None) -
         REGISTERED,
         "PrecoUnitario",
     )
-    return lookup_valid(sales, history, "ProdutoID", SALE_DATE, REGISTERED, "_until", limit)
+    return lookup_valid(
+        sales, history, "ProdutoID", SALE_DATE, REGISTERED, "_until", limit, no_more_than=prices
+    )
 
 
 def with_totals(priced: DataFrame) -> DataFrame:

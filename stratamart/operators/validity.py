@@ -17,14 +17,15 @@ def lookup_valid(
     start: str,
     end: str,
     limit: int | None = None,
+    no_more_than: DataFrame | None = None,
 ) -> DataFrame:
     """Left join: add the columns of the version of ``key`` with ``start <= at < end``.
 
     Null bounds are open. Versions of one key must not overlap, so every row stays one row.
 
-    Few versions are broadcast and matched on the key. Too many for that, and each version is
-    repeated for the years it covers and the join matches on key and year: the rows of a hot key
-    spread over its years, and a row is held against at most one year of versions.
+    Versions that pass :func:`fits_broadcast` are broadcast and matched on the key. Otherwise each
+    is repeated for the years it covers and the join matches on key and year: the rows of a hot
+    key spread over its years, and a row is held against at most one year of versions.
     """
     payload = [c for c in versions.columns if c not in (key, start, end)]
     v = versions.select(
@@ -36,7 +37,7 @@ def lookup_valid(
         & (F.col("_start").isNull() | (F.col("_start") <= date))
         & (F.col("_end").isNull() | (date < F.col("_end")))
     )
-    if fits_broadcast(v, limit):
+    if fits_broadcast(v, limit, no_more_than):
         return rows.join(F.broadcast(v), inside, "left").select(*rows.columns, *payload)
     v = _per_year(v, *_years(rows, at))
     same_year = F.year(date) == F.col("_year")
@@ -47,7 +48,7 @@ def intervals(changes: DataFrame, key: str, since: str, value: str) -> DataFrame
     """Turn dated changes of ``value`` into versions ``[since, _until)``, the last one open.
 
     Changes are first reduced to one per key and day, the highest value winning, with partial
-    sums before the shuffle. What the window then sorts per key is bounded by the calendar.
+    maxima before the shuffle. What the window then sorts per key is bounded by the calendar.
     """
     if not isinstance(changes.schema[since].dataType, T.DateType):
         raise TypeError(f"{since} must be a date, so that a key's versions are bounded by days")
