@@ -2,25 +2,63 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folder: list[str] = []
+_written: dict[str, object] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver may leave it unset: then a
+    temporary folder of this process is used. Anywhere else its absence is an error, as
+    executors would write where others cannot read. The session itself is not changed.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="stratamart-")
-        context.setCheckpointDir(folder)
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _local_folder:
+            _local_folder.append(tempfile.mkdtemp(prefix="stratamart-"))
+        folder = _local_folder[0]
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/stratamart/{purpose}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; removed when this process ends."""
+    path = f"{shared_folder(spark)}/stratamart/{purpose}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system client; one that is absent is no error."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _written.pop(path, None)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@atexit.register
+def _clear() -> None:
+    """What results may still have been reading while the process ran."""
+    for path, spark in list(_written.items()):
+        try:
+            remove(spark, path)
+        except Exception:  # the session has ended before: nothing can be reached any more
+            _written.clear()
+            return
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
