@@ -29,3 +29,25 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.packing import pack_documents
 
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op3_warc")
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, folder, "pages"))
+
+
+@query("op2_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.quality_classifier import fit, score
+
+    docs = table(spark, folder, "documents")
+    return score(docs, fit(docs, table(spark, folder, "labels")))
+
+
+@query("op10_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.decontamination import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
