@@ -51,3 +51,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.decontamination import contaminated
 
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.jaccard_join import similar_documents
+
+    return similar_documents(table(spark, folder, "documents"))
