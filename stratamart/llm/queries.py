@@ -58,3 +58,10 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.jaccard_join import similar_documents
 
     return similar_documents(table(spark, folder, "documents"))
+
+
+@query("op7_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.suffix_dedup import without_repeats
+
+    return without_repeats(table(spark, folder, "documents"))
