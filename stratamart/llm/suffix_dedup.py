@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.columns import join_by_size
 from stratamart.llm.suffix_sort import repeated_windows
 from stratamart.llm.textblocks import BLOCK_BYTES, RangeHash, flat, text_blocks
 from stratamart.workspace import materialize
 
 LENGTH = 200
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 64 << 20
 SORT_BYTES = 2 << 20
 # Contexts of one anchor beyond which they are split, and how many places of windows a split has.
 HOT_CONTEXTS = 20_000
@@ -238,7 +239,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
         .groupBy("key")
         .agg(F.collect_list(F.struct("first", "last", "at", "anchor", "hot")).alias("wanted"))
     )
-    asked = _joined(texts.select("key", "text"), materialize(wanted, "wanted"), "wanted", "inner")
+    wanted = materialize(wanted, "wanted")
+    asked = join_by_size(texts.select("key", "text"), wanted, "key", "inner", 48 * F.size("wanted"), BROADCAST_BYTES)
     pieces = asked.mapInArrow(_contexts(length), _CONTEXTS)
     pieces = pieces.repartition("bucket").sortWithinPartitions("bucket", "key", "first")
     sorted_spans = pieces.mapInArrow(_sorted_spans(length), "key long, low int, high int")
@@ -253,14 +255,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
         .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
         .mapInArrow(_merged, "key long, spans binary")
     )
-    marked = _joined(texts, materialize(spans, "spans"), "spans", "left")
+    spans = materialize(spans, "spans")
+    marked = join_by_size(texts, spans, "key", "left", F.length("spans"), BROADCAST_BYTES)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return marked.select("doc_id", "text", "spans").mapInArrow(_cut(keep_text), schema + (", kept binary" if keep_text else ""))
 
-
-def _joined(texts: DataFrame, per_text: DataFrame, column: str, how: str) -> DataFrame:
-    """Texts with what is known of some of them, which is sent to them where it is small and else shuffled with them."""
-    size = per_text.agg(F.sum(F.length(column) if column == "spans" else 48 * F.size(column)), F.count("*")).first()
-    if (size[0] or 0) + 64 * size[1] <= BROADCAST_BYTES:
-        per_text = F.broadcast(per_text)
-    return texts.join(per_text, "key", how)
