@@ -65,3 +65,31 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.suffix_dedup import without_repeats
 
     return without_repeats(table(spark, folder, "documents"))
+
+
+@query("op1_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.lm_scoring import backoff_scores
+
+    return backoff_scores(table(spark, folder, "documents"))
+
+
+@query("op4_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.quality_rules import judged
+
+    return judged(table(spark, folder, "documents"))
+
+
+@query("op5_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.secret_scan import secrets
+
+    return secrets(table(spark, folder, "documents"))
+
+
+@query("op8_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.license_scan import licenses
+
+    return licenses(table(spark, folder, "documents"))
