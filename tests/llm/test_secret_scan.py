@@ -1,0 +1,135 @@
+import hashlib
+import math
+import random
+import re
+import string
+from collections import Counter
+
+from stratamart.llm.secret_scan import ALLOWED, CLASSES, redacted, secrets
+
+SCHEMA = "doc_id long, text string, spans string"
+KEYWORDS = "password passwd secret token apikey api_key".split()
+# Either case of ASCII letters only.
+ASSIGN_ANY_CASE = (
+    "(?:" + "|".join("".join(f"[{c}{c.upper()}]" if c != "_" else c for c in w) for w in KEYWORDS) + ")"
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def entropy(s):
+    best = 0.0
+    for k in range(len(s) - 19):
+        best = max(best, -sum(c / 20 * math.log2(c / 20) for c in Counter(s[k : k + 20]).values()))
+    return best
+
+
+def random_looking(s):
+    if sum(c in string.digits for c in s) < 2 or not re.search("[A-Za-z]", s) or any(re.search(p, s) for p in ALLOWED):
+        return False
+    limit = next(bits for form, bits in CLASSES if re.search(form, s))
+    return entropy(s) >= limit - 1e-12
+
+
+def brute(rows):
+    out = []
+    for doc_id, text in rows:
+        text = text or ""
+        base = [(m.start(), 0, m.end()) for m in re.finditer(ASSIGN_ANY_CASE, text) if len(m[1]) >= 6]
+        base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+        base.sort()
+        more = [
+            (m.start(), 3, m.end())
+            for m in re.finditer(r"[A-Za-z0-9+/=_-]+", text)
+            if len(m[0]) >= 20 and random_looking(m[0]) and not any(a < m.end() and m.start() < b for a, _, b in base)
+        ]
+        show = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'entropy')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+        count = [sum(k == n for _, k, _ in base) for n in range(3)]
+        out.append((doc_id, *count, hashlib.sha256(show(base).encode()).hexdigest(), show(base + more)))
+    return sorted(out, key=str)
+
+
+def run(spark, rows):
+    df = spark.createDataFrame([(a, b, 1) for a, b in rows], SCHEMA.replace("spans string", "spans int"))
+    columns = ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return sorted((tuple(r[c] for c in columns) for r in secrets(df).collect()), key=str)
+
+
+def corpus():
+    rng = random.Random(6)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = []
+    for k in range(120):
+        parts = []
+        for _ in range(rng.randrange(8)):
+            parts.append(
+                rng.choice(
+                    [
+                        lambda: f"{rng.choice(['password', 'PassWD', 'api_key', 'APIKEY', 'Token', 'secret'])}{rng.choice(['', chr(34)])} {rng.choice('=:')}  {pick(string.ascii_letters, rng.randrange(3, 12))}",
+                        lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, rng.randrange(10, 24)),
+                        lambda: pick("0123456789abcdef", rng.randrange(18, 44)),
+                        lambda: pick(string.ascii_letters + string.digits, rng.randrange(15, 60)),
+                        lambda: pick(string.ascii_lowercase + string.digits, rng.randrange(15, 60)),
+                        lambda: pick("ab1", 40),
+                        lambda: "exämple " * 3,
+                        lambda: "8d3f0a1e-4c7b-4b1a-9f0e-2d6c5b7a8e9f",
+                        lambda: "my-example-key-9f8a7b6c5d4e3f2a1b",
+                        lambda: "😀 word",
+                    ]
+                )()
+            )
+        rows.append((k, rng.choice([" ", "é", "\n", "'"]).join(parts)))
+    return rows
+
+
+def test_against_python(spark):
+    rows = corpus()
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert sum("entropy" in r[-1] for r in got) > 10
+
+
+def test_given_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_edge_cases(spark):
+    key = "9f8a7b6c5d4e3f2a1b0c9d8e"
+    rows = [
+        (1, None),
+        (2, ""),
+        (3, "secret=token: abcdefgh"),
+        (4, "token=secret=abcdefgh password:short"),
+        (5, "AKIAAKIA" + "B" * 16 + " AKIA" + "B" * 15),
+        (6, f"{key}{key.upper()}"),
+        (7, ("x " * 9 + f"token = {key} ") * 1500),
+        (8, f"é😀 api_key='{key}'é"),
+        (9, "Kapi_key=ſecret=abcdefg"),
+        (None, f"token={key}"),
+        (10, f"token={key}"),
+        (10, f"token={key}"),
+        (11, "aZ9+" * 5000),
+    ]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+
+
+def test_redaction(spark):
+    key = "9f8a7b6c5d4e3f2a1b0c9d8e"
+    rows = [(1, f"é token = {key} end {key}"), (2, "nothing"), (3, None), (4, key), (5, f"{key} {key}")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    out = redacted(df)
+    assert out.columns == df.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        1: "é [SECRET] end [SECRET]",
+        2: "nothing",
+        3: None,
+        4: "[SECRET]",
+        5: "[SECRET] [SECRET]",
+    }
+
+
+def test_only_built_in_functions(spark):
+    plan = secrets(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
