@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.textblocks import PLAIN, Words, flat, mix, text_blocks, word_ranges, words
+from stratamart.llm.textblocks import PLAIN, Words, mix, text_blocks, word_ranges, words
 
 ORDER = 2
 BACKOFF = 0.4
 LEAST = 2
-BLOCK_TEXT = 24 << 20
+BLOCK_TEXT = 12 << 20
 PARTITION_GRAMS = 1 << 20
 
 _MIX = np.uint64(0x9FB21C651E98DF25)
@@ -46,6 +46,20 @@ def _values(planes: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _words(block: pa.Table) -> Words:
+    """Words of a block's texts, found a few megabytes of text at a time."""
+    hashes, counts = [], []
+    for batch in block.select(["text"]).to_batches():
+        for _, data, offsets in text_blocks([batch]):
+            w = words(data, offsets)
+            hashes.append(w.hashes)
+            counts.append(np.diff(w.first))
+    lengths = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+    none = np.zeros(0, np.int64)
+    all_hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    return Words(none, none, np.repeat(np.arange(len(lengths)), lengths), all_hashes, np.concatenate(([0], np.cumsum(lengths))))
+
+
 def _grams(w: Words, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order, the words that end an n-gram of it, and its hash cut to what a partition tells apart."""
     cut = np.uint64(max(0, 16 - bits))
@@ -67,7 +81,7 @@ def _counted(order: int, bits: int):
 
     def run(block: pa.Table) -> pa.Table:
         rows = []
-        w = words(*flat(block.column("text")))
+        w = _words(block)
         for n, (_, hashes) in enumerate(_grams(w, order, bits), 1):
             found, counts = np.unique(hashes, return_counts=True)
             part = (found >> np.uint64(64 - bits)).astype(np.int64)
@@ -106,7 +120,7 @@ def _added(group: pa.Table) -> pa.Table:
 
 def _scored(order: int, bits: int, tokens: int, backoff: float, least: int):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        w = words(*flat(block.column("text")))
+        w = _words(block)
         size = len(w.hashes)
         answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
         of = answers.column("n").to_numpy()
