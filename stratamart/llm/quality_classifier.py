@@ -143,23 +143,26 @@ def _descend(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int) -> Model
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
+def _probabilities(model: Model, rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Probability of label 1 of each text of a block."""
+    total, number = np.zeros(rows.num_rows), np.zeros(rows.num_rows)
+    for hashes, within, starts in _features(data, offsets):
+        total += _sums(np.where(within, model.weights[hashes], np.float32(0)).astype(np.float64), starts)
+        number += _sums(within.astype(np.int64), starts)
+    return 1 / (1 + np.exp(-(total / np.maximum(number, 1) + model.bias)))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score (0 to 1, of label 1) and predicted (score >= threshold) per row of docs.
 
     Whole texts are read. A null or empty text scores by the bias alone. Repeated rows score
     alike; null ids are kept; other columns are ignored; an empty table gives no rows.
     """
-    weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches):
-            total = np.zeros(rows.num_rows)
-            number = np.zeros(rows.num_rows)
-            for hashes, within, starts in _features(data, offsets):
-                total += _sums(np.where(within, weights[hashes], np.float32(0)).astype(np.float64), starts)
-                number += _sums(within.astype(np.int64), starts)
-            out = 1 / (1 + np.exp(-(total / np.maximum(number, 1) + bias)))
-            yield pa.record_batch([rows.column("doc_id"), pa.array(out)], ["doc_id", "score"])
+            out = pa.array(_probabilities(model, rows, data, offsets))
+            yield pa.record_batch([rows.column("doc_id"), out], ["doc_id", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     return scored.select(
@@ -168,3 +171,13 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose texts score ``threshold`` or more, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_blocks(batches):
+            yield rows.filter(pa.array(_probabilities(model, rows, data, offsets) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
