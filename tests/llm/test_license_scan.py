@@ -1,0 +1,117 @@
+import math
+import re
+
+from stratamart.llm.license_scan import PHRASES, TEMPLATES, licenses
+
+SCHEMA = "doc_id long, text string, key string"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words_of(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def notices(rows):
+    """Labels and best share per row, vote by vote."""
+    texts = [words_of(t) for _, t in rows]
+    vocabulary = {w for _, _, t in TEMPLATES for w in t.split()}
+    idf = {w: math.log((len(rows) + 1) / (sum(w in t for t in texts) + 1)) for w in vocabulary if any(w in t for t in texts)}
+    rare = sorted((w for w, v in idf.items() if v >= 1.5), key=lambda w: (-idf[w], w))
+    out = []
+    for words in texts:
+        top = [w for w in rare if w in words][:12]
+        labels, best = set(), 0.0
+        for label, phrase, template in TEMPLATES if len(top) > 1 else ():
+            parts = template.split()
+            size = min(12, len(set(parts) & set(rare)))
+            if f" {phrase} " not in f" {' '.join(words)} ":
+                continue
+            votes = {}
+            for k, w in enumerate(words):
+                for at, x in enumerate(parts):
+                    if w == x and w in top:
+                        votes.setdefault(("a", (k - at) // 8), set()).add(w)
+                        votes.setdefault(("b", (k - at + 4) // 8), set()).add(w)
+            share = max((min(1.0, len(v) / size) for v in votes.values()), default=0)
+            if share >= 0.6:
+                labels.add(label)
+                best = max(best, share)
+        out.append((labels, best))
+    return out
+
+
+def brute(rows):
+    out = []
+    for (doc_id, text), (more, share) in zip(rows, notices(rows), strict=True):
+        words = words_of(text)
+        places = [
+            (k, label)
+            for phrase, label in PHRASES.items()
+            for k in range(len(words))
+            if words[k : k + len(phrase.split())] == phrase.split()
+        ]
+        base = {label for _, label in places}
+        at = [k for k, _ in places]
+        score = max(share, 0.5 if places else 0.0)
+        out.append(
+            (doc_id, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), round(score, 9))
+        )
+    return sorted(out, key=str)
+
+
+def run(spark, rows):
+    df = spark.createDataFrame([(a, b, "clash") for a, b in rows], SCHEMA)
+    columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    out = (tuple(round(r[c], 9) if c == "score" else r[c] for c in columns) for r in licenses(df).collect())
+    return sorted(out, key=str)
+
+
+FILLER = [(k, f"Plain text number {k} of the corpus, and nothing of that kind in it.") for k in range(100, 160)]
+
+
+def test_notices_and_phrases(spark):
+    mit, apache = TEMPLATES[1][2], TEMPLATES[3][2]
+    rows = [
+        *FILLER,
+        (1, "Intro words. " + mit.capitalize() + ". More words."),
+        (2, "/* " + apache.replace(" ", "\n * ") + " */"),
+        (3, "see the GNU General\nPublic License, and the Apache License too; MIT-License; cc-by"),
+        (4, "Licensed under CC BY-NC 4.0."),
+        (5, "permission granted free of charge is not the notice"),
+        (6, " ".join(w if k % 9 else "changed" for k, w in enumerate(mit.split()[9:]))),
+        (7, "This work is licensed under the GNU General Public License, version 3."),
+        (8, "Mit license mit license MIT LICENSES gnu general license"),
+    ]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    labels = {r[0]: r[6] for r in got}
+    assert (labels[1], labels[2], labels[4], labels[7]) == ("mit", "apache,apache-2.0", "cc-by,cc-by-nc", "gpl,gpl-3.0")
+    assert labels[3] == "apache,cc-by,gpl,mit" and labels[5] == "" and labels[100] == ""
+
+
+def test_given_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_edge_cases(spark):
+    rows = [
+        *FILLER,
+        (1, None),
+        (2, ""),
+        (3, "-- \n"),
+        (4, "Ünder MİT License"),
+        (5, "mit license " * 20_000),
+        (6, "gnu général public license"),
+        (None, "Released under the MIT License."),
+        (7, "Released under the MIT License."),
+        (7, "Released under the MIT License."),
+        (8, "license"),
+    ]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+
+
+def test_only_built_in_functions(spark):
+    plan = licenses(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
