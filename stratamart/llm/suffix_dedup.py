@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.columns import join_by_size
 from stratamart.llm.suffix_sort import repeated_windows
-from stratamart.llm.textblocks import BLOCK_BYTES, RangeHash, flat, text_blocks
+from stratamart.llm.textblocks import RangeHash, flat, text_blocks
 from stratamart.workspace import materialize
 
 LENGTH = 200
-BROADCAST_BYTES = 64 << 20
-SORT_BYTES = 2 << 20
+BROADCAST_BYTES = 24 << 20
+SCAN_BYTES = 1 << 20
+SORT_BYTES = 1 << 20
 # Contexts of one anchor beyond which they are split, and how many places of windows a split has.
 HOT_CONTEXTS = 20_000
 SPLIT_PLACES = 16
@@ -68,10 +69,10 @@ def _anchors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndar
 
 def _scan(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_blocks(batches):
+        for rows, data, offsets in text_blocks(batches, most=SCAN_BYTES):
             # A very long text is read in parts that overlap; which windows there are does not depend on it.
-            for low in range(0, max(len(data), 1), 2 * BLOCK_BYTES):
-                part = data[low : low + 2 * BLOCK_BYTES + length - 1]
+            for low in range(0, max(len(data), 1), 2 * SCAN_BYTES):
+                part = data[low : low + 2 * SCAN_BYTES + length - 1]
                 if len(part) < length:
                     continue
                 starts = np.arange(low, low + len(part) - length + 1)
@@ -240,7 +241,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
         .agg(F.collect_list(F.struct("first", "last", "at", "anchor", "hot")).alias("wanted"))
     )
     wanted = materialize(wanted, "wanted")
-    asked = join_by_size(texts.select("key", "text"), wanted, "key", "inner", 48 * F.size("wanted"), BROADCAST_BYTES)
+    asked = texts.select("key", "text").join(wanted, "key")
     pieces = asked.mapInArrow(_contexts(length), _CONTEXTS)
     pieces = pieces.repartition("bucket").sortWithinPartitions("bucket", "key", "first")
     sorted_spans = pieces.mapInArrow(_sorted_spans(length), "key long, low int, high int")

@@ -61,7 +61,7 @@ def test_split_anchors(spark, monkeypatch):
 
 
 def test_long_texts_in_parts_and_shuffled_joins(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 150)
+    monkeypatch.setattr(suffix_dedup, "SCAN_BYTES", 150)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", -1)
     rows = corpus(9, 40, "abcdefgh")
     assert run(spark, rows, 50) == brute(rows, 50)
