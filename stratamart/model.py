@@ -33,6 +33,8 @@ REGISTERED = "DataCadastro"
 YEAR = "Ano"
 MONTH = "Mes"
 SALES_PARTITIONS = (YEAR, MONTH)
+# Lines of a landing file that do not have the declared types, as they were read.
+UNREADABLE = "_linha_ilegivel"
 FACT_COLUMNS = (
     "VendasID",
     "VendedorID",

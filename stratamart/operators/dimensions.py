@@ -33,10 +33,13 @@ def merge_changes(
 
     * Unchanged keys, and keys the extract no longer has, keep their active version.
     * A changed key's active version ends on the load date, exclusive, and a new version with a
-      new surrogate key starts on it. If the active version started on or after the load date
-      its attributes are replaced instead, so no version is valid for zero days.
+      new surrogate key starts on it. If the active version started on the load date its
+      attributes are replaced instead, so no version is valid for zero days.
     * New keys get their first version.
 
+    An extract with a null or repeated key is refused, and so is a load date before the newest
+    active version began: its older attributes would replace newer ones.
+
     Attributes are compared null-safely. Ended versions are passed through without a shuffle;
     active ones meet the extract in one full outer join on the unique key, whose result is
     written once because kept, ended and new rows are all read from it.
@@ -45,6 +48,8 @@ def merge_changes(
     _require_same_columns(tracked, source, spec)
     if load_date is None:  # several queries follow; midnight must not fall between them
         load_date = dimension.sparkSession.range(1).select(F.current_date()).first()[0]
+    _require_unique_keys(source, spec)
+    _require_later_load(dimension, load_date, spec)
     day = load_day(load_date)
     is_active = F.col(ACTIVE) == 1
 
@@ -56,7 +61,7 @@ def merge_changes(
     changed = held & sent & _any_differs(tracked)
     pairs = materialize(
         active.join(extract, spec.key, "full_outer")
-        .withColumn("_replaced", changed & (F.col(VALID_FROM) >= day))
+        .withColumn("_replaced", changed & (F.col(VALID_FROM) == day))
         .withColumn("_ended", changed & (F.col(VALID_FROM) < day))
         .withColumn("_new", F.when(~held | F.col("_replaced") | F.col("_ended"), F.col("_new")))
         .drop("_sent"),
@@ -94,3 +99,20 @@ def _require_same_columns(tracked: list[str], source: DataFrame, spec: Dimension
         raise ValueError(
             f"extract of {spec.table} lacks {sorted(expected - given)} and adds {sorted(given - expected)}"
         )
+
+
+def _require_unique_keys(source: DataFrame, spec: Dimension) -> None:
+    """Counted per key, so no key's rows are gathered."""
+    counts = source.groupBy(spec.key).count()
+    nulls, repeated = counts.agg(
+        F.count_if(F.col(spec.key).isNull()), F.count_if(F.col(spec.key).isNotNull() & (F.col("count") > 1))
+    ).first()
+    if nulls or repeated:
+        raise ValueError(f"extract of {spec.table}: {'null keys' if nulls else f'{repeated} keys repeated'} in {spec.key}")
+
+
+def _require_later_load(dimension: DataFrame, load_date: date | str, spec: Dimension) -> None:
+    newest = F.max(F.when(F.col(ACTIVE) == 1, F.col(VALID_FROM)))
+    earlier, newest = dimension.agg(newest > load_day(load_date), newest).first()
+    if earlier:
+        raise ValueError(f"load date {load_date} is before {newest}, when a version of {spec.table} began")

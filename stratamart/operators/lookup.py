@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,23 +32,31 @@ def current_versions(dimension: DataFrame) -> DataFrame:
 
 
 def swap_keys_at_date(
-    fact: DataFrame, dimensions: Dimensions, at: str = SALE_DATE, limit: int | None = None
+    fact: DataFrame,
+    dimensions: Dimensions,
+    at: str = SALE_DATE,
+    limit: int | None = None,
+    fits: Sequence[bool] | None = None,
 ) -> DataFrame:
     """Like :func:`swap_keys`, with the version that was valid on the date of the fact row.
 
     The first version of a key counts from the beginning of time: a dimension starts on the day
     it was first loaded, which is later than the sales it has to serve. Undated rows find the
-    version of a key that never changed, and null for one that did.
+    version of a key that never changed, and null for one that did. ``fits`` is what
+    :func:`fitting` has found before, for dimensions that need not be counted again.
     """
     dimensions = list(dimensions)
-    for spec, rows in dimensions:
-        fact = lookup_valid(fact, open_ended(rows, spec), spec.key, at, "_from", "_to", limit)
+    for (spec, rows), small in zip(dimensions, fits or fitting(dimensions, limit), strict=True):
+        fact = lookup_valid(fact, open_ended(rows, spec), spec.key, at, "_from", "_to", fits=small)
     return fact.drop(*(spec.key for spec, _ in dimensions))
 
 
-def keeps_place(dimensions: Dimensions, limit: int | None = None) -> bool:
-    """Whether :func:`swap_keys_at_date` broadcasts every dimension, moving no fact row."""
-    return all(fits_broadcast(open_ended(rows, spec), limit) for spec, rows in dimensions)
+def fitting(dimensions: Dimensions, limit: int | None = None) -> list[bool]:
+    """Which dimensions :func:`swap_keys_at_date` broadcasts; where all are, no fact row moves.
+
+    A dimension has as many rows as what is looked up of it, and a stored one is counted from its footers.
+    """
+    return [fits_broadcast(open_ended(rows, spec), limit, no_more_than=rows) for spec, rows in dimensions]
 
 
 def open_ended(dimension: DataFrame, spec: Dimension) -> DataFrame:

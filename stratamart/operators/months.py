@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from stratamart.model import MONTH, SALES_PARTITIONS, YEAR
 
 
-def differing_months(left: DataFrame, right: DataFrame) -> list[tuple]:
-    """Year and month of every month with unequal row counts, a list bounded by the calendar."""
-    signed = left.select(*SALES_PARTITIONS, F.lit(1).alias("_sign")).unionByName(
-        right.select(*SALES_PARTITIONS, F.lit(-1).alias("_sign"))
+def differing_months(left: DataFrame, right: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """Months whose rows differ between two tables, and those that only the second has.
+
+    Rows are compared as a multiset, whatever their order, by their count and the sum of their hashes
+    over the columns of ``left``, combined per task before the shuffle. Both lists are bounded by the calendar.
+    """
+    columns = [c for c in left.columns if c not in SALES_PARTITIONS]
+    # A hash passes over nulls, so which values are null is hashed too.
+    row = F.xxhash64(*columns, *(F.col(c).isNull() for c in columns)).cast("decimal(38,0)")
+
+    def digest(table: DataFrame, side: str) -> DataFrame:
+        return table.groupBy(*SALES_PARTITIONS).agg(F.struct(F.count("*"), F.sum(row)).alias(side))
+
+    year, month = (F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in SALES_PARTITIONS)
+    both = digest(left, "mine").alias("l").join(digest(right, "theirs").alias("r"), year & month, "full_outer")
+    rows = both.where("NOT mine <=> theirs").select(
+        F.col("mine").isNotNull().alias("held"), *(F.coalesce(f"l.{c}", f"r.{c}").alias(c) for c in SALES_PARTITIONS)
     )
-    balance = signed.groupBy(*SALES_PARTITIONS).agg(F.sum("_sign").alias("_balance"))
-    return [(r[YEAR], r[MONTH]) for r in balance.filter("_balance <> 0").collect()]
+    found = rows.collect()
+    return [(r[YEAR], r[MONTH]) for r in found if r.held], [(r[YEAR], r[MONTH]) for r in found if not r.held]
 
 
 def in_months(table: DataFrame, months: list[tuple]) -> DataFrame:

@@ -33,8 +33,10 @@ def price_as_of(sales: DataFrame, prices: DataFrame, limit: int | None = None) -
     One row per sale, however many price rows a product has. Of several prices registered on
     one day the highest counts.
     """
+    # A price counts from the day it was registered, also where the hour is known.
+    day = F.col(REGISTERED).cast("date").alias(REGISTERED)
     history = intervals(
-        prices.select("ProdutoID", REGISTERED, unit_price(F.col("Preco")).alias("PrecoUnitario")),
+        prices.select("ProdutoID", day, unit_price(F.col("Preco")).alias("PrecoUnitario")),
         "ProdutoID",
         REGISTERED,
         "PrecoUnitario",
@@ -56,5 +58,8 @@ def with_calendar(sales: DataFrame) -> DataFrame:
 
 
 def conform_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Raw sales to the conformed sales table: priced, totalled, ordered, with year and month."""
-    return with_calendar(with_totals(price_by_product(sales.drop(TRANSACTION), products)))
+    """Raw sales to the conformed sales table: priced as of their date, totalled, ordered, with year and month.
+
+    One row per sale, also where a product has several rows.
+    """
+    return with_calendar(with_totals(price_as_of(sales.drop(TRANSACTION), products)))

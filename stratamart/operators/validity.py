@@ -18,14 +18,15 @@ def lookup_valid(
     end: str,
     limit: int | None = None,
     no_more_than: DataFrame | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Left join: add the columns of the version of ``key`` with ``start <= at < end``.
 
     Null bounds are open. Versions of one key must not overlap, so every row stays one row.
 
-    Versions that pass :func:`fits_broadcast` are broadcast and matched on the key. Otherwise each
-    is repeated for the years it covers and the join matches on key and year: the rows of a hot
-    key spread over its years, and a row is held against at most one year of versions.
+    Versions that pass :func:`fits_broadcast`, or that the caller has found to (``fits``), are broadcast.
+    Otherwise Spark shuffles both sides on the key, and the adaptive planner splits the rows of a hot
+    key over tasks, as they are the preserved side. The rows are the same either way.
     """
     payload = [c for c in versions.columns if c not in (key, start, end)]
     v = versions.select(
@@ -37,11 +38,9 @@ def lookup_valid(
         & (F.col("_start").isNull() | (F.col("_start") <= date))
         & (F.col("_end").isNull() | (date < F.col("_end")))
     )
-    if fits_broadcast(v, limit, no_more_than):
-        return rows.join(F.broadcast(v), inside, "left").select(*rows.columns, *payload)
-    v = _per_year(v, *_years(rows, at))
-    same_year = F.year(date) == F.col("_year")
-    return rows.join(v, inside & same_year, "left").select(*rows.columns, *payload)
+    if fits_broadcast(v, limit, no_more_than) if fits is None else fits:
+        v = F.broadcast(v)
+    return rows.join(v, inside, "left").select(*rows.columns, *payload)
 
 
 def intervals(changes: DataFrame, key: str, since: str, value: str) -> DataFrame:
@@ -56,15 +55,3 @@ def intervals(changes: DataFrame, key: str, since: str, value: str) -> DataFrame
     following = F.lead(since).over(Window.partitionBy(key).orderBy(since))
     return daily.withColumn("_until", following)
 
-
-def _years(rows: DataFrame, at: str) -> tuple[int, int]:
-    """First and last year among the rows, the only years a version can matter for."""
-    first, last = rows.agg(F.min(F.year(at)), F.max(F.year(at))).first()
-    return (first, last) if first is not None else (0, 0)
-
-
-def _per_year(versions: DataFrame, first: int, last: int) -> DataFrame:
-    begins = F.greatest(F.coalesce(F.year("_start"), F.lit(first)), F.lit(first))
-    ends = F.least(F.coalesce(F.year(F.date_sub("_end", 1)), F.lit(last)), F.lit(last))
-    spans = versions.withColumns({"_first": begins, "_last": ends}).filter("_first <= _last")
-    return spans.withColumn("_year", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")

@@ -13,10 +13,10 @@ from stratamart.model import MONTH, SALE_DATE, SALES_PARTITIONS, YEAR
 def high_watermark(table: DataFrame, column: str = SALE_DATE) -> DataFrame:
     """One row with the greatest value of ``column``, null for a table without any.
 
-    Looks only into the newest month of a table that carries year and month columns derived
-    from ``column``. Finding that month takes no column data when they are storage partitions.
+    For the sale date, looks only into the newest month of a table that carries its year and
+    month as columns. Finding that month takes no column data when they are storage partitions.
     """
-    if set(SALES_PARTITIONS) <= set(table.columns):
+    if column == SALE_DATE and set(SALES_PARTITIONS) <= set(table.columns):
         month = F.col(YEAR) * 12 + F.col(MONTH)
         table = table.filter(month == table.agg(F.max(month)).scalar())
     return table.agg(F.max(column).alias(column))

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.model import DIMENSIONS, FACT_DIMENSIONS, SALES, SALES_PARTITIONS, Dimension, Lake
 from stratamart.operators.dimensions import first_load, merge_changes
-from stratamart.operators.lookup import keeps_place, swap_keys_at_date
+from stratamart.operators.lookup import fitting, swap_keys_at_date
 from stratamart.operators.months import differing_months, in_months
-from stratamart.sinks.tables import overwrite, overwrite_partitioned, replace_partitions
+from stratamart.sinks.tables import (
+    overwrite,
+    overwrite_partitioned,
+    partition_path,
+    recover,
+    replace_partitions,
+    switch,
+)
 from stratamart.sources.tables import scan_table, scan_table_if_present
-from stratamart.workspace import materialize
+from stratamart.workspace import exists, remove
 
 
 def build(
@@ -21,65 +28,93 @@ def build(
     lake: Lake,
     load_date: date | str | None = None,
     dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values()),
+    restart: bool = False,
 ) -> None:
-    """Replace every gold table, starting the dimensions' history on the load date."""
+    """Make the gold tables from silver, starting the dimensions' history on the load date.
+
+    A dimension that exists is refused before anything is written, as its history and keys would be
+    lost; ``restart`` replaces it all the same.
+    """
+    dimensions = tuple(dimensions)
+    if not restart:
+        for spec in dimensions:
+            _refuse_existing(spark, lake, spec)
     for spec in dimensions:
-        build_dimension(spark, lake, spec, load_date)
+        build_dimension(spark, lake, spec, load_date, restart)
     build_sales(spark, lake)
 
 
-def build_dimension(spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None) -> None:
+def build_dimension(
+    spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None, restart: bool = False
+) -> None:
+    if not restart:
+        _refuse_existing(spark, lake, spec)
     rows = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
     overwrite(first_load(rows, spec, load_date), lake.table("gold", spec.table), lake.fmt)
 
 
+def _refuse_existing(spark: SparkSession, lake: Lake, spec: Dimension) -> None:
+    path = lake.table("gold", spec.table)
+    recover(spark, path)
+    if exists(spark, path):
+        raise ValueError(f"{path} exists and holds history: update it, or build with restart=True")
+
+
 def update_dimension(spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None) -> None:
     """Merge the silver table into the dimension, keeping its history.
 
-    The merged dimension is complete in the shared folder before its place is overwritten, as
-    a table cannot be overwritten by a query that reads it.
+    The merged dimension is complete beside the current one before it takes its place.
     """
     path = lake.table("gold", spec.table)
+    recover(spark, path)
     merged = merge_changes(
         scan_table(spark, path, lake.fmt),
         scan_table(spark, lake.table("silver", spec.table), lake.fmt),
         spec,
         load_date,
     )
-    overwrite(materialize(merged, spec.table), path, lake.fmt)
+    switch(merged, path, lake.fmt)
 
 
 def build_sales(spark: SparkSession, lake: Lake) -> None:
-    """Replace the fact; keys come from the stored dimensions, never from a second numbering."""
-    _store_fact(spark, lake, scan_table(spark, lake.table("silver", SALES), lake.fmt), overwrite_partitioned)
+    """Replace the fact; keys come from the stored dimensions, never from a second numbering.
+
+    Silver is stored by the same months, so with broadcast dimensions nothing is shuffled.
+    """
+    dimensions = stored_dimensions(spark, lake)
+    fits = fitting(dimensions)
+    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
+    overwrite_partitioned(
+        swap_keys_at_date(sales, dimensions, fits=fits),
+        lake.table("gold", SALES),
+        SALES_PARTITIONS,
+        lake.fmt,
+        clustered=all(fits),
+    )
 
 
 def refresh_sales(spark: SparkSession, lake: Lake) -> None:
-    """Recompute, from all their silver rows, the fact's months that differ from silver.
+    """Bring the fact's months up to what silver and the dimensions give now.
 
-    Months are compared by their row counts, which takes no column data of either table. An
-    earlier refresh that did not come to its end is thereby caught up with.
+    Silver is looked up in the dimensions as a build would, and months whose rows then differ from the stored
+    fact are written again: changed values, customers that arrived late and history that came
+    in between count, not only numbers of rows. Months silver no longer has are removed, all others
+    keep their files. An earlier refresh that did not come to its end is thereby caught up with.
     """
-    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
-    fact = scan_table_if_present(spark, lake.table("gold", SALES), lake.fmt)
+    path = lake.table("gold", SALES)
+    fact = scan_table_if_present(spark, path, lake.fmt)
     if fact is None:
         build_sales(spark, lake)
         return
-    months = differing_months(sales, fact)
-    if months:
-        _store_fact(spark, lake, in_months(sales, months), replace_partitions)
-
-
-def _store_fact(spark: SparkSession, lake: Lake, sales: DataFrame, store: Callable[..., None]) -> None:
-    """Silver is stored by the same months, so with broadcast dimensions nothing is shuffled."""
+    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
     dimensions = stored_dimensions(spark, lake)
-    store(
-        swap_keys_at_date(sales, dimensions),
-        lake.table("gold", SALES),
-        SALES_PARTITIONS,
-        lake.fmt,
-        clustered=keeps_place(dimensions),
-    )
+    fits = fitting(dimensions)
+    months, gone = differing_months(swap_keys_at_date(sales, dimensions, fits=fits), fact)
+    if months:
+        now = swap_keys_at_date(in_months(sales, months), dimensions, fits=fits)
+        replace_partitions(now, path, SALES_PARTITIONS, lake.fmt, clustered=all(fits))
+    for month in gone:
+        remove(spark, partition_path(path, SALES_PARTITIONS, month))
 
 
 def stored_dimensions(

@@ -18,9 +18,11 @@ from stratamart.sinks.tables import append_partitioned
 from stratamart.sources.tables import scan_table, scan_table_if_present
 
 
-def load_sales(spark: SparkSession, lake: Lake, batches: Sequence[str], infer: bool = False) -> DataFrame:
+def load_sales(
+    spark: SparkSession, lake: Lake, batches: Sequence[str], infer: bool = False, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """Take batch files from the landing zone through bronze into silver; returns the audit."""
-    ingest_sales_batches(spark, lake, batches, infer)
+    ingest_sales_batches(spark, lake, batches, infer, mode)
     return append_sales(spark, lake, batches)
 
 
@@ -48,8 +50,10 @@ def append_sales(spark: SparkSession, lake: Lake, batches: Sequence[str]) -> Dat
     return load_audit(arrived, mark)
 
 
-def load_sales_and_refresh(spark: SparkSession, lake: Lake, batches: Sequence[str]) -> DataFrame:
+def load_sales_and_refresh(
+    spark: SparkSession, lake: Lake, batches: Sequence[str], infer: bool = False, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """An incremental load followed by the refresh of the gold months that changed."""
-    audit = load_sales(spark, lake, batches)
+    audit = load_sales(spark, lake, batches, infer, mode)
     refresh_sales(spark, lake)
     return audit

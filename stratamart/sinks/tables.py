@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.workspace import exists, remove, rename
+
 _INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 
 
@@ -19,6 +21,41 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
+def switch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace a table by rows that may be read from it.
+
+    The new version is complete beside the table before the old one is renamed away and the new one takes its
+    place; the old one goes last. A run that dies in between leaves a complete version that
+    :func:`recover` finds. Renaming a folder is one step on file systems that have folders.
+    """
+    spark = df.sparkSession
+    following, previous = _versions(path)
+    remove(spark, following)
+    remove(spark, previous)
+    df.write.format(fmt).save(following)
+    if exists(spark, path):
+        rename(spark, path, previous)
+    rename(spark, following, path)
+    remove(spark, previous)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back the table that a :func:`switch` had taken away and not yet replaced."""
+    _, previous = _versions(path)
+    if not exists(spark, path) and exists(spark, previous):
+        rename(spark, previous, path)
+
+
+def _versions(path: str) -> tuple[str, str]:
+    return f"{path}__following", f"{path}__previous"
+
+
+def partition_path(path: str, by: Sequence[str], values: Sequence) -> str:
+    """Where a table's partition is stored, for values that need no escaping; null as Spark names it."""
+    parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(by, values, strict=True))
+    return "/".join((path, *parts))
+
+
 def overwrite_partitioned(
     df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", clustered: bool = False
 ) -> None:

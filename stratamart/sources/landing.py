@@ -17,6 +17,7 @@ def scan_csv(
     delimiter: str = ",",
     infer_rest: bool = True,
     mode: str = "PERMISSIVE",
+    unreadable: str | None = None,
 ) -> DataFrame:
     """Scan a CSV file, or a folder of them, that starts with a header line.
 
@@ -26,7 +27,8 @@ def scan_csv(
     the header is read ahead. Files of one folder whose headers disagree are refused.
 
     Short lines are padded with nulls, long ones cut, and a value that does not have its declared
-    type is read as null; with ``mode`` FAILFAST such lines are an error.
+    type is read as null; with ``mode`` FAILFAST such lines are an error. A column named
+    ``unreadable`` keeps the whole of such lines, and is null for all others.
     """
     reader = spark.read.option("sep", delimiter).option("header", True).option("mode", mode)
     if declared is None:
@@ -40,4 +42,7 @@ def scan_csv(
         header = reader.option("inferSchema", True).csv(path).schema
     kinds = {f.name: f.dataType for f in declared.fields}
     schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in header.fields])
+    if unreadable:
+        schema = schema.add(unreadable, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", unreadable)
     return reader.option("inferSchema", False).schema(schema).option("enforceSchema", False).csv(path)

@@ -50,6 +50,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 @atexit.register
 def _clear() -> None:
     """What results may still have been reading while the process ran."""

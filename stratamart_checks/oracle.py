@@ -119,11 +119,8 @@ def _gold(source: str) -> str:
         LEFT JOIN sk_produtos p ON f.ProdutoID = p.ProdutoID"""
 
 
-def _profile(table: str, source: str, columns: str) -> str:
-    return (
-        f"SELECT '{table}' AS tabela, count(*) AS linhas,"
-        f" CAST(sum(length(concat_ws('|', {columns}))) AS BIGINT) AS caracteres FROM {source}"
-    )
+def _lines(table: str, source: str, columns: str) -> str:
+    return f"SELECT '{table}' AS tabela, concat_ws('|', {columns}) AS linha FROM {source}"
 
 
 def _nulls(table: str, source: str, column: str) -> str:
@@ -158,31 +155,32 @@ _SELECTS = {
     "bronze_csv_scan": f"SELECT {_SALE} FROM vendas",
     "bronze_csv_batches": f"SELECT {_SALE} FROM vendas_2 UNION ALL SELECT {_SALE} FROM vendas_3",
     "table_scan": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem",
-    "partition_scan": f"SELECT {_LINE}, {_MONTH} FROM linhas WHERE year(DataVenda) = 1998 AND month(DataVenda) = 1",
+    "partition_scan": f"SELECT {_SALE}, {_MONTH} FROM vendas WHERE year(DataVenda) = 1998 AND month(DataVenda) = 1",
     "overwrite_roundtrip": f"SELECT {_CUSTOMER} FROM clientes",
-    "partitioned_overwrite": f"SELECT {_LINE}, {_MONTH} FROM linhas",
+    "partitioned_overwrite": f"SELECT {_SALE}, {_MONTH} FROM vendas",
     "partitioned_append": f"""
-        SELECT {_LINE}, {_MONTH} FROM vendas_1 UNION ALL SELECT {_LINE}, {_MONTH} FROM vendas_3""",
+        SELECT {_SALE}, {_MONTH} FROM vendas_1 UNION ALL SELECT {_SALE}, {_MONTH} FROM vendas_2
+        UNION ALL SELECT {_SALE}, {_MONTH} FROM vendas_3""",
     "drop_columns": "SELECT ClienteID, CidadeID, CAST(Saldo AS DOUBLE) AS Saldo FROM clientes",
     "fact_column_order": f"SELECT {_FACT} FROM ({_priced('vendas')})",
     "reorder_after_key": "SELECT Cidade, CidadeID, PaisID FROM cidades",
     "filter_equality": """
         SELECT ProdutoID, CAST(DataCadastro AS VARCHAR) AS DataCadastro FROM produtos WHERE ProdutoID = 101""",
     "incremental_filter": f"""
-        SELECT {_LINE} FROM (SELECT * FROM vendas_2 UNION ALL SELECT * FROM vendas_3), marca
+        SELECT {_SALE} FROM (SELECT * FROM vendas_2 UNION ALL SELECT * FROM vendas_3), marca
         WHERE DataVenda > ultima""",
-    "incremental_bootstrap": f"SELECT {_LINE} FROM linhas",
-    "price_lookup_join": f"SELECT {_LINE}, {_UNIT_PRICE} FROM ({_priced('linhas')})",
+    "incremental_bootstrap": f"SELECT {_SALE} FROM vendas",
+    "price_lookup_join": f"SELECT {_SALE}, {_UNIT_PRICE} FROM ({_priced('vendas')})",
     "fact_sk_lookup": f"""
         SELECT VendasID, {_AMOUNTS}, {_DAY}, SK_Cliente, SK_Vendedor, SK_Produto
         FROM vendas v
         LEFT JOIN sk_clientes c ON v.ClienteID = c.ClienteID
         LEFT JOIN sk_vendedores s ON v.VendedorID = s.VendedorID
         LEFT JOIN sk_produtos p ON v.ProdutoID = p.ProdutoID""",
-    "high_watermark": "SELECT CAST(max(DataVenda) AS VARCHAR) AS DataVenda FROM linhas",
-    "union_batches": f"SELECT {_LINE} FROM vendas_2 UNION ALL SELECT {_LINE} FROM vendas_3",
+    "high_watermark": "SELECT CAST(max(DataVenda) AS VARCHAR) AS DataVenda FROM vendas",
+    "union_batches": f"SELECT {_SALE} FROM vendas_2 UNION ALL SELECT {_SALE} FROM vendas_3",
     "bronze_ingest": " UNION ALL ".join(
-        _profile(table, source, columns)
+        _lines(table, source, columns)
         for table, source, columns in (
             ("categorias", "categorias", "CategoriaID"),
             ("produtos", "produtos", "ProdutoID, Produto, CategoriaID, Preco, DataCadastro"),
@@ -192,7 +190,7 @@ _SELECTS = {
             ("vendedores", "vendedores", "VendedorID, PrimeiroNome, NomeDoMeio, UltimoNome, CidadeID"),
             (
                 "vendas",
-                "vendas_1",
+                "vendas",
                 "VendasID, VendedorID, ClienteID, ProdutoID, Quantidade, Desconto, DataVenda, NumeroTransacao",
             ),
         )
@@ -205,6 +203,7 @@ _SELECTS = {
         UNION ALL SELECT 'categorias', CategoriaID FROM categorias
         UNION ALL SELECT 'cidades', concat_ws('|', CidadeID, Cidade, PaisID) FROM cidades
         UNION ALL SELECT 'paises', concat_ws('|', PaisID, Pais) FROM paises""",
+    "silver_sales_load": f"SELECT {_FACT}, {_MONTH} FROM ({_priced('vendas')})",
     "silver_sales": f"SELECT {_FACT}, {_MONTH} FROM ({_priced('vendas')})",
     "gold_dim_customer": _dimension(
         "ClienteID, Nome, CidadeID, CAST(Saldo AS DOUBLE) AS Saldo", "clientes_nome", "ClienteID", "SK_Cliente"
@@ -232,8 +231,8 @@ _SELECTS = {
                CAST(data_inicio AS VARCHAR) AS data_inicio, CAST(data_fim AS VARCHAR) AS data_fim, registro_ativo
         FROM dim_historica""",
     "price_asof_join": f"""
-        SELECT {_LINE}, CAST(p.Preco AS DOUBLE) AS PrecoUnitario
-        FROM linhas v ASOF LEFT JOIN (SELECT ProdutoID AS produto, Preco, DataCadastro FROM precos) p
+        SELECT {_SALE}, CAST(p.Preco AS DOUBLE) AS PrecoUnitario
+        FROM vendas v ASOF LEFT JOIN (SELECT ProdutoID AS produto, Preco, DataCadastro FROM precos) p
           ON v.ProdutoID = p.produto AND v.DataVenda >= p.DataCadastro""",
     "fact_sk_point_in_time": f"""
         SELECT VendasID, {_AMOUNTS}, {_DAY}, SK_Cliente, SK_Vendedor, SK_Produto
@@ -246,24 +245,26 @@ _SELECTS = {
         LEFT JOIN sk_vendedores s ON v.VendedorID = s.VendedorID
         LEFT JOIN sk_produtos p ON v.ProdutoID = p.ProdutoID""",
     "fact_sk_current": f"""
-        SELECT VendasID, VendedorID, ProdutoID, {_AMOUNTS}, {_DAY}, SK_Cliente
+        SELECT VendasID, {_AMOUNTS}, {_DAY}, SK_Cliente, SK_Vendedor, SK_Produto
         FROM vendas v
         LEFT JOIN (SELECT ClienteID, SK_Cliente FROM dim_historica WHERE registro_ativo = 1) c
-          ON v.ClienteID = c.ClienteID""",
+          ON v.ClienteID = c.ClienteID
+        LEFT JOIN sk_vendedores s ON v.VendedorID = s.VendedorID
+        LEFT JOIN sk_produtos p ON v.ProdutoID = p.ProdutoID""",
     "gold_incremental_refresh": _gold("carregadas"),
     "dq_summary": " UNION ALL ".join(
         [
             *(_nulls("vendas", f"({_priced('vendas')})", c) for c in ("PrecoUnitario", "DataVenda")),
             _nulls("vendas", f"({_priced('vendas')})", "PrecoUnitario").replace("nulo:PrecoUnitario", "nulo:PrecoTotal"),
             _duplicates("vendas", "vendas", "VendasID"),
-            _orphans("vendas", "ClienteID", "primeiros"),
+            _orphans("vendas", "ClienteID", "clientes"),
             _orphans("vendas", "VendedorID", "vendedores"),
             _orphans("vendas", "ProdutoID", "precos"),
             *(
                 rule(table, source, key)
                 for rule in (_nulls, _duplicates)
                 for table, source, key in (
-                    ("clientes", "primeiros", "ClienteID"),
+                    ("clientes", "clientes", "ClienteID"),
                     ("vendedores", "vendedores", "VendedorID"),
                     ("produtos", "precos", "ProdutoID"),
                     ("cidades", "cidades", "CidadeID"),
@@ -279,7 +280,7 @@ _SELECTS = {
                count(*) FILTER (WHERE total IS NULL) AS sem_preco
         FROM (SELECT DataVenda, CAST(round(Quantidade * PrecoUnitario
                        * (CAST(1 AS DECIMAL(4,2)) - Desconto), 2) AS DECIMAL(18,2)) AS total
-              FROM ({_priced('linhas')}))
+              FROM ({_priced('vendas')}))
         GROUP BY 1, 2""",
 }
 

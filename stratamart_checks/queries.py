@@ -22,6 +22,7 @@ from stratamart.model import (
     SALES_PARTITIONS,
     SELLERS,
     TRANSACTION,
+    UNREADABLE,
     Lake,
 )
 from stratamart.operators.audit import load_audit
@@ -111,7 +112,7 @@ def bronze_csv_batches(t: Tables) -> DataFrame:
     for batch in NEW_BATCHES:
         land(t.sales(batch), lake.landing_file(batch))
     bronze.ingest_sales_batches(t.spark, lake, NEW_BATCHES)
-    return stack(*(scan_table(t.spark, lake.table("bronze", b)) for b in NEW_BATCHES))
+    return stack(*(scan_table(t.spark, lake.table("bronze", b)).drop(UNREADABLE) for b in NEW_BATCHES))
 
 
 @query("table_scan")
@@ -122,7 +123,7 @@ def table_scan(t: Tables) -> DataFrame:
 @query("partition_scan")
 def partition_scan(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines()), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sales()), path, SALES_PARTITIONS)
     return scan_partition(t.spark, path, Ano=1998, Mes=1)
 
 
@@ -140,16 +141,17 @@ def overwrite_roundtrip(t: Tables) -> DataFrame:
 @query("partitioned_overwrite")
 def partitioned_overwrite(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines()), path, ("ano", "mes"))
+    overwrite_partitioned(with_calendar(t.sales()), path, ("ano", "mes"))
     return scan_table(t.spark, path)
 
 
 @query("partitioned_append")
 def partitioned_append(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines("vendas_1")), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sales("vendas_1")), path, SALES_PARTITIONS)
     held = scan_table(t.spark, path).schema
-    append_partitioned(with_calendar(t.sale_lines("vendas_3")), path, SALES_PARTITIONS, target=held)
+    for batch in NEW_BATCHES:
+        append_partitioned(with_calendar(t.sales(batch)), path, SALES_PARTITIONS, target=held)
     return scan_table(t.spark, path)
 
 
@@ -179,14 +181,14 @@ def filter_equality(t: Tables) -> DataFrame:
 
 @query("incremental_filter")
 def incremental_filter(t: Tables) -> DataFrame:
-    mark = read_watermark(t.sale_lines("vendas_1"))
-    return newer_than(stack(*map(t.sale_lines, NEW_BATCHES)), mark)
+    mark = read_watermark(t.sales("vendas_1"))
+    return newer_than(stack(*map(t.sales, NEW_BATCHES)), mark)
 
 
 @query("incremental_bootstrap")
 def incremental_bootstrap(t: Tables) -> DataFrame:
     absent = scan_table_if_present(t.spark, new_folder(t.spark, SALES))
-    return newer_than(t.sale_lines(), read_watermark(absent))
+    return newer_than(t.sales(), read_watermark(absent))
 
 
 # --- joins, aggregate, union -------------------------------------------------------------------
@@ -194,7 +196,7 @@ def incremental_bootstrap(t: Tables) -> DataFrame:
 
 @query("price_lookup_join")
 def price_lookup_join(t: Tables) -> DataFrame:
-    return price_by_product(t.sale_lines(), t.products())
+    return price_by_product(t.sales(), t.products())
 
 
 @query("fact_sk_lookup")
@@ -207,13 +209,13 @@ def fact_sk_lookup(t: Tables) -> DataFrame:
 @query("high_watermark")
 def high_watermark_of_sales(t: Tables) -> DataFrame:
     path = new_folder(t.spark, SALES)
-    overwrite_partitioned(with_calendar(t.sale_lines()), path, SALES_PARTITIONS)
+    overwrite_partitioned(with_calendar(t.sales()), path, SALES_PARTITIONS)
     return high_watermark(scan_table(t.spark, path))
 
 
 @query("union_batches")
 def union_batches(t: Tables) -> DataFrame:
-    second, third = map(t.sale_lines, NEW_BATCHES)
+    second, third = map(t.sales, NEW_BATCHES)
     return stack(second, third.select(*reversed(third.columns)))
 
 
@@ -222,19 +224,16 @@ def union_batches(t: Tables) -> DataFrame:
 
 @query("bronze_ingest")
 def bronze_ingest(t: Tables) -> DataFrame:
-    """Rows of the seven bronze tables after a landing-zone ingest, and the length of their values."""
+    """Every value of the seven bronze tables after a landing-zone ingest, one text per row."""
     lake = new_lake(t)
     land_dimensions(t, lake)
-    land(t.sales("vendas_1"), lake.landing_file(SALES))
+    land(t.sales(), lake.landing_file(SALES))
     bronze.ingest(t.spark, lake)
-    tables = [*dimension_sources(t), SALES]
-    return stack(*(_profile(scan_table(t.spark, lake.table("bronze", n)), n) for n in tables))
+    return stack(*(_lines(scan_table(t.spark, lake.table("bronze", n)), n) for n in [*dimension_sources(t), SALES]))
 
 
-def _profile(df: DataFrame, table: str) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("linhas"), F.sum(F.length(F.concat_ws("|", *df.columns))).alias("caracteres")
-    ).select(F.lit(table).alias("tabela"), "linhas", "caracteres")
+def _lines(df: DataFrame, table: str) -> DataFrame:
+    return df.select(F.lit(table).alias("tabela"), F.concat_ws("|", *df.columns).alias("linha"))
 
 
 @query("silver_customers")
@@ -255,8 +254,7 @@ def silver_passthrough(t: Tables) -> DataFrame:
     for table in (*silver.UNCHANGED, CUSTOMERS, SELLERS):
         overwrite(sources[table], lake.table("bronze", table))
     silver.build_dimensions(t.spark, lake)
-    kept = [(n, scan_table(t.spark, lake.table("silver", n))) for n in silver.UNCHANGED]
-    return stack(*(df.select(F.lit(n).alias("tabela"), F.concat_ws("|", *df.columns).alias("linha")) for n, df in kept))
+    return stack(*(_lines(scan_table(t.spark, lake.table("silver", n)), n) for n in silver.UNCHANGED))
 
 
 @query("silver_sales")
@@ -264,6 +262,17 @@ def silver_sales(t: Tables) -> DataFrame:
     return conform_sales(t.sales(), t.products())
 
 
+@query("silver_sales_load")
+def silver_sales_load(t: Tables) -> DataFrame:
+    """From the landing zone through bronze to the stored silver table, by the loads themselves."""
+    lake = new_lake(t)
+    land_dimensions(t, lake)
+    land(t.sales(), lake.landing_file(SALES))
+    bronze.ingest(t.spark, lake, (PRODUCTS, SALES))
+    silver.build_sales(t.spark, lake)
+    return scan_table(t.spark, lake.table("silver", SALES))
+
+
 def _gold_dimension(table: str) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
         rows = dimension_sources(t)[table]
@@ -287,13 +296,18 @@ for _name, _table in {
 
 @query("gold_sales")
 def gold_sales(t: Tables) -> DataFrame:
-    """Dimensions are stored first; the fact takes its keys from the stored ones."""
+    """The load from stored silver tables to the stored fact, by the keys of the stored dimensions."""
     lake = new_lake(t)
+    _gold_load(t, lake)
+    return scan_table(t.spark, lake.table("gold", SALES))
+
+
+def _gold_load(t: Tables, lake: Lake) -> None:
     sources = dimension_sources(t)
     for spec in FACT_DIMENSIONS:
-        overwrite(first_load(sources[spec.table], spec, FIRST_LOAD), lake.table("gold", spec.table))
-    stored = [(spec, current_versions(rows)) for spec, rows in gold.stored_dimensions(t.spark, lake)]
-    return swap_keys(conform_sales(t.sales(), t.products()), stored)
+        overwrite(sources[spec.table], lake.table("silver", spec.table))
+    overwrite_partitioned(conform_sales(t.sales(), t.products()), lake.table("silver", SALES), SALES_PARTITIONS)
+    gold.build(t.spark, lake, FIRST_LOAD, FACT_DIMENSIONS)
 
 
 def _first_silver_load(t: Tables, lake: Lake) -> None:
@@ -352,12 +366,18 @@ def _merged_customers(t: Tables) -> DataFrame:
 
 @query("scd2_merge")
 def scd2_merge(t: Tables) -> DataFrame:
-    return _merged_customers(t)
+    """The load that merges a stored silver table into a stored dimension."""
+    lake, spec = new_lake(t), DIMENSIONS[CUSTOMERS]
+    overwrite(merge_names(_early_customers(t), "ClienteID"), lake.table("silver", CUSTOMERS))
+    gold.build_dimension(t.spark, lake, spec, FIRST_LOAD)
+    overwrite(_later_extract(t), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(t.spark, lake, spec, SECOND_LOAD)
+    return scan_table(t.spark, lake.table("gold", CUSTOMERS))
 
 
 @query("price_asof_join")
 def price_asof_join(t: Tables) -> DataFrame:
-    return price_as_of(t.sale_lines(), t.price_history())
+    return price_as_of(t.sales(), t.price_history())
 
 
 @query("fact_sk_point_in_time")
@@ -373,7 +393,9 @@ def fact_sk_point_in_time(t: Tables) -> DataFrame:
 def fact_sk_current(t: Tables) -> DataFrame:
     lake = new_lake(t)
     overwrite(_merged_customers(t), lake.table("gold", CUSTOMERS))
-    stored = gold.stored_dimensions(t.spark, lake, [DIMENSIONS[CUSTOMERS]])
+    for spec, source in ((DIMENSIONS[SELLERS], t.sellers()), (DIMENSIONS[PRODUCTS], t.products())):
+        overwrite(first_load(source, spec, FIRST_LOAD), lake.table("gold", spec.table))
+    stored = gold.stored_dimensions(t.spark, lake)
     return swap_keys(t.sales().drop(TRANSACTION), [(spec, current_versions(rows)) for spec, rows in stored])
 
 
@@ -392,11 +414,11 @@ def gold_incremental_refresh(t: Tables) -> DataFrame:
 
 @query("dq_summary")
 def dq_summary(t: Tables) -> DataFrame:
-    """Early buyers stand in for the customer table, so that there are orphans to report."""
+    """Sales and the tables they point to, each whole; a price table with several rows per product has duplicates."""
     path = new_folder(t.spark, SALES)
     overwrite_partitioned(conform_sales(t.sales(), t.products()), path, SALES_PARTITIONS)
     parents = {
-        "ClienteID": (CUSTOMERS, _early_customers(t)),
+        "ClienteID": (CUSTOMERS, t.customers()),
         "VendedorID": (SELLERS, t.sellers()),
         "ProdutoID": (PRODUCTS, t.price_history()),
         "CidadeID": (CITIES, t.cities()),
@@ -408,11 +430,13 @@ def dq_summary(t: Tables) -> DataFrame:
 
 @query("load_audit")
 def load_audit_of_batches(t: Tables) -> DataFrame:
-    mark = read_watermark(t.sale_lines("vendas_1"))
-    return load_audit(stack(*(t.sale_lines(b).withColumn("lote", F.lit(b)) for b in NEW_BATCHES)), mark)
+    mark = read_watermark(t.sales("vendas_1"))
+    return load_audit(stack(*(t.sales(b).withColumn("lote", F.lit(b)) for b in NEW_BATCHES)), mark)
 
 
 @query("sales_by_month")
 def sales_by_month(t: Tables) -> DataFrame:
-    priced = price_by_product(t.sale_lines().withColumn("ClienteID", F.lit(None).cast("bigint")), t.products())
-    return monthly(with_calendar(with_totals(priced)))
+    """Read from the stored fact, by the columns it is stored by."""
+    lake = new_lake(t)
+    _gold_load(t, lake)
+    return monthly(scan_table(t.spark, lake.table("gold", SALES)))

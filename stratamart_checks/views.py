@@ -25,10 +25,6 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sale_lines(self, batch: str | None = None) -> DataFrame:
-        """Sales, or those of one batch, without their customer, which only the orders know."""
-        return self._order_lines(batch).drop("_order")
-
     def _order_lines(self, batch: str | None) -> DataFrame:
         lines = self.read("lineitem")
         since, until = BATCHES[batch] if batch else (None, None)
@@ -48,6 +44,7 @@ class Tables:
         )
 
     def sales(self, batch: str | None = None) -> DataFrame:
+        """Sales, or those of one batch, with their customer, whom only the orders know."""
         orders = self.read("orders").select(
             F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("ClienteID")
         )
