@@ -115,3 +115,16 @@ def test_history_of_random_loads(spark, seed):
         assert [r.registro_ativo for r in mine] == [0] * (len(mine) - 1) + [1]
         assert [r.data_fim for r in mine] == [r.data_inicio for r in mine[1:]] + [OPEN]
     assert len(rows) == sum(len(c) for c in model.values())
+
+
+@pytest.mark.parametrize(("rows", "what"), [([(None, "a", 1), (1, "b", 1)], "null keys"), ([(1, "a", 1), (1, "b", 1)], "repeated")])
+def test_extracts_without_unique_keys_are_refused(spark, rows, what):
+    old = first_load(extract(spark, [(1, "a", 1)]), SPEC, "2024-01-01")
+    with pytest.raises(ValueError, match=what):
+        merge_changes(old, extract(spark, rows), SPEC, "2024-02-01")
+
+
+def test_loads_before_the_newest_version_are_refused(spark):
+    old = first_load(extract(spark, [(1, "new", 1)]), SPEC, "2024-02-01")
+    with pytest.raises(ValueError, match="before 2024-02-01"):
+        merge_changes(old, extract(spark, [(1, "older", 1)]), SPEC, "2024-01-01")

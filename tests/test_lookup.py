@@ -55,10 +55,13 @@ def test_version_valid_on_the_sale_date(spark, history, limit):
             (7, 2, "2018-04-01"),
             (8, 1, None),
             (9, 77, "2018-04-01"),
+            (10, 2, None),
+            (11, 2, "9999-12-30"),
+            *((k, 1, "2018-02-28") for k in range(100, 200)),
         ],
     )
     out = swap_keys_at_date(fact, [(SPEC, history)], limit=limit)
-    assert swapped(out) == {1: 1, 2: 1, 3: 3, 4: 3, 5: 4, 6: 4, 7: 2, 8: None, 9: None}
+    assert swapped(out) == {1: 1, 2: 1, 3: 3, 4: 3, 5: 4, 6: 4, 7: 2, 8: None, 9: None, 10: 2, 11: 2} | dict.fromkeys(range(100, 200), 1)
 
 
 def test_broadcast_bound(spark, tmp_path):
