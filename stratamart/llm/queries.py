@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,6 +39,22 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages"))
 
 
+# Five hexadecimal digits are four digits of base 32.
+_BASE_32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (CAST('0x' || substr(sha, {5 * k + 1}, 5) AS INTEGER) >> {shift}) % 32, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+ORACLE_SQL["op3_warc"] = f"""
+    WITH payloads AS (
+        SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages),
+    first AS (SELECT payload, min(page_id) AS response FROM payloads GROUP BY payload)
+    SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, {_BASE_32} AS payload_digest,
+           CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> response THEN response END AS refers_to
+    FROM payloads JOIN first USING (payload)"""
+
+
 @query("op2_quality_classifier")
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.quality_classifier import fit, score
@@ -71,7 +88,31 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.lm_scoring import backoff_scores
 
-    return backoff_scores(table(spark, folder, "documents"))
+    scores = backoff_scores(table(spark, folder, "documents"))
+    # Rounded, so that the order in which logarithms are added does not show.
+    return scores.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
+
+
+ORACLE_SQL["op1_lm_scoring"] = r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents),
+    tokens AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM texts),
+    pairs AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY k) AS p FROM tokens),
+    ones AS (SELECT w, count(*) AS c FROM tokens GROUP BY w),
+    twos AS (SELECT p, w, count(*) AS c FROM pairs WHERE p IS NOT NULL GROUP BY p, w),
+    total AS (SELECT count(*) AS n FROM tokens),
+    scored AS (
+        SELECT doc_id, twos.c IS NOT NULL AND twos.c < 2 AS back,
+               CASE WHEN twos.c >= 2 THEN ln(twos.c) - ln(o.c) ELSE ln(ones.c) - ln(n) END
+                 + CASE WHEN twos.c < 2 THEN ln(0.4) ELSE 0 END AS s
+        FROM pairs JOIN ones USING (w) CROSS JOIN total
+        LEFT JOIN twos ON twos.p = pairs.p AND twos.w = pairs.w LEFT JOIN ones o ON o.w = pairs.p)
+    SELECT doc_id, len(ws) AS n_tokens, CAST(count(*) FILTER (WHERE back) AS BIGINT) AS n_backoffs,
+           round(coalesce(sum(s), 0), 6) AS log_score,
+           CASE WHEN len(ws) > 0 THEN round(sum(s) / len(ws), 6) END AS mean_log_score
+    FROM texts LEFT JOIN scored USING (doc_id) GROUP BY doc_id, ws"""
 
 
 @query("op4_quality_rules")
