@@ -2,8 +2,9 @@
 
 Candidates. Sets of sizes a <= b with a Jaccard similarity of p % or more differ in at most
 k = a (100 - p) / p shingles. Hash values are cut into k + 1 + e ranges, so such sets agree wholly in
-e + 1 ranges at least. A set emits the hash of its content in each range that is not empty, and of each
-e + 1 ranges that are all empty; sets with no such key in common are not similar. Bands of sizes
+e + 1 ranges at least. A set emits the hash of its content in each range that is not empty. Only sets with more
+than e empty ranges could agree in those alone: they emit each choice of e + 1 of them, or where there are many
+ranges, and e is such that it hardly occurs, one key for all. Sets with no key in common are not similar. Bands of sizes
 fix k: a similar set is in the same or the next band, so each set emits keys for its own
 band and for the one below. Common passages make no common keys, as a key needs all of a text's
 shingles in its range.
@@ -33,11 +34,12 @@ from stratamart.workspace import materialize
 
 SHINGLE = 3
 PERCENT = 90
-CELL_SHINGLES = 2 << 20
-CELL_SETS = 8192
+CELL_SHINGLES = 1 << 20
+CELL_SETS = 1024
 BITMAP_BITS = 4096
 BROADCAST_BYTES = 24 << 20
-COMBINE_KEYS = 1 << 19
+COMBINE_KEYS = 1 << 18
+FEW_PARTS = 32
 
 _A, _B, _C = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F))
 
@@ -79,7 +81,7 @@ def _fingerprint(s: np.ndarray) -> np.uint64:
 def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarray:
     """Keys of a sorted set for its band and the one below."""
     # Ranges hold fewer shingles where fewer are shared, so that more of them are empty by chance.
-    spare = max(1, (100 - percent) // 5 - 1)
+    least_spare = max(1, (100 - percent) // 5 - 1)
     sums = np.zeros(len(s) + 1, np.uint64)
     np.cumsum(mix(s + _C), out=sums[1:])
     high = s >> np.uint64(32)
@@ -87,7 +89,9 @@ def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarra
     for b in (band, band - 1):
         if b < 0:
             continue
-        parts = int(tops[b]) * (100 - percent) // percent + 1 + spare
+        differ = int(tops[b]) * (100 - percent) // percent
+        spare = least_spare + differ // 10
+        parts = differ + 1 + spare
         ranks = (high * np.uint64(parts)) >> np.uint64(32)
         edges = np.searchsorted(ranks, np.arange(parts + 1, dtype=np.uint64))
         tag = np.uint64(b) << np.uint64(40)
@@ -97,10 +101,10 @@ def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarra
         empty = np.flatnonzero(edges[1:] == edges[:-1]).astype(np.uint64)
         if len(empty) > spare:
             h = np.full(1, tag, np.uint64)
-            combined = np.array(list(itertools.combinations(empty, spare + 1)), np.uint64)
-            for column in combined.T:
-                h = mix(h * _B + column)
-            out.append(h)
+            if parts <= FEW_PARTS:
+                for column in np.array(list(itertools.combinations(empty, spare + 1)), np.uint64).T:
+                    h = mix(h * _B + column)
+            out.append(mix(h))
     return np.concatenate(out)
 
 

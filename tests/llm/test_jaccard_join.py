@@ -59,6 +59,26 @@ def test_against_all_pairs(spark, n, percent):
     assert run(spark, rows, n, percent) == brute(rows, n, percent)
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_keys_of_similar_sets_meet(n, percent):
+    """Sets at the limit share a key whatever their size; long ones emit keys in proportion."""
+    rng = np.random.default_rng(n)
+    for size in [*range(1, 60), 150, 400, 3000, 30_000]:
+        for _ in range(20 if size < 100 else 2):
+            common = size * percent // 100
+            one = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+            two = np.sort(one[rng.permutation(len(one))[: max(common, 1)]])
+            assert 100 * len(two) < percent * len(one) or len(
+                set(keys_of(one, percent)) & set(keys_of(two, percent))
+            )
+        assert len(keys_of(one, percent)) <= 20 + 2 * size
+
+
+def keys_of(s, percent):
+    band, tops = jaccard_join.bands(np.array([len(s)]), percent)
+    return jaccard_join._keys(s, percent, int(band[0]), tops).tolist()
+
+
 def test_large_groups_are_cut_into_tiles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CELL_SETS", 5)
     rows = corpus(4, [40, 46, 120], 25, 3)
