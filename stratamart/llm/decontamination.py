@@ -25,6 +25,8 @@ from stratamart.llm.textblocks import LOWER, RangeHash, Words, text_blocks, wind
 WINDOW = 5
 LITERALS = 3
 SIMILARITY = 0.8
+# So many windows found are a passage of the item, however long the item is.
+PASSAGE = 13
 FILTER_BITS = 24
 
 # Units of measure, written and short forms.
@@ -127,12 +129,16 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    similarity: float = SIMILARITY,
+    passage: int = PASSAGE,
 ) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, the item's windows, those found, verbatim.
 
-    A pair is returned where at least ``similarity`` of the item's distinct window positions are found
-    in consistent alignments; ``verbatim`` says whether all slots found hold the item's own values.
+    A pair is returned where at least ``similarity`` of the item's distinct window positions, or ``passage``
+    of them, are found in consistent alignments; ``verbatim`` says whether all slots found hold the item's own values.
     Windows with fewer than three words outside slots are not used, and items that have no other,
     such as those shorter than a window, match nothing. Null and empty texts match nothing. Rows with a
     null id are not reported. Rows that share an id are taken as one document or item. Empty tables
@@ -163,7 +169,7 @@ def contaminated(
     )
     return (
         held.join(sizes, "item_id")
-        .where(F.col("found_windows") >= similarity * F.col("item_windows"))
+        .where((F.col("found_windows") >= similarity * F.col("item_windows")) | (F.col("found_windows") >= passage))
         .select("doc_id", "item_id", "item_windows", "found_windows", "verbatim")
     )
 

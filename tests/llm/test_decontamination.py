@@ -56,7 +56,7 @@ def brute(docs, items, window=5, literals=3, similarity=0.8):
                 if len(pairs) == len({a for a, _ in pairs}):
                     found |= {place for place, _ in hits}
                     verbatim &= all(a == b for a, b in pairs)
-            if own and len(found) >= similarity * len(own) and found:
+            if found and (len(found) >= similarity * len(own) or len(found) >= 13):
                 out.append((doc_id, item_id, len(own), len(found), verbatim))
     return sorted(out)
 
@@ -86,6 +86,13 @@ def test_inconsistent_slots_do_not_count(spark):
     assert run(spark, docs, [(1, item)]) == brute(docs, [(1, item)])
 
 
+def test_long_passages_of_longer_items(spark):
+    item = " ".join(f"word{chr(97 + k)}x" for k in range(26)) + " " + " ".join(f"then{chr(97 + k)}y" for k in range(26))
+    docs = [(1, " ".join(item.split()[10:27]) + " and on"), (2, " ".join(item.split()[10:26]) + " and on")]
+    assert [r[0] for r in run(spark, docs, [(1, item)])] == [1]
+    assert run(spark, docs, [(1, item)]) == brute(docs, [(1, item)])
+
+
 def test_given_tables(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 3 = 0").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text").collect()]
