@@ -108,42 +108,53 @@ def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarra
     return np.concatenate(out)
 
 
-def _scan(n: int, percent: int):
+def _prints(n: int):
+    """Size and fingerprint of each text's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # What a task has already emitted: a set again emits nothing, a key again only ties the two sets.
-        sets: dict[int, None] = {}
-        holders: dict[int, int] = {}
         for rows, data, offsets in text_blocks(batches):
             found = shingle_sets(data, offsets, n)
-            sizes = np.array([len(s) for s in found])
-            band, tops = bands(sizes, percent)
-            prints, keys, ties = [], [], []
+            sizes = pa.array([len(s) for s in found], pa.int64())
+            prints = pa.array([int(_fingerprint(s).view(np.int64)) for s in found], pa.int64())
+            yield pa.record_batch([rows.column("doc_id"), sizes, prints], ["doc_id", "n_shingles", "fp"])
+
+    return run
+
+
+def _keyed(n: int, percent: int):
+    """(key, fp) of every set's keys; a task emits a set, and a key that several sets share, once.
+
+    A set whose key was emitted for another is tied to that one by a key that only the two have.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: set[int] = set()
+        holders: dict[int, int] = {}
+        for _, data, offsets in text_blocks(batches):
+            found = shingle_sets(data, offsets, n)
+            band, tops = bands(np.array([len(s) for s in found]), percent)
+            keys, prints = [], []
             for s, b in zip(found, band, strict=True):
                 fp = int(_fingerprint(s).view(np.int64))
-                prints.append(fp)
-                new, tied = [], set()
-                if len(s) and fp not in sets:
-                    sets[fp] = None
-                    for key in _keys(s, percent, int(b), tops).view(np.int64).tolist():
-                        holder = holders.setdefault(key, fp)
-                        if holder == fp:
-                            new.append(key)
-                        else:
-                            tied.add(holder)
-                keys.append(new)
-                ties.append(list(tied))
-            yield pa.record_batch(
-                [
-                    rows.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(prints, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(ties, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n_shingles", "fp", "keys", "ties"],
-            )
+                if not len(s) or fp in sets:
+                    continue
+                sets.add(fp)
+                tied = set()
+                for key in _keys(s, percent, int(b), tops).view(np.int64).tolist():
+                    holder = holders.setdefault(key, fp)
+                    if holder == fp:
+                        keys.append(key)
+                        prints.append(fp)
+                    else:
+                        tied.add(holder)
+                for holder in tied:
+                    pair = mix(np.array([holder, fp], np.int64).view(np.uint64))
+                    key = int(mix(pair[:1] * _A + pair[1:]).view(np.int64)[0])
+                    keys += [key, key]
+                    prints += [holder, fp]
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(prints, pa.int64())], ["key", "fp"])
             if len(holders) > COMBINE_KEYS:
-                sets, holders = {}, {}
+                sets, holders = set(), {}
 
     return run
 
@@ -214,16 +225,12 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
     through a text that some row with an id has too. Whole texts are read. Other columns are ignored.
     """
     texts = docs.select("doc_id", "text")
-    scanned = materialize(
-        texts.mapInArrow(_scan(n, percent), "doc_id long, n_shingles long, fp long, keys array<long>, ties array<long>"),
-        "shingles",
-    )
-
-    keyed = scanned.where("size(keys) > 0").select(F.explode("keys").alias("key"), "fp")
+    # Texts are read again for the keys, of which there are many times more, rather than store them.
+    scanned = materialize(texts.mapInArrow(_prints(n), "doc_id long, n_shingles long, fp long"), "shingles")
+    keyed = texts.select("text").mapInArrow(_keyed(n, percent), "key long, fp long")
     # Within a key each set is tied to the one before it: rows stream by, a key's sets are never held.
     chain = keyed.selectExpr("fp AS a", "lag(fp) OVER (PARTITION BY key ORDER BY fp) AS b")
-    tied = scanned.where("size(ties) > 0").select(F.col("fp").alias("a"), F.explode("ties").alias("b"))
-    coarse = connected_components(chain.where("a != b").union(tied))
+    coarse = connected_components(chain.where("a != b"))
 
     sets = scanned.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles")
