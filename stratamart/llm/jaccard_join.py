@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.columns import join_by_size
 from stratamart.llm.components import connected_components
 from stratamart.llm.textblocks import mix, text_blocks, windows, words
-from stratamart.operators.broadcasting import broadcast_if_small
 from stratamart.workspace import materialize
 
 SHINGLE = 3
@@ -169,7 +169,7 @@ def _chosen(n: int):
             keep = [k for k, s in enumerate(found) if int(_fingerprint(s).view(np.int64)) == meant[k]]
             part = rows.take(pa.array(keep, pa.int64()))
             shingles = pa.array([found[k].tobytes() for k in keep], pa.binary())
-            yield pa.record_batch([*(part.column(k) for k in ("fp", "tile_group", "n_shingles")), shingles], ["fp", "tile_group", "n_shingles", "shingles"])
+            yield pa.record_batch([part.column("fp"), part.column("places"), shingles], ["fp", "places", "shingles"])
 
     return run
 
@@ -239,14 +239,15 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
         sets.join(coarse, sets.fp == coarse.vertex).select("doc_id", "fp", "n_shingles", F.col("component").alias("tile_group")),
         "candidates",
     )
-    fetched = materialize(
-        texts.join(broadcast_if_small(candidates, BROADCAST_BYTES), "doc_id")
-        .select("text", "fp", "tile_group", "n_shingles")
-        .mapInArrow(_chosen(n), "fp long, tile_group long, n_shingles long, shingles binary")
-        .dropDuplicates(["fp"]),
-        "sets",
+    # Which tiles a set goes to is settled without the sets, which then cross the network once for each.
+    placed = materialize(_placed(candidates, percent), "tiles")
+    fetched = (
+        join_by_size(texts, placed, "doc_id", "inner", 64 * F.size("places"), BROADCAST_BYTES)
+        .select("text", "fp", "places")
+        .mapInArrow(_chosen(n), "fp long, places array<struct<tile:string,cell:int>>, shingles binary")
+        .select("fp", F.explode("places").alias("place"), "shingles")
     )
-    links = materialize(_links(fetched, percent), "links")
+    links = materialize(_links(fetched.select("place.tile", "place.cell", "fp", "shingles"), percent), "links")
 
     fine = connected_components(links)
     merged = sets.join(fine, sets.fp == fine.vertex, "left").select(
@@ -260,18 +261,21 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
     return full.select("doc_id", "n_shingles", "component_id").union(empty)
 
 
-def _links(fetched: DataFrame, percent: int) -> DataFrame:
-    """Links between fetched sets of the same coarse group, tile by tile."""
+def _placed(candidates: DataFrame, percent: int) -> DataFrame:
+    """For each candidate the tiles that it goes to, and its cell there: doc_id, fp, places."""
     _, tops = bands(1 << 40, percent)
     # A logarithm would round: count the bands whose largest size is less.
     band = F.size(F.filter(F.array(*[F.lit(int(t)) for t in tops]), lambda t: t < F.col("n_shingles")))
-    rows = fetched.withColumn("band", band)
+    rows = candidates.withColumn("band", band)
     total = rows.groupBy("tile_group").agg(F.sum("n_shingles").alias("in_group"), F.count("*").alias("group_sets"))
     small = (F.col("in_group") <= CELL_SHINGLES) & (F.col("group_sets") <= CELL_SETS)
     sized = rows.join(total, "tile_group").withColumn("whole", small)
 
+    def place(tile, cell):
+        return F.struct(tile.alias("tile"), cell.cast("int").alias("cell"))
+
     alone = sized.where("whole").select(
-        F.concat_ws("/", F.col("tile_group")).alias("tile"), F.lit(0).alias("cell"), "fp", "shingles"
+        "doc_id", "fp", F.array(place(F.col("tile_group").cast("string"), F.lit(0))).alias("places")
     )
     large = sized.where("NOT whole")
     cells = large.groupBy("tile_group", "band").agg(
@@ -298,12 +302,14 @@ def _links(fetched: DataFrame, percent: int) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.col("cells_before") - 1), lambda k: name(F.col("band") - 1, k, F.col("band"), F.col("own"))),
     )
     none = F.array().cast("array<string>")
-    spread = own.select(
-        F.explode(F.concat(here, F.coalesce(up, none), F.coalesce(down, none))).alias("tile"),
-        (F.col("band") * 100000 + F.col("own")).cast("int").alias("cell"),
-        "fp",
-        "shingles",
-    )
+    every = F.concat(here, F.coalesce(up, none), F.coalesce(down, none))
+    cell = F.col("band") * 100000 + F.col("own")
+    spread = own.select("doc_id", "fp", F.transform(every, lambda tile: place(tile, cell)).alias("places"))
+    return alone.union(spread)
+
+
+def _links(fetched: DataFrame, percent: int) -> DataFrame:
+    """Links between sets of the same tile."""
 
     def run(group: pa.Table) -> pa.Table:
         prints = group.column("fp").to_pylist()
@@ -316,7 +322,7 @@ def _links(fetched: DataFrame, percent: int) -> DataFrame:
             }
         )
 
-    return alone.union(spread).groupBy("tile").applyInArrow(run, "a long, b long")
+    return fetched.groupBy("tile").applyInArrow(run, "a long, b long")
 
 
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
