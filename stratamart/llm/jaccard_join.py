@@ -34,12 +34,12 @@ from stratamart.workspace import materialize
 
 SHINGLE = 3
 PERCENT = 90
-CELL_SHINGLES = 1 << 20
-CELL_SETS = 1024
+CELL_SHINGLES = 2 << 20
+CELL_SETS = 4096
 BITMAP_BITS = 4096
 BROADCAST_BYTES = 24 << 20
 COMBINE_KEYS = 1 << 18
-FEW_PARTS = 32
+FEW_PARTS = 128
 
 _A, _B, _C = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F))
 
