@@ -1,7 +1,7 @@
 """Licences in texts: known phrases, and notices found through the positions of their rare words.
 
-Templates of licence notices are indexed by word: which template has it and where. Of the templates'
-words that a text has, those rare in all texts (highest inverse document frequency) are looked up; each posting
+Templates of licence notices are indexed by word: which template has it and where. Of each template's
+words that a text has, those rarest in all texts (highest inverse document frequency) are looked up; each posting
 votes for its template at a relative position, and votes that agree on it, give or take a few words, are
 counted once per word. A template counts if enough of its rare words agree and its mandatory phrase stands in the text.
 
@@ -136,21 +136,43 @@ def _ranked(profile: DataFrame) -> list[str]:
 
 def _notices(texts: DataFrame, profile: DataFrame, rare: list[str]) -> DataFrame:
     """Per key the labels of the notices found, and the best share of rare words that agree."""
-    looked_up = F.slice(F.array_intersect(F.array(*map(F.lit, rare)), F.col("had")), 1, RARE)
-    some = profile.select("key", looked_up.alias("top")).where("size(top) > 1").distinct()
+    # Only texts that have all words of a template's phrase can hold the phrase.
+    phrases = [F.array(*map(F.lit, phrase.split())) for _, phrase, _ in TEMPLATES]
+    possible = reduce(lambda a, b: a | b, (F.size(F.array_except(p, F.col("had"))) == 0 for p in phrases))
+    looked_up = F.array_intersect(F.array(*map(F.lit, rare)), F.col("had"))
+    some = profile.where(possible).select("key", looked_up.alias("words")).where("size(words) > 1").distinct()
     some = materialize(some, "licence-words")
-    again = join_by_size(texts.select("key", "text"), some, "key", "inner", 24 * F.size("top"), BROADCAST_BYTES).distinct()
+    again = join_by_size(texts.select("key", "text"), some, "key", "inner", 24 * F.size("words"), BROADCAST_BYTES).distinct()
+
+    def top(text: str) -> Column:
+        """The rarest words of a template that the text has, whatever other templates' words it has."""
+        return F.slice(F.filter("words", lambda w: w.isin(*set(text.split()))), 1, RARE)
 
     def of_words(w: Column) -> Column:
         line = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
-        has = bind(line, lambda x: F.array(*(x.contains(f" {phrase} ") for _, phrase, _ in TEMPLATES)))
-        hits = F.filter(
-            F.transform(w, lambda x, i: F.struct(x.alias("word"), i.alias("place"))), lambda x: F.array_contains("top", x["word"])
+        held = bind(
+            line,
+            lambda x: F.array_compact(
+                F.array(
+                    *(
+                        F.when(x.contains(f" {phrase} "), F.struct(F.lit(t).alias("template"), top(text).alias("top")))
+                        for t, (_, phrase, text) in enumerate(TEMPLATES)
+                    )
+                )
+            ),
         )
-        return F.struct(has.alias("has"), F.when(F.exists(has, lambda x: x), hits).alias("hits"))
+        places = F.transform(w, lambda x, i: F.struct(x.alias("word"), i.alias("place")))
+
+        def hits(h: Column) -> Column:
+            every = bind(F.array_distinct(F.flatten(h["top"])), lambda t: F.filter(places, lambda x: F.array_contains(t, x["word"])))
+            return F.struct(h.alias("held"), F.when(F.size(h) > 0, every).alias("hits"))
+
+        return bind(held, hits)
 
-    hits = again.select("key", bind(license_words(F.col("text")), of_words).alias("w")).select(
-        "key", "w.has", F.explode("w.hits").alias("hit")
+    hits = (
+        again.select("key", bind(license_words(F.col("text")), of_words).alias("w"))
+        .select("key", "w.hits", F.explode("w.held").alias("held"))
+        .select("key", "held.template", F.explode(F.filter("hits", lambda x: F.array_contains("held.top", x["word"]))).alias("hit"))
     )
     postings = [
         (t, label, word, place, min(RARE, len({w for w in text.split() if w in rare})))
@@ -158,13 +180,12 @@ def _notices(texts: DataFrame, profile: DataFrame, rare: list[str]) -> DataFrame
         for place, word in enumerate(text.split())
         if word in rare
     ]
-    index = texts.sparkSession.createDataFrame(postings, "template int, label string, word string, at int, rare int")
+    index = texts.sparkSession.createDataFrame(postings, "of int, label string, word string, at int, rare int")
     shift = F.col("hit.place") - F.col("at")
     # Two ways of cutting positions, so that votes a little apart meet in one of them.
     near = F.explode(F.array(2 * F.floor(shift / SLACK), 2 * F.floor((shift + SLACK // 2) / SLACK) + 1)).alias("near")
     votes = (
-        hits.join(F.broadcast(index), F.col("hit.word") == F.col("word"))
-        .where(F.get("has", F.col("template")))
+        hits.join(F.broadcast(index), (F.col("hit.word") == F.col("word")) & (F.col("template") == F.col("of")))
         .select("key", "template", "label", "rare", "word", near)
         .groupBy("key", "template", "label", "rare", "near")
         .agg(F.countDistinct("word").alias("agree"))

@@ -89,6 +89,15 @@ def test_notices_and_phrases(spark):
     assert labels[3] == "apache,cc-by,gpl,mit" and labels[5] == "" and labels[100] == ""
 
 
+def test_several_notices_in_one_text(spark):
+    mit, apache, gpl, bsd = (TEMPLATES[k][2] for k in (1, 3, 5, 6))
+    texts = {1: (mit, bsd), 2: (mit, apache), 3: (gpl, bsd), 4: (mit, apache, bsd, gpl), 5: (mit,)}
+    rows = [*FILLER, *((k, "\n\n".join(parts)) for k, parts in texts.items())]
+    found = {r[0]: r[6:] for r in run(spark, rows)}
+    assert found[1] == ("bsd,mit", 1) and found[2] == ("apache,apache-2.0,mit", 1) and found[3] == ("bsd,gpl", 1)
+    assert found[4] == ("apache,apache-2.0,bsd,gpl,mit", 1) and found[5] == ("mit", 1)
+
+
 def test_given_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     assert run(spark, rows) == brute(rows)
