@@ -125,28 +125,39 @@ def _profiles(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "key", bind(license_words(F.col("text")), of_words).alias("p")).select("doc_id", "key", "p.*")
 
 
-def _ranked(profile: DataFrame) -> list[str]:
-    """The templates' words that are rare in all texts, rarest first; at most as many as the templates have."""
+def _ranked(profile: DataFrame) -> tuple[list[str], int]:
+    """The templates' words that texts have, rarest first, and how many of them are rare in all texts."""
     texts = profile.count()
     counts = profile.select(F.explode("had").alias("word")).groupBy("word").count()
     idf = F.log((F.lit(float(texts)) + 1) / (F.col("count") + 1))
-    rows = counts.select("word", idf.alias("idf")).where(F.col("idf") >= LEAST_IDF).collect()
-    return [r.word for r in sorted(rows, key=lambda r: (-r.idf, r.word))]
+    rows = counts.select("word", idf.alias("idf")).collect()
+    return [r.word for r in sorted(rows, key=lambda r: (-r.idf, r.word))], sum(r.idf >= LEAST_IDF for r in rows)
 
 
-def _notices(texts: DataFrame, profile: DataFrame, rare: list[str]) -> DataFrame:
-    """Per key the labels of the notices found, and the best share of rare words that agree."""
+def _notices(texts: DataFrame, profile: DataFrame, ranked: list[str], n_rare: int) -> DataFrame:
+    """Per key the labels of the notices found, and the best share of rare words that agree.
+
+    Where the words rare in all texts do not show a notice, its rarest words are taken however frequent
+    they are: those of a notice that much of the table carries are frequent.
+    """
     # Only texts that have all words of a template's phrase can hold the phrase.
     phrases = [F.array(*map(F.lit, phrase.split())) for _, phrase, _ in TEMPLATES]
     possible = reduce(lambda a, b: a | b, (F.size(F.array_except(p, F.col("had"))) == 0 for p in phrases))
-    looked_up = F.array_intersect(F.array(*map(F.lit, rare)), F.col("had"))
-    some = profile.where(possible).select("key", looked_up.alias("words")).where("size(words) > 1").distinct()
+    looked_up = F.array_intersect(F.array(*map(F.lit, ranked)), F.col("had"))
+    some = profile.where(possible).select("key", looked_up.alias("words")).distinct()
     some = materialize(some, "licence-words")
     again = join_by_size(texts.select("key", "text"), some, "key", "inner", 24 * F.size("words"), BROADCAST_BYTES).distinct()
 
-    def top(text: str) -> Column:
+    # A single rare word has nothing to agree with.
+    rare_words = F.array_intersect("words", F.array(*map(F.lit, ranked[:n_rare])).cast("array<string>"))
+    rare_words = F.when(F.size(rare_words) > 1, rare_words).otherwise(F.array().cast("array<string>"))
+
+    def top(words: Column, text: str) -> Column:
         """The rarest words of a template that the text has, whatever other templates' words it has."""
-        return F.slice(F.filter("words", lambda w: w.isin(*set(text.split()))), 1, RARE)
+        return F.slice(F.filter(words, lambda w: w.isin(*set(text.split()))), 1, RARE)
+
+    def tops(t: int, text: str) -> Column:
+        return F.struct(F.lit(t).alias("template"), top(rare_words, text).alias("rare"), top(F.col("words"), text).alias("top"))
 
     def of_words(w: Column) -> Column:
         line = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
@@ -155,7 +166,7 @@ def _notices(texts: DataFrame, profile: DataFrame, rare: list[str]) -> DataFrame
             lambda x: F.array_compact(
                 F.array(
                     *(
-                        F.when(x.contains(f" {phrase} "), F.struct(F.lit(t).alias("template"), top(text).alias("top")))
+                        F.when(x.contains(f" {phrase} "), tops(t, text))
                         for t, (_, phrase, text) in enumerate(TEMPLATES)
                     )
                 )
@@ -172,27 +183,38 @@ def _notices(texts: DataFrame, profile: DataFrame, rare: list[str]) -> DataFrame
     hits = (
         again.select("key", bind(license_words(F.col("text")), of_words).alias("w"))
         .select("key", "w.hits", F.explode("w.held").alias("held"))
-        .select("key", "held.template", F.explode(F.filter("hits", lambda x: F.array_contains("held.top", x["word"]))).alias("hit"))
+        # The rare words of a template are the first of its top.
+        .select(
+            "key",
+            "held.template",
+            "held.rare",
+            F.explode(F.filter("hits", lambda x: F.array_contains("held.top", x["word"]))).alias("hit"),
+        )
+        .select("key", "template", "hit", F.array_contains("rare", F.col("hit.word")).alias("is_rare"))
     )
     postings = [
-        (t, label, word, place, min(RARE, len({w for w in text.split() if w in rare})))
+        (t, label, word, place, *(min(RARE, len(set(text.split()) & set(some_words))) for some_words in (ranked[:n_rare], ranked)))
         for t, (label, _, text) in enumerate(TEMPLATES)
         for place, word in enumerate(text.split())
-        if word in rare
+        if word in ranked
     ]
-    index = texts.sparkSession.createDataFrame(postings, "of int, label string, word string, at int, rare int")
+    index = texts.sparkSession.createDataFrame(postings, "of int, label string, word string, at int, n_rare int, n_top int")
     shift = F.col("hit.place") - F.col("at")
     # Two ways of cutting positions, so that votes a little apart meet in one of them.
     near = F.explode(F.array(2 * F.floor(shift / SLACK), 2 * F.floor((shift + SLACK // 2) / SLACK) + 1)).alias("near")
     votes = (
         hits.join(F.broadcast(index), (F.col("hit.word") == F.col("word")) & (F.col("template") == F.col("of")))
-        .select("key", "template", "label", "rare", "word", near)
-        .groupBy("key", "template", "label", "rare", "near")
-        .agg(F.countDistinct("word").alias("agree"))
+        .select("key", "template", "label", "n_rare", "n_top", "word", F.when(F.col("is_rare"), F.col("word")).alias("rare"), near)
+        .groupBy("key", "template", "label", "n_rare", "n_top", "near")
+        .agg(F.size(F.collect_set("rare")).alias("agree_rare"), F.size(F.collect_set("word")).alias("agree"))
+    )
+    best = votes.groupBy("key", "template", "label").agg(
+        F.max(F.least(F.try_divide("agree_rare", "n_rare"), F.lit(1.0))).alias("share_rare"),
+        F.max(F.least(F.col("agree") / F.col("n_top"), F.lit(1.0))).alias("share_top"),
     )
-    share = F.least(F.col("agree") / F.col("rare"), F.lit(1.0))
+    share = F.when(F.col("share_rare") >= LEAST_SHARE, F.col("share_rare")).otherwise(F.col("share_top"))
     return (
-        votes.select("key", "label", share.alias("share"))
+        best.select("key", "label", share.alias("share"))
         .where(F.col("share") >= LEAST_SHARE)
         .groupBy("key")
         .agg(F.collect_set("label").alias("notices"), F.max("share").alias("share"))
@@ -210,10 +232,10 @@ def licenses(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     profile = materialize(_profiles(texts), "licence-profiles")
-    rare = _ranked(profile)
+    ranked, n_rare = _ranked(profile)
     size_of = 16 * F.size("notices")
-    if rare:
-        found = materialize(_notices(texts, profile, rare), "notices")
+    if ranked:
+        found = materialize(_notices(texts, profile, ranked, n_rare), "notices")
         profile = join_by_size(profile, found, "key", "left", size_of, BROADCAST_BYTES)
     else:
         profile = profile.withColumn("notices", F.lit(None).cast("array<string>")).withColumn("share", F.lit(None).cast("double"))

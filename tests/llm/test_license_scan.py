@@ -98,6 +98,16 @@ def test_several_notices_in_one_text(spark):
     assert found[4] == ("apache,apache-2.0,bsd,gpl,mit", 1) and found[5] == ("mit", 1)
 
 
+def test_notice_in_a_third_of_the_rows_or_more(spark):
+    bsd, isc = TEMPLATES[6][2], TEMPLATES[11][2]
+    for copies in (30, 60, 240):
+        rows = [*FILLER, *((1000 + k, f"File {k}. {bsd}") for k in range(copies)), (1, isc), (2, "other text")]
+        found = {r[0]: r[6:] for r in run(spark, rows)}
+        assert {found[1000 + k] for k in range(copies)} == {("bsd", 1)}
+        assert found[1] == ("isc", 1) and found[2] == found[100] == ("", 0)
+    assert {r[6:] for r in run(spark, [(k, isc) for k in range(3)])} == {("isc", 1)}
+
+
 def test_given_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     assert run(spark, rows) == brute(rows)
