@@ -1,8 +1,8 @@
 """Quality rules for documents: counts, and divergence from what is usual in their language.
 
-Two histograms of a text, its characters by class and its common words, are compared to those of all
-documents of its language by Jensen-Shannon distance, where the text is long enough for that to mean
-something. Everything is built-in functions: one pass over the texts makes a profile per document, which
+Histograms of a text, its characters by class, its common words, and common beside any other words, are
+compared to those of all documents of its language by Jensen-Shannon distance, where the text is long
+enough for that to mean something. Everything is built-in functions: one pass over the texts makes a profile per document, which
 is stored; the references are sums over profiles, one row per language of a fixed list.
 """
 
@@ -26,7 +26,8 @@ SYMBOLS = r"[#*$%&|<>]"
 
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-# Below these a histogram is not compared.
+# Below these a histogram is not compared. So many common words a text has, for which ones they are to be
+# compared, or is long enough to be expected to have, for how many there are beside any other words.
 LEAST_CHARACTERS = 300
 LEAST_COMMON = 20
 # Distances are between 0 and 1.
@@ -126,6 +127,7 @@ def references(profile: DataFrame) -> DataFrame:
     return kept.groupBy("language").agg(
         F.array(*(F.sum(F.get("classes", F.lit(k))).cast("double") for k in range(7))).alias("usual_classes"),
         F.array(*(F.sum(F.get("common", F.lit(k))).cast("double") for k in range(size))).alias("usual_common"),
+        F.sum("n_words").cast("double").alias("usual_words"),
     )
 
 
@@ -143,24 +145,46 @@ def distance(one: Column, two: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x), F.lit(0.0)))
 
 
+def _word_distances() -> Column:
+    """``judged``: which common words there are; ``most``: the larger of that and how many there are beside any other words.
+
+    The second is in parts of the distance of a text that has none, so that 1 is such a text.
+    """
+
+    def total(counts: str) -> Column:
+        return F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+
+    def compared(n: Column) -> Column:
+        common, usual = n[0], n[1]
+        one, two = F.array(common, F.col("n_words") - common), F.array(usual, F.col("usual_words") - usual)
+        none = distance(F.array(F.lit(0.0), F.lit(1.0)), two)
+        expected = F.col("n_words") * usual >= LEAST_COMMON * F.col("usual_words")
+        which = F.when(common >= LEAST_COMMON, distance(F.col("common"), F.col("usual_common")))
+        how_many = F.when(expected & (usual > 0), F.least(F.try_divide(distance(one, two), none), F.lit(1.0)))
+        return bind(which, lambda x: F.struct(x.alias("judged"), F.greatest(x, how_many).alias("most")))
+
+    return bind(F.array(total("common"), total("usual_common")), compared)
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """Counts and verdict per row of docs, which has doc_id, text and lang.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated windows of three.
-    ``kept``: not so, and neither distance above its limit; a distance is null, and passes, where the
-    text has too few characters or too few common words, or its language is not listed. Null and empty
+    ``kept``: not so, and neither distance above its limit, that of words only where the text has 20 common words;
+    ``word_distance`` is given, up to 1, for long texts with fewer too, and does not reject those. A distance is null, and passes, where the
+    text has too few characters or is too short to be expected to have 20 common words, or its language is not listed or
+    has no common words in any document. Null and empty
     texts fail. Repeated rows are judged alike and count each in the references; null ids and languages
     are kept; an empty table gives no rows. Other columns are ignored.
     """
     profile = materialize(profiles(docs), "profiles")
     # A row per listed language and one more: bounded by the list.
     both = profile.join(F.broadcast(references(profile)), "language", "left")
-    common = F.aggregate("common", F.lit(0), lambda acc, x: acc + x)
     both = both.withColumn(
         "character_distance", F.when(F.col("chars") >= LEAST_CHARACTERS, distance(F.col("classes"), F.col("usual_classes")))
-    ).withColumn("word_distance", F.when(common >= LEAST_COMMON, distance(F.col("common"), F.col("usual_common"))))
+    ).withColumn("words", _word_distances())
     far = (F.coalesce("character_distance", F.lit(0.0)) > MOST_CHARACTER_DISTANCE) | (
-        F.coalesce("word_distance", F.lit(0.0)) > MOST_WORD_DISTANCE
+        F.coalesce("words.judged", F.lit(0.0)) > MOST_WORD_DISTANCE
     )
     return both.select(
         "doc_id",
@@ -172,5 +196,5 @@ def judged(docs: DataFrame) -> DataFrame:
         "base_failed",
         (~F.col("base_failed") & ~far).alias("kept"),
         "character_distance",
-        "word_distance",
+        F.col("words.most").alias("word_distance"),
     )

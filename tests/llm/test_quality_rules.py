@@ -95,6 +95,19 @@ def test_against_counting(spark):
     assert len({r[-1] for r in got}) == 2
 
 
+def test_long_texts_without_common_words(spark):
+    rng = random.Random(4)
+    prose = lambda lang, n: " ".join(rng.choice([*COMMON[lang], *(f"{chr(97 + k)}ord" for k in range(24))]) for _ in range(n))
+    names = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(n))
+    rows = [(k, prose(lang, 200), lang) for k, lang in enumerate(["en", "fr"] * 20)]
+    rows += [(50, names(400), "en"), (51, names(200) + " the of and to in", "en"), (52, prose("fr", 400), "de"), (53, names(60) , "it")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    got = {r.doc_id: r.word_distance for r in judged(df).collect()}
+    assert got[50] == pytest.approx(1) and got[51] > 0.6
+    assert all(got[k] < 0.5 for k in range(40))
+    assert got[53] is None
+
+
 def test_given_documents(spark):
     columns = ("doc_id", "text", "lang")
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*columns).collect()]
