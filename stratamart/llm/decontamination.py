@@ -3,8 +3,8 @@
 Words are canonicalised: a word with a digit becomes the placeholder for numbers, a capitalised word
 inside a sentence that for names, a unit of measure that for units; the value goes to a slot. Windows
 of canonical words are hashed on both sides and joined on the hash. Matched windows of a document and
-an item are grouped by alignment (difference of positions), and an alignment counts only if its slots
-are consistent: an item's value always stands for the same value in the document. A document holds
+an item are grouped by alignment (difference of positions), and of an alignment only those windows count whose
+slots are consistent: an item's value always stands for the same value in the document, that of most windows. A document holds
 an item if consistent alignments cover enough of the item's windows.
 
 Before the join, documents' windows pass a bitmap of the benchmark's hashes whose size is fixed, so
@@ -17,9 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.columns import bind
 from stratamart.llm.textblocks import LOWER, RangeHash, Words, text_blocks, windows, word_ranges
 
 WINDOW = 5
@@ -128,6 +129,33 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array([bits.tobytes()])], ["bits"])
 
 
+def _consistent(hits: Column) -> Column:
+    """The windows of an alignment that agree with the value that most of its windows give each value of the item."""
+
+    def kept(pairs: Column) -> Column:
+        def counted(distinct: Column) -> Column:
+            return F.transform(
+                distinct, lambda p: F.struct(p.alias("pair"), F.size(F.filter(pairs, lambda q: q == p)).alias("n"))
+            )
+
+        def usual(found: Column) -> Column:
+            def better(a: Column, b: Column) -> Column:
+                more = (a["n"] > b["n"]) | ((a["n"] == b["n"]) & (a["pair"]["doc"] < b["pair"]["doc"]))
+                return (a["pair"]["item"] == b["pair"]["item"]) & more
+
+            best = F.filter(found, lambda b: ~F.exists(found, lambda a: better(a, b)))
+            return F.transform(best, lambda b: b["pair"])
+
+        def agreeing(best: Column) -> Column:
+            return F.filter(hits, lambda h: F.forall(h["pairs"], lambda p: F.array_contains(best, p)))
+
+        distinct = F.array_distinct(pairs)
+        torn = F.size(distinct) > F.size(F.array_distinct(distinct["item"]))
+        return F.when(torn, bind(bind(bind(distinct, counted), usual), agreeing)).otherwise(hits)
+
+    return bind(F.flatten(hits["pairs"]), kept)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -138,7 +166,7 @@ def contaminated(
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, the item's windows, those found, verbatim.
 
     A pair is returned where at least ``similarity`` of the item's distinct window positions, or ``passage``
-    of them, are found in consistent alignments; ``verbatim`` says whether all slots found hold the item's own values.
+    of them, are found in alignments, each without the windows that contradict it; ``verbatim`` says whether all slots found hold the item's own values.
     Windows with fewer than three words outside slots are not used, and items that have no other,
     such as those shorter than a window, match nothing. Null and empty texts match nothing. Rows with a
     null id are not reported. Rows that share an id are taken as one document or item. Empty tables
@@ -157,11 +185,10 @@ def contaminated(
     aligned = (
         found.join(theirs, "hash")
         .groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("position") - F.col("place")).alias("shift"))
-        .agg(
-            F.collect_set("place").alias("places"),
-            F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"),
-        )
-        .where(F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item"))))
+        .agg(F.collect_set(F.struct(F.col("place"), pairs.alias("pairs"))).alias("hits"))
+        .select("doc_id", "item_id", _consistent(F.col("hits")).alias("hits"))
+        .select("doc_id", "item_id", F.col("hits.place").alias("places"), F.flatten("hits.pairs").alias("pairs"))
+        .where(F.size("places") > 0)
     )
     held = aligned.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found_windows"),

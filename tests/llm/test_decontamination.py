@@ -86,6 +86,16 @@ def test_inconsistent_slots_do_not_count(spark):
     assert run(spark, docs, [(1, item)]) == brute(docs, [(1, item)])
 
 
+def test_one_slot_that_differs_costs_its_windows_only(spark):
+    plain = [f"word{chr(97 + k)}{chr(97 + j)}" for k in range(9) for j in range(6)]
+    item = " ".join([*plain[:10], "5", *plain[10:30], "5", *plain[30:45], "5", *plain[45:]])
+    edited = " ".join(w if k != 31 else "6" for k, w in enumerate(item.split()))
+    docs = [(1, item), (2, edited), (3, item.replace("5", "8")), (4, edited.replace("5", "8"))]
+    got = run(spark, docs, [(1, item)])
+    assert [(r[0], r[3]) for r in got] == [(1, 53), (2, 48), (3, 53), (4, 48)]
+    assert [r[4] for r in got] == [True, True, False, False]
+
+
 def test_long_passages_of_longer_items(spark):
     item = " ".join(f"word{chr(97 + k)}x" for k in range(26)) + " " + " ".join(f"then{chr(97 + k)}y" for k in range(26))
     docs = [(1, " ".join(item.split()[10:27]) + " and on"), (2, " ".join(item.split()[10:26]) + " and on")]
