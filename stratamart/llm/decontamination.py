@@ -186,9 +186,14 @@ def contaminated(
         found.join(theirs, "hash")
         .groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("position") - F.col("place")).alias("shift"))
         .agg(F.collect_set(F.struct(F.col("place"), pairs.alias("pairs"))).alias("hits"))
-        .select("doc_id", "item_id", _consistent(F.col("hits")).alias("hits"))
-        .select("doc_id", "item_id", F.col("hits.place").alias("places"), F.flatten("hits.pairs").alias("pairs"))
-        .where(F.size("places") > 0)
+        .select(
+            "doc_id",
+            "item_id",
+            bind(
+                _consistent(F.col("hits")), lambda h: F.struct(h["place"].alias("places"), F.flatten(h["pairs"]).alias("pairs"))
+            ).alias("kept"),
+        )
+        .select("doc_id", "item_id", "kept.places", "kept.pairs")
     )
     held = aligned.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found_windows"),
