@@ -134,3 +134,50 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.license_scan import licenses
 
     return licenses(table(spark, folder, "documents"))
+
+
+@query("op11_filter_audit")
+def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.filter_audit import audit
+
+    return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE_SQL["op11_filter_audit"] = r"""
+    WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+    words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM texts),
+    first AS (SELECT text, min(doc_id) AS least FROM texts GROUP BY text),
+    marks AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+    flags AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+                100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text),
+                regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+        FROM words JOIN first USING (text) LEFT JOIN marks USING (doc_id)),
+    counts AS (
+        SELECT part, fails, len(list_filter(fails, lambda f: f)) AS k, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+        FROM flags GROUP BY part, fails),
+    letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+    orders AS (
+        SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+    steps AS (SELECT o, f AS step, o[f] AS filter, o[:f - 1] AS earlier FROM orders, letters),
+    met AS (
+        SELECT *, fails[filter] AS here, len(list_filter(earlier, lambda x: fails[x])) > 0 AS gone FROM counts, steps)
+    SELECT part, list_aggregate(list_transform(o, lambda x: substr('ABCDE', x, 1)), 'string_agg', '') AS filter_order,
+           CAST(step AS INTEGER) AS step,
+           CAST(coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS BIGINT) AS kept,
+           CAST(coalesce(sum(n) FILTER (here AND NOT gone), 0) AS BIGINT) AS removed,
+           CAST(coalesce(sum(n) FILTER (here AND gone), 0) AS BIGINT) AS redundant,
+           CAST(coalesce(sum(n) FILTER (here AND k = 1), 0) AS BIGINT) AS unique_fails,
+           CAST(coalesce(sum(good) FILTER (here AND NOT gone), 0) AS BIGINT) AS good_lost,
+           CAST(coalesce(sum(toxic) FILTER (here AND NOT gone), 0) AS BIGINT) AS toxic_lost,
+           CAST(coalesce(sum(n * 120 // greatest(k, 1)) FILTER (here), 0) AS BIGINT) AS shapley
+    FROM met GROUP BY part, o, step"""
+
+
+@query("op13_weighted_sampling")
+def weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.weighted_sampling import compared_with_edits
+
+    return compared_with_edits(table(spark, folder, "documents"))
