@@ -181,3 +181,46 @@ def weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     from stratamart.llm.weighted_sampling import compared_with_edits
 
     return compared_with_edits(table(spark, folder, "documents"))
+
+
+@query("op12_code_compression")
+def code_compression(spark: SparkSession, folder: str) -> DataFrame:
+    from stratamart.llm.code_compression import compressed
+
+    return compressed(table(spark, folder, "embeddings"))
+
+
+def _assigned(k: int) -> str:
+    """Parts with the entry of codebook ``k`` that is nearest, and the codebook after them."""
+    return f"""
+    near{k} AS MATERIALIZED (
+        SELECT vec_id, part, min_by(entry, [d, entry]) AS entry, min(d) AS d
+        FROM (SELECT p.vec_id, p.part, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+              FROM parts p JOIN book{k} b USING (part))
+        GROUP BY vec_id, part),
+    book{k + 1} AS MATERIALIZED (
+        SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+        FROM book{k} b LEFT JOIN (
+            SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x
+            FROM (SELECT part, entry, i, sum(v) AS s, count(*) AS n
+                  FROM (SELECT n.part, n.entry, unnest(p.x) AS v, generate_subscripts(p.x, 1) AS i
+                        FROM near{k} n JOIN parts p USING (vec_id, part)) GROUP BY part, entry, i)
+            GROUP BY part, entry) m USING (part, entry))"""
+
+
+ORACLE_SQL["op12_code_compression"] = f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    parts AS MATERIALIZED (
+        SELECT vec_id, part, x[part * len(x) // 16 + 1 : (part + 1) * len(x) // 16] AS x
+        FROM (SELECT vec_id, x, unnest(range(16)) AS part FROM kept)),
+    seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 64),
+    book0 AS MATERIALIZED (SELECT part, entry, x FROM parts JOIN seeds USING (vec_id)),
+    {_assigned(0)}, {_assigned(1)}, {_assigned(2)},
+    coded AS (
+        SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM near2 GROUP BY vec_id),
+    book AS (SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY part, entry)) AS digest FROM book2)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id) CROSS JOIN book"""
