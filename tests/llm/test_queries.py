@@ -8,7 +8,9 @@ from tests.compare import connect, oracle_rows, rows_of
 FOLDER = "/root/testdata/sf0.001"
 
 # Rows for each document, page, or whatever the query says.
-PER_DOCUMENT = ("op1_", "op2_", "op4_", "op5_", "op6_", "op7_", "op8_")
+PER_DOCUMENT = ("op1_", "op2_", "op4_", "op5_", "op6_", "op7_", "op8_", "op13_")
+# Others have a row per part and order of filters, or per vector.
+WITHOUT_DOCUMENTS = ("op11_", "op12_")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -20,7 +22,7 @@ def test_query_agrees_with_sql(spark, name):
         connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WITHOUT_DOCUMENTS)))
 def test_query_covers_its_table(spark, name):
     df = QUERIES[name](spark, FOLDER)
     ids = [r[0] for r in df.select("page_id" if name.startswith("op3_") else "doc_id").collect()]
