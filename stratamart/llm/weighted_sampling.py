@@ -22,6 +22,7 @@ the text take no part.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterable
 
@@ -177,8 +178,12 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     # A row per slice: at most MOST_SLICES and those of rows without an id.
     first = docs.groupBy("slice").agg(F.max("doc_id"), F.min("_hash")).collect()
     order = sorted(first, key=lambda r: -r[0])
-    edges = [(r[0], order[k - 1][0], r[1], r[2] if r[1] is None else None) for k, r in enumerate(order)]
-    edges = spark.createDataFrame(edges, "slice int, _before int, _id bigint, _least bigint")
+    edges = [
+        {"slice": r[0], "_before": order[k - 1][0], "_id": r[1], "_least": r[2] if r[1] is None else None}
+        for k, r in enumerate(order)
+    ]
+    listed = F.from_json(F.lit(json.dumps(edges)), "array<struct<slice:int,_before:int,_id:bigint,_least:bigint>>")
+    edges = spark.range(1).select(F.inline(listed))
     chosen = docs.join(F.broadcast(edges), "slice").filter(
         F.when(F.col("_id").isNull(), F.col("_hash") == F.col("_least")).otherwise(F.col("doc_id") == F.col("_id"))
     )

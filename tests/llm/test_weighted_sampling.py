@@ -133,9 +133,7 @@ def test_collisions_are_generalised_jaccard(spark):
 
 
 def test_plan_shuffles_texts_once_and_has_no_python(spark, capsys):
-    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id bigint, text string")
-    compared_with_edits(docs).explain("formatted")
+    compared_with_edits(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).explain("formatted")
     plan = capsys.readouterr().out
-    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
-    # One for the texts, one that brings one guest per slice, and one that sends slices to their first rows.
+    assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
     assert sum(line.strip().startswith("Arguments: hashpartitioning(slice") for line in plan.splitlines()) == 1
