@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from itertools import permutations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ FILTERS = "ABCDE"
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50
 MOST_CAPITALS = 2
-SYMBOLS = "[#$%&*|]"
+SYMBOLS = "#$%&*|"
+_IS_SYMBOL = np.zeros(256, bool)
+_IS_SYMBOL[list(SYMBOLS.encode())] = True
 
 _ORDERS = ["".join(p) for p in permutations(FILTERS)]
 
@@ -37,19 +40,32 @@ def _flag(condition: Column, letter: str) -> Column:
     return F.when(condition, _bit(letter)).otherwise(0)
 
 
+def letters(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """Code points, capitals and symbols of each text."""
+
+    def count(which: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(np.flatnonzero(which), offsets))
+
+    # Bytes that go on with a code point are 10xxxxxx.
+    chars = np.diff(offsets) - count((data & 0xC0) == 0x80)
+    capitals = (data >= ord("A")) & (data <= ord("Z"))
+    return {"n_chars": chars, "n_capitals": count(capitals), "n_symbols": count(_IS_SYMBOL[data])}
+
+
 def failed_filters(docs: DataFrame, source: str = "source") -> DataFrame:
     """doc_id, part, n_words, n_distinct, and ``failed``: a bit for each filter that the document fails, A the lowest."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", F.coalesce(source, F.lit("")).alias("part"), text.alias("text"))
-    capitals = F.char_length("text") - F.char_length(F.regexp_replace("text", "[A-Z]", ""))
-    texts = texts.select(
-        "doc_id", "part", "text",
-        F.unhex(F.sha2("text", 256)).alias("digest"),
-        (_flag(100 * capitals > MOST_CAPITALS * F.char_length("text"), "C") + _flag(F.col("text").rlike(SYMBOLS), "D")).alias("failed"),
-    )
-    _, matrix = term_matrix(texts, ["doc_id", "part", "digest", "failed"])
-    by_words = _flag(F.col("n_words") < LEAST_WORDS, "A") + _flag(100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"), "B")
-    rows = materialize(row_totals(matrix).withColumn("failed", F.col("failed") + by_words), "totals")
+    texts = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    _, matrix = term_matrix(texts, ["doc_id", "part", "digest"], "text", letters, ("n_chars", "n_capitals", "n_symbols"))
+    by_text = (
+        _flag(F.col("n_words") < LEAST_WORDS, "A")
+        + _flag(100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"), "B")
+        + _flag(100 * F.col("n_capitals") > MOST_CAPITALS * F.col("n_chars"), "C")
+        + _flag(F.col("n_symbols") > 0, "D")
+    )
+    totals = row_totals(matrix).select("doc_id", "part", "digest", "n_words", "n_distinct", by_text.alias("failed"))
+    rows = materialize(totals, "totals")
     # Text and id together: copies of one text are no more than single rows of this join.
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("_first", F.lit(True))
     copy = F.col("doc_id").isNotNull() & F.col("_first").isNull()

@@ -1,44 +1,66 @@
 """The sparse document-term matrix of a table of texts.
 
-Tasks cut their texts into shards of a few megabytes and write each as compressed sparse rows over a dictionary of the
-shard's own words: which words the rows have, and how often. The words of all shards, each once per shard, are then given
-numbers that hold for the whole table, and every shard's columns are renamed by them. So a word crosses the network
+Tasks cut their texts into shards of some megabytes and write each as compressed sparse rows over a dictionary of the
+shard's own words: which words the rows have, and how often. The words of all shards, each once per shard, then meet by
+word, in the one shuffle that carries words: the number of a word in the whole table is the smallest of its numbers in shards.
+Only numbers that differ go back to their shards, whose columns are renamed by them. So a word crosses the network
 once per shard that has it, however often it occurs, and no task ever holds a dictionary larger than a shard.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.llm.textblocks import PLAIN, text_blocks, word_ranges
-from stratamart.operators.keys import number_rows
-from stratamart.workspace import materialize
+from stratamart.llm.textblocks import BLOCK_BYTES, PLAIN, text_blocks, word_ranges
+from stratamart.workspace import new_folder
 
-SHARD_BYTES = 4 << 20
-# Upper bits of a shard's number are the task that cut it, lower ones its place there.
-_PLACE_BITS = 32
+SHARD_BYTES = 16 << 20
+# A word's number in its shard: the task that cut the shard, the shard's place there, the word's place in it.
+_SHARD_BITS = 12
+_WORD_BITS = 28
 
+# Numbers of each text of a block, from the bytes of all texts and the offsets between them.
+Measure = Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]
 
-def _rows_of_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of a block, and per text the places of its words among them, ascending, with their counts."""
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of a block in order, and how many each text has."""
     starts, ends = word_ranges(data, offsets, PLAIN)
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=at[1:])
     letters = np.ascontiguousarray(data[PLAIN[data]])
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters)).dictionary_encode()
-    found = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    size = max(1, len(words.dictionary))
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
-    pairs, counts = np.unique(text * size + found, return_counts=True)
-    indptr = np.searchsorted(pairs, np.arange(len(offsets)) * size)
-    return words.dictionary, indptr, pairs % size, counts
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters))
+    return words, np.diff(np.searchsorted(starts, offsets))
+
+
+def _rows_of_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of a shard, and per text the places of its words among them, ascending, with their counts."""
+    # A few texts at a time, so that only the words themselves are held for the whole shard.
+    cuts, first, n = [], 0, len(offsets) - 1
+    while first < n:
+        last = int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, side="right")) - 1
+        cuts.append((first, min(max(last, first + 1), n)))
+        first = cuts[-1][1]
+    blocks = [_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in cuts]
+    coded = pa.chunked_array([words for words, _ in blocks], pa.large_string()).dictionary_encode()
+    terms = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.large_string())
+    sizes, columns, times = [np.zeros(1, np.int64)], [], []
+    for (_, in_text), chunk in zip(blocks, coded.chunks, strict=True):
+        found = chunk.indices.to_numpy(zero_copy_only=False)
+        pairs = np.repeat(np.arange(len(in_text)), in_text) * max(1, len(terms)) + found
+        pairs, counts = np.unique(pairs, return_counts=True)
+        sizes.append(np.bincount(pairs // max(1, len(terms)), minlength=len(in_text)))
+        columns.append((pairs % max(1, len(terms))).astype(np.int32))
+        times.append(counts.astype(np.int32))
+    none = [np.zeros(0, np.int32)]
+    return terms, np.cumsum(np.concatenate(sizes)), np.concatenate(columns or none), np.concatenate(times or none)
 
 
 def _lists(values: np.ndarray, kind: pa.DataType = pa.int32()) -> pa.Array:
@@ -46,69 +68,90 @@ def _lists(values: np.ndarray, kind: pa.DataType = pa.int32()) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
-def local_shards(texts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Shards over their own words: shard, rows (the kept columns of each text), terms, indptr, places, counts."""
-    kept = T.StructType([texts.schema[c] for c in keep])
-    schema = (
-        T.StructType([T.StructField("shard", T.LongType()), T.StructField("rows", T.ArrayType(kept))])
-        .add("terms", T.ArrayType(T.StringType()))
-        .add("indptr", T.ArrayType(T.IntegerType()))
-        .add("places", T.ArrayType(T.IntegerType()))
-        .add("counts", T.ArrayType(T.IntegerType()))
-    )
+def _shard_number(task: int, place: int) -> int:
+    if place >> _SHARD_BITS:
+        raise OverflowError("a task may cut no more than 4,096 shards: read the texts in smaller splits")
+    return task << _SHARD_BITS | place
+
+
+def local_shards(
+    texts: DataFrame, keep: list[str], text: str = "text", measure: Measure | None = None, measured: tuple[str, ...] = ()
+) -> DataFrame:
+    """Shards over their own words: shard, rows (the kept columns of each text), terms, indptr, places, counts.
+
+    ``measure`` adds the numbers named in ``measured`` to the rows.
+    """
+    kept = T.StructType([texts.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in measured])
+    ints = T.ArrayType(T.IntegerType())
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("rows", T.ArrayType(kept))])
+    schema = schema.add("terms", T.ArrayType(T.StringType())).add("indptr", ints).add("places", ints).add("counts", ints)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() << _PLACE_BITS
+        task = TaskContext.get().partitionId()
         for k, (block, data, offsets) in enumerate(text_blocks(batches, text, SHARD_BYTES)):
             terms, indptr, places, counts = _rows_of_words(data, offsets)
-            ends = pa.array([0, block.num_rows], pa.int32())
-            rows = pa.StructArray.from_arrays([block.column(c) for c in keep], keep)
+            if len(terms) >> _WORD_BITS:
+                raise OverflowError("a text has too many different words")
+            numbers = measure(data, offsets) if measure else {}
+            rows = pa.StructArray.from_arrays(
+                [block.column(c) for c in keep] + [pa.array(numbers[c], pa.int64()) for c in measured], [*keep, *measured]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([task + k], pa.int64()),
-                    pa.ListArray.from_arrays(ends, rows),
+                    pa.array([_shard_number(task, k)], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, block.num_rows], pa.int32()), rows),
                     pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms.cast(pa.string())),
                     _lists(indptr),
                     _lists(places),
                     _lists(counts),
                 ],
-                ["shard", "rows", "terms", "indptr", "places", "counts"],
+                schema.names,
             )
 
     return texts.select(*keep, text).mapInArrow(cut, schema)
 
 
-def term_matrix(texts: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
+def term_matrix(
+    texts: DataFrame, keep: list[str], text: str = "text", measure: Measure | None = None, measured: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """The dictionary (term, term_id) of all texts, and their matrix in shards of compressed sparse rows.
 
-    A shard has its ``rows``, the kept columns of each text; ``indptr``, where each row begins and the last one ends;
-    and for each of its words in turn ``columns``, the word's id, and ``counts``. Ids are 1, 2, ... in
-    the order of the words. A null or empty text is a row without words; an empty table has no shards.
+    A shard has its ``rows``, the kept columns and measured numbers of each text; ``indptr``, where each row begins and the
+    last one ends; and for each of its words in turn ``columns``, the word's id, and ``counts``. Ids are not
+    consecutive. A null or empty text is a row without words; an empty table has no shards.
     """
+    spark = texts.sparkSession
     # Written once: shards are numbered by the task that cuts them, and both the words and the rows are read.
-    local = materialize(local_shards(texts, keep, text), "shards")
-    words = local.select("shard", F.posexplode("terms").alias("place", "term"))
-    dictionary = number_rows(words.select("term").distinct(), "term", "term_id")
-    # One row per word of a shard: as many as its bytes allow.
+    path = new_folder(spark, "shards")
+    cut = local_shards(texts, keep, text, measure, measured)
+    cut.write.option("compression", "zstd").parquet(path)
+    local = spark.read.schema(cut.schema).parquet(path)
+    own = (F.shiftleft("shard", _WORD_BITS).bitwiseOR(F.col("place").cast("bigint"))).alias("own")
+    words = local.select("shard", F.posexplode("terms").alias("place", "term")).select("term", own)
+    # A word has as many rows here as shards have it.
+    known = words.withColumn("term_id", F.min("own").over(Window.partitionBy("term")))
+    dictionary = known.filter("own = term_id").select("term", "term_id")
+    place = F.col("own").bitwiseAND((1 << _WORD_BITS) - 1).cast("int").alias("place")
     renamed = (
-        words.join(dictionary, "term")
+        known.filter("own != term_id")
+        .select(F.shiftright("own", _WORD_BITS).alias("shard"), place, "term_id")
         .groupBy("shard")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "term_id"))).alias("_names"))
-        .select("shard", F.col("_names.term_id").alias("_ids"))
+        .agg(F.collect_list(F.struct("place", "term_id")).alias("_names"))
+        .select("shard", F.col("_names.place").alias("_at"), F.col("_names.term_id").alias("_ids"))
     )
     shards = local.drop("terms").join(renamed, "shard", "left")
-    schema = T.StructType([f for f in local.drop("terms", "places").schema.fields] + [T.StructField("columns", T.ArrayType(T.LongType()))])
+    schema = T.StructType([f for f in local.schema.fields if f.name not in ("terms", "places")])
+    schema = schema.add("columns", T.ArrayType(T.LongType()))
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                places = row.column("places").flatten().to_numpy(zero_copy_only=False)
-                ids = row.column("_ids").flatten().to_numpy(zero_copy_only=False)
-                names = ids[places] if len(places) else np.zeros(0, np.int64)
+                places, at, ids = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("places", "_at", "_ids"))
+                names = np.arange(int(places.max()) + 1 if len(places) else 0) + (row.column("shard")[0].as_py() << _WORD_BITS)
+                names[at.astype(np.int64)] = ids
                 yield pa.RecordBatch.from_arrays(
-                    [row.column(c) for c in ("shard", "rows", "indptr", "counts")] + [_lists(names, pa.int64())],
-                    ["shard", "rows", "indptr", "counts", "columns"],
+                    [row.column(c) for c in schema.names[:-1]] + [_lists(names[places], pa.int64())], schema.names
                 )
 
     return dictionary, shards.mapInArrow(rename, schema)
@@ -116,25 +159,15 @@ def term_matrix(texts: DataFrame, keep: list[str], text: str = "text") -> tuple[
 
 def row_totals(matrix: DataFrame) -> DataFrame:
     """Per text the kept columns, the sum of its row of the matrix (``n_words``) and its nonzero entries (``n_distinct``)."""
-    kept = matrix.schema["rows"].dataType.elementType
-    schema = T.StructType([*kept.fields, T.StructField("n_words", T.LongType()), T.StructField("n_distinct", T.LongType())])
-    names = kept.names
-
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                indptr = row.column("indptr").flatten().to_numpy(zero_copy_only=False)
-                counts = row.column("counts").flatten().to_numpy(zero_copy_only=False)
-                running = np.zeros(len(counts) + 1, np.int64)
-                np.cumsum(counts, out=running[1:])
-                nonzero = np.zeros(len(counts) + 1, np.int64)
-                np.cumsum(counts != 0, out=nonzero[1:])
-                rows = row.column("rows").flatten()
-                yield pa.RecordBatch.from_arrays(
-                    [rows.field(c) for c in names]
-                    + [pa.array(np.diff(sums[indptr]), pa.int64()) for sums in (running, nonzero)],
-                    [*names, "n_words", "n_distinct"],
-                )
 
-    return matrix.select("rows", "indptr", "counts").mapInArrow(totals, schema)
+    def total(k: Column) -> Column:
+        begin, end = F.get("indptr", k), F.get("indptr", k + 1)
+        counts = F.slice("counts", begin + 1, end - begin)
+        return F.struct(
+            F.get("rows", k).alias("row"),
+            F.aggregate(counts, F.lit(0).cast("bigint"), lambda n, c: n + c).alias("n_words"),
+            (end - begin).cast("bigint").alias("n_distinct"),
+        )
+
+    rows = F.transform(F.sequence(F.lit(0), F.size("rows") - 1), total)
+    return matrix.select(F.inline(rows)).select("row.*", "n_words", "n_distinct")
