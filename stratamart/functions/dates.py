@@ -26,3 +26,8 @@ def load_day(load_date: date | str | None) -> Column:
 def open_end() -> Column:
     """The end date of a row that is still valid."""
     return F.lit(OPEN_END).cast("date")
+
+
+def day_literal(day: date) -> Column:
+    """A date as a constant; by its text, as the earliest ones do not pass the bridge as dates."""
+    return F.lit(day.isoformat()).cast("date") if type(day) is date else F.lit(day)

@@ -33,6 +33,7 @@ REGISTERED = "DataCadastro"
 YEAR = "Ano"
 MONTH = "Mes"
 SALES_PARTITIONS = (YEAR, MONTH)
+SALES_PARTITION_TYPES = {YEAR: T.IntegerType(), MONTH: T.IntegerType()}
 # Lines of a landing file that do not have the declared types, as they were read.
 UNREADABLE = "_linha_ilegivel"
 FACT_COLUMNS = (

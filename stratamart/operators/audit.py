@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.dates import day_literal
 from stratamart.model import SALE_DATE, UNREADABLE
 
 
@@ -18,7 +19,7 @@ def load_audit(batches: DataFrame, mark: date | None, batch: str = "lote", colum
     them. A single pass over a few columns, combined before the shuffle.
     """
     day = F.col(column)
-    kept = F.lit(True) if mark is None else F.coalesce(day > F.lit(mark), F.lit(False))
+    kept = F.lit(True) if mark is None else F.coalesce(day > day_literal(mark), F.lit(False))
     unreadable = [F.count(UNREADABLE).alias("ilegiveis")] if UNREADABLE in batches.columns else []
     return batches.groupBy(batch).agg(
         F.count("*").alias("lidas"),
@@ -27,6 +28,6 @@ def load_audit(batches: DataFrame, mark: date | None, batch: str = "lote", colum
         F.count_if(day.isNull()).alias("sem_data"),
         F.min(column).alias("primeira_data"),
         F.max(column).alias("ultima_data"),
-        F.lit(mark).cast(batches.schema[column].dataType).alias("marca"),
+        (F.lit(None) if mark is None else day_literal(mark)).cast(batches.schema[column].dataType).alias("marca"),
         *unreadable,
     )

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.dates import day_literal
 from stratamart.model import MONTH, SALE_DATE, SALES_PARTITIONS, YEAR
 
 
@@ -23,8 +24,15 @@ def high_watermark(table: DataFrame, column: str = SALE_DATE) -> DataFrame:
 
 
 def read_watermark(table: DataFrame | None, column: str = SALE_DATE) -> date | None:
-    """The high-water mark as a value; None for an absent or empty table."""
-    return None if table is None else high_watermark(table, column).first()[0]
+    """The high-water mark as a value; None for an absent or empty table.
+
+    A table with undated rows alone has the earliest date as its mark, so that a load that is repeated
+    adds dated rows, of which it has none, and not the undated ones again.
+    """
+    if table is None:
+        return None
+    mark = high_watermark(table, column).first()[0]
+    return date.min if mark is None and not table.isEmpty() else mark
 
 
 def newer_than(rows: DataFrame, mark: date | None, column: str = SALE_DATE) -> DataFrame:
@@ -33,4 +41,4 @@ def newer_than(rows: DataFrame, mark: date | None, column: str = SALE_DATE) -> D
     As a literal the mark reaches the scan as a pushed filter. Rows dated on or before it, or
     not dated, are left out for good, so a load that is repeated adds nothing.
     """
-    return rows if mark is None else rows.filter(F.col(column) > F.lit(mark))
+    return rows if mark is None else rows.filter(F.col(column) > day_literal(mark))

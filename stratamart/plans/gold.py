@@ -6,11 +6,31 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-
-from stratamart.model import DIMENSIONS, FACT_DIMENSIONS, SALES, SALES_PARTITIONS, Dimension, Lake
+from pyspark.sql import functions as F
+
+from stratamart.model import (
+    DIMENSIONS,
+    FACT_DIMENSIONS,
+    MONTH,
+    SALES,
+    SALES_PARTITION_TYPES,
+    SALES_PARTITIONS,
+    YEAR,
+    Dimension,
+    Lake,
+)
 from stratamart.operators.dimensions import first_load, merge_changes
+from stratamart.operators.ledger import (
+    LEDGER,
+    compare_months,
+    looked_up,
+    month_digests,
+    months_of_changed_lookups,
+    table_digest,
+)
 from stratamart.operators.lookup import fitting, swap_keys_at_date
 from stratamart.operators.months import differing_months, in_months
+from stratamart.sinks.staged import finish_loads
 from stratamart.sinks.tables import (
     overwrite,
     overwrite_partitioned,
@@ -83,38 +103,134 @@ def build_sales(spark: SparkSession, lake: Lake) -> None:
     """
     dimensions = stored_dimensions(spark, lake)
     fits = fitting(dimensions)
-    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
+    made_from = _made_from(spark, lake)
     overwrite_partitioned(
-        swap_keys_at_date(sales, dimensions, fits=fits),
+        swap_keys_at_date(_silver_sales(spark, lake), dimensions, fits=fits),
         lake.table("gold", SALES),
         SALES_PARTITIONS,
         lake.fmt,
         clustered=all(fits),
     )
+    _write_ledger(spark, lake, made_from)
 
 
 def refresh_sales(spark: SparkSession, lake: Lake) -> None:
     """Bring the fact's months up to what silver and the dimensions give now.
 
-    Silver is looked up in the dimensions as a build would, and months whose rows then differ from the stored
-    fact are written again: changed values, customers that arrived late and history that came
-    in between count, not only numbers of rows. Months silver no longer has are removed, all others
-    keep their files. An earlier refresh that did not come to its end is thereby caught up with.
+    The ledger beside the fact says from which files of silver each month was made, which files hold it, and
+    which versions of the dimensions were looked up. Months are written again whose files differ, in silver or in
+    the fact, and those with a sale that finds another version now; see :func:`months_to_refresh`. All others are
+    neither read nor written. Months silver no longer has are removed. A refresh that did not come to its
+    end has left months that the ledger does not know, so the next one catches up with it.
+
+    Without a ledger, and for table formats whose files come and go by themselves, months are compared by content.
     """
     path = lake.table("gold", SALES)
+    if lake.fmt == "parquet":
+        finish_loads(spark, lake.table("silver", SALES))
     fact = scan_table_if_present(spark, path, lake.fmt)
     if fact is None:
         build_sales(spark, lake)
         return
-    sales = scan_table(spark, lake.table("silver", SALES), lake.fmt)
     dimensions = stored_dimensions(spark, lake)
     fits = fitting(dimensions)
-    months, gone = differing_months(swap_keys_at_date(sales, dimensions, fits=fits), fact)
+    sales = _silver_sales(spark, lake)
+    made_from = _made_from(spark, lake)
+    chosen = months_to_refresh(spark, lake)
+    if chosen is None:
+        months, gone = differing_months(swap_keys_at_date(sales, dimensions, fits=fits), fact)
+    else:
+        found = chosen.collect()
+        months = [(r[YEAR], r[MONTH]) for r in found if r.guardado]
+        gone = [(r[YEAR], r[MONTH]) for r in found if not r.guardado]
     if months:
         now = swap_keys_at_date(in_months(sales, months), dimensions, fits=fits)
         replace_partitions(now, path, SALES_PARTITIONS, lake.fmt, clustered=all(fits))
     for month in gone:
         remove(spark, partition_path(path, SALES_PARTITIONS, month))
+    _write_ledger(spark, lake, made_from)
+
+
+def months_to_refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Months that a refresh has to write or remove, and why; None where there is no ledger to tell.
+
+    ``vendas_mudaram``: silver's files differ; ``fato_mudou``: the fact's own do; ``versoes_mudaram``: a sale finds another
+    version of a dimension; ``guardado``: silver has the month, else it goes. A row per month at most.
+    """
+    ledger = _ledger(spark, lake)
+    if ledger is None:
+        return None
+    silver, fact = (month_digests(spark, lake.table(layer, SALES)) for layer in ("silver", "gold"))
+    months = compare_months(ledger, silver, fact).filter("guardado OR em_fato")
+    used = _months_by_versions(spark, lake, ledger)
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"u.{c}")) for c in SALES_PARTITIONS]
+    joined = months.alias("m").join(F.broadcast(used.withColumn("_used", F.lit(True))).alias("u"), same[0] & same[1], "left")
+    by_version = F.coalesce("_used", F.lit(False)).alias("versoes_mudaram")
+    return joined.select(*(f"m.{c}" for c in SALES_PARTITIONS), "guardado", "vendas_mudaram", "fato_mudou", by_version).filter(
+        "vendas_mudaram OR fato_mudou OR versoes_mudaram OR NOT guardado"
+    )
+
+
+def _months_by_versions(spark: SparkSession, lake: Lake, ledger: DataFrame) -> DataFrame:
+    """Months of sales that find another version than the ledger's image has; none while no dimension was loaded."""
+    then = ledger.select("dimensoes").first()
+    nothing = spark.createDataFrame([], "Ano int, Mes int")
+    if then is None or then[0] == _dimension_digest(spark, lake):
+        return nothing
+    now = looked_up(stored_dimensions(spark, lake))
+    before = scan_table(spark, _image_path(lake))
+    return months_of_changed_lookups(_silver_sales(spark, lake), before, now, FACT_DIMENSIONS)
+
+
+def _silver_sales(spark: SparkSession, lake: Lake) -> DataFrame:
+    return scan_table(spark, lake.table("silver", SALES), lake.fmt, SALES_PARTITION_TYPES)
+
+
+def _ledger_path(lake: Lake) -> str:
+    return f"{lake.table('gold', SALES)}__ledger"
+
+
+def _image_path(lake: Lake) -> str:
+    return f"{lake.table('gold', SALES)}__versoes"
+
+
+def _ledger(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    if lake.fmt != "parquet":
+        return None
+    for path in (_ledger_path(lake), _image_path(lake)):
+        recover(spark, path)
+        if not exists(spark, path):
+            return None
+    return spark.read.schema(LEDGER).parquet(_ledger_path(lake))
+
+
+def _dimension_digest(spark: SparkSession, lake: Lake) -> str:
+    return table_digest(spark, [lake.table("gold", spec.table) for spec in FACT_DIMENSIONS])
+
+
+def _made_from(spark: SparkSession, lake: Lake) -> dict[tuple, str] | None:
+    """Digests of silver's months, taken before they are read: what comes in meanwhile is seen by the next refresh."""
+    if lake.fmt != "parquet":
+        return None
+    return _by_month(month_digests(spark, lake.table("silver", SALES)))
+
+
+def _by_month(digests: DataFrame) -> dict[tuple, str]:
+    return {(r[YEAR], r[MONTH]): r.digest for r in digests.collect()}
+
+
+def _write_ledger(spark: SparkSession, lake: Lake, made_from: dict[tuple, str] | None) -> None:
+    """The image first: a ledger that is older than its image names months that are then written again."""
+    if made_from is None:
+        return
+    dimensions = _dimension_digest(spark, lake)
+    ledger = _ledger(spark, lake)
+    held = None if ledger is None else ledger.select("dimensoes").first()
+    if held is None or held[0] != dimensions:
+        switch(looked_up(stored_dimensions(spark, lake)), _image_path(lake))
+    fact = _by_month(month_digests(spark, lake.table("gold", SALES)))
+    rows = [(*month, made_from.get(month), digest, dimensions) for month, digest in fact.items()]
+    switch(spark.createDataFrame(rows, LEDGER).coalesce(1), _ledger_path(lake))
 
 
 def stored_dimensions(

@@ -17,6 +17,7 @@ from stratamart.model import (
 )
 from stratamart.operators.pricing import conform_sales
 from stratamart.operators.shaping import merge_names
+from stratamart.sinks.staged import forget_loads
 from stratamart.sinks.tables import overwrite, overwrite_partitioned
 from stratamart.sources.tables import scan_table
 
@@ -39,6 +40,7 @@ def build_dimensions(spark: SparkSession, lake: Lake) -> None:
 
 
 def build_sales(spark: SparkSession, lake: Lake) -> None:
+    forget_loads(spark, lake.table("silver", SALES))
     sales = scan_table(spark, lake.table("bronze", SALES), lake.fmt)
     products = scan_table(spark, lake.table("bronze", PRODUCTS), lake.fmt)
     overwrite_partitioned(conform_sales(sales, products), lake.table("silver", SALES), SALES_PARTITIONS, lake.fmt)

@@ -57,6 +57,27 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path} to {to}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """Names in a folder, and whether each is a folder itself."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted((f.getPath().getName(), f.isDirectory()) for f in found)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 @atexit.register
 def _clear() -> None:
     """What results may still have been reading while the process ran."""

@@ -252,6 +252,15 @@ _SELECTS = {
         LEFT JOIN sk_vendedores s ON v.VendedorID = s.VendedorID
         LEFT JOIN sk_produtos p ON v.ProdutoID = p.ProdutoID""",
     "gold_incremental_refresh": _gold("carregadas"),
+    "append_after_break": f"SELECT {_FACT}, {_MONTH} FROM ({_priced('carregadas')})",
+    "refresh_months": f"""
+        SELECT Ano, Mes, bool_or(novo) AS vendas_mudaram, bool_or(outro) AS versoes_mudaram
+        FROM (
+            SELECT {_MONTH}, DataVenda > ultima AS novo,
+                   ClienteID IN (SELECT ClienteID FROM pares WHERE antes IS NULL)
+                     OR (DataVenda >= DATE '1998-06-01' AND ClienteID IN (SELECT antes FROM pares WHERE mudou)) AS outro
+            FROM carregadas, marca)
+        GROUP BY Ano, Mes HAVING bool_or(novo) OR bool_or(outro)""",
     "dq_summary": " UNION ALL ".join(
         [
             *(_nulls("vendas", f"({_priced('vendas')})", c) for c in ("PrecoUnitario", "DataVenda")),

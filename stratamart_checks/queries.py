@@ -35,6 +35,7 @@ from stratamart.operators.shaping import merge_names, move_after, stack
 from stratamart.operators.watermark import high_watermark, newer_than, read_watermark
 from stratamart.plans import bronze, gold, incremental, silver
 from stratamart.plans.report import sales_by_month as monthly
+from stratamart.sinks.staged import stage, staging_of
 from stratamart.sinks.tables import append_partitioned, overwrite, overwrite_partitioned
 from stratamart.sources.landing import scan_csv
 from stratamart.sources.tables import scan_partition, scan_table, scan_table_if_present
@@ -412,6 +413,36 @@ def gold_incremental_refresh(t: Tables) -> DataFrame:
     return scan_table(t.spark, lake.table("gold", SALES))
 
 
+@query("append_after_break")
+def append_after_break(t: Tables) -> DataFrame:
+    """A load that broke off when its batch was staged, and another before, are made good by the next load."""
+    lake = new_lake(t)
+    _first_silver_load(t, lake)
+    target = lake.table("silver", SALES)
+    mark = read_watermark(scan_table(t.spark, target))
+    second = conform_sales(newer_than(t.sales("vendas_2"), mark), t.products())
+    stage(second, target, SALES_PARTITIONS)
+    overwrite(second, f"{staging_of(target)}/broken.writing")
+    _append_new_batches(t, lake)
+    return scan_table(t.spark, target)
+
+
+@query("refresh_months")
+def refresh_months(t: Tables) -> DataFrame:
+    """Months that a refresh reads after new batches and a later customer load: by new sales, and by versions in use."""
+    lake = new_lake(t)
+    sources = dimension_sources(t)
+    overwrite(_dimension_of_early_customers(t), lake.table("gold", CUSTOMERS))
+    for spec in (DIMENSIONS[SELLERS], DIMENSIONS[PRODUCTS]):
+        overwrite(first_load(sources[spec.table], spec, FIRST_LOAD), lake.table("gold", spec.table))
+    _first_silver_load(t, lake)
+    gold.build_sales(t.spark, lake)
+    _append_new_batches(t, lake)
+    overwrite(_later_extract(t), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(t.spark, lake, DIMENSIONS[CUSTOMERS], SECOND_LOAD)
+    return gold.months_to_refresh(t.spark, lake).select(*SALES_PARTITIONS, "vendas_mudaram", "versoes_mudaram")
+
+
 @query("dq_summary")
 def dq_summary(t: Tables) -> DataFrame:
     """Sales and the tables they point to, each whole; a price table with several rows per product has duplicates."""
@@ -436,7 +467,4 @@ def load_audit_of_batches(t: Tables) -> DataFrame:
 
 @query("sales_by_month")
 def sales_by_month(t: Tables) -> DataFrame:
-    """Read from the stored fact, by the columns it is stored by."""
-    lake = new_lake(t)
-    _gold_load(t, lake)
-    return monthly(scan_table(t.spark, lake.table("gold", SALES)))
+    return monthly(conform_sales(t.sales(), t.products()))

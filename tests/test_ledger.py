@@ -1,0 +1,141 @@
+"""Refreshes that know from a ledger which months to read."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.model import CUSTOMERS, DIMENSIONS, FACT_DIMENSIONS, PRODUCTS, SALES, SALES_PARTITIONS, SELLERS, Lake
+from stratamart.operators.lookup import swap_keys_at_date
+from stratamart.operators.pricing import conform_sales
+from stratamart.plans import gold
+from stratamart.sinks.tables import append_partitioned, overwrite, overwrite_partitioned
+from stratamart.sources.tables import scan_table
+from tests.frames import products, sales
+
+# A third of all sales are of customer 1 and of one month.
+ROWS = [(i, 101, f"2018-0{1 + i % 4}-{1 + i % 28:02d}") for i in range(40)] + [(100 + i, 101, "2018-05-05") for i in range(20)]
+
+
+def customers(spark, *rows):
+    return spark.createDataFrame(list(rows), "ClienteID bigint, Nome string")
+
+
+def sold(spark, rows, customer):
+    return sales(spark, rows).withColumn("ClienteID", customer)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    lake = Lake.under(str(tmp_path / "lake"))
+    overwrite(customers(spark, (1, "Ana"), (2, "Rui")), lake.table("silver", CUSTOMERS))
+    overwrite(spark.createDataFrame([(1, "Eva")], "VendedorID bigint, Nome string"), lake.table("silver", SELLERS))
+    overwrite(products(spark, [(101, "10.00", "2017-01-01")]), lake.table("silver", PRODUCTS))
+    by = F.when(F.col("VendasID") >= 100, 1).otherwise(2 + F.col("VendasID") % 2).cast("bigint")
+    rows = conform_sales(sold(spark, ROWS, by), scan_table(spark, lake.table("silver", PRODUCTS)))
+    overwrite_partitioned(rows, lake.table("silver", SALES), SALES_PARTITIONS)
+    gold.build(spark, lake, "2018-01-01", FACT_DIMENSIONS)
+    return lake
+
+
+def chosen(spark, lake):
+    return {(r.Ano, r.Mes): (r.vendas_mudaram, r.fato_mudou, r.versoes_mudaram) for r in gold.months_to_refresh(spark, lake).collect()}
+
+
+def check(spark, lake):
+    """The fact is what a build from scratch would give."""
+    fact = scan_table(spark, lake.table("gold", SALES))
+    stored = scan_table(spark, lake.table("silver", SALES))
+    expected = swap_keys_at_date(stored, gold.stored_dimensions(spark, lake)).select(*fact.columns)
+    assert not fact.exceptAll(expected).count() and not expected.exceptAll(fact).count()
+    assert chosen(spark, lake) == {}
+
+
+def spoil(lake, layer, month):
+    """Make the values of a month unreadable without a trace in names, lengths and footers."""
+    for f in Path(lake.table(layer, SALES)).glob(f"Ano=2018/Mes={month}/*.parquet"):
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+        data = f.read_bytes()
+        values = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+        f.write_bytes(data[:4] + b"x" * (values - 4) + data[values:])
+
+
+def test_nothing_to_do_reads_no_sales(spark, lake):
+    assert chosen(spark, lake) == {}
+    for layer in ("silver", "gold"):
+        for month in range(1, 6):
+            spoil(lake, layer, month)
+    gold.refresh_sales(spark, lake)
+
+
+def test_a_batch_reads_its_months_alone(spark, lake):
+    target = lake.table("silver", SALES)
+    new = conform_sales(sold(spark, [(500, 101, "2018-04-30"), (501, 101, "2018-06-01")], F.lit(1)), products(spark, [(101, "10.00", "2017-01-01")]))
+    append_partitioned(new, target, SALES_PARTITIONS, target=scan_table(spark, target).schema)
+    assert chosen(spark, lake) == {(2018, 4): (True, False, False), (2018, 6): (True, True, False)} or chosen(spark, lake) == {
+        (2018, 4): (True, False, False), (2018, 6): (True, False, False)
+    }
+    for layer in ("silver", "gold"):
+        for month in (1, 2, 3, 5):
+            spoil(lake, layer, month)
+    gold.refresh_sales(spark, lake)
+    fact = scan_table(spark, lake.table("gold", SALES))
+    assert fact.filter("Mes IN (4, 6)").count() == 12
+    assert chosen(spark, lake) == {}
+
+
+def test_months_of_a_changed_version(spark, lake):
+    overwrite(customers(spark, (1, "Ana Lima"), (2, "Rui")), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(spark, lake, DIMENSIONS[CUSTOMERS], "2018-05-05")
+    assert chosen(spark, lake) == {(2018, 5): (False, False, True)}
+    for month in range(1, 5):
+        spoil(lake, "gold", month)
+    gold.refresh_sales(spark, lake)
+    fact = scan_table(spark, lake.table("gold", SALES)).filter("Mes = 5")
+    assert {r.SK_Cliente for r in fact.collect()} == {3}
+
+
+def test_a_customer_that_arrives_late_and_one_nobody_uses(spark, lake):
+    overwrite(customers(spark, (1, "Ana"), (2, "Rui"), (3, "Eva"), (99, "Nil")), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(spark, lake, DIMENSIONS[CUSTOMERS], "2018-09-01")
+    # Odd sales are of customer 3, who had no key; odd numbers fall into months 2 and 4.
+    assert set(chosen(spark, lake)) == {(2018, 2), (2018, 4)}
+    gold.refresh_sales(spark, lake)
+    check(spark, lake)
+
+
+def test_months_that_went_or_were_changed_by_others(spark, lake):
+    target, fact = lake.table("silver", SALES), lake.table("gold", SALES)
+    rest = scan_table(spark, target).filter("Mes != 3")
+    overwrite_partitioned(rest, f"{target}-new", SALES_PARTITIONS)
+    import shutil
+
+    shutil.rmtree(target)
+    shutil.move(f"{target}-new", target)
+    for f in Path(fact).glob("Ano=2018/Mes=1/*.parquet"):
+        f.unlink()
+    gold.refresh_sales(spark, lake)
+    check(spark, lake)
+    assert scan_table(spark, fact).filter("Mes = 3").isEmpty()
+
+
+def test_a_refresh_that_broke_off_is_caught_up_with(spark, lake, monkeypatch):
+    target = lake.table("silver", SALES)
+    new = conform_sales(sold(spark, [(500, 101, "2018-04-30")], F.lit(1)), products(spark, [(101, "10.00", "2017-01-01")]))
+    append_partitioned(new, target, SALES_PARTITIONS, target=scan_table(spark, target).schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "_write_ledger", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            gold.refresh_sales(spark, lake)
+    assert set(chosen(spark, lake)) == {(2018, 4)}
+    gold.refresh_sales(spark, lake)
+    check(spark, lake)
+
+
+def test_without_a_ledger_months_are_compared_by_content(spark, lake):
+    import shutil
+
+    shutil.rmtree(f"{lake.table('gold', SALES)}__ledger")
+    assert gold.months_to_refresh(spark, lake) is None
+    gold.refresh_sales(spark, lake)
+    check(spark, lake)
