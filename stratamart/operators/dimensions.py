@@ -45,10 +45,9 @@ def merge_changes(
     written once because kept, ended and new rows are all read from it.
     """
     tracked = [c for c in dimension.columns if c not in (spec.key, spec.sk, VALID_FROM, VALID_TO, ACTIVE)]
-    _require_same_columns(tracked, source, spec)
     if load_date is None:  # several queries follow; midnight must not fall between them
         load_date = dimension.sparkSession.range(1).select(F.current_date()).first()[0]
-    _require_unique_keys(source, spec)
+    require_extract(dimension, source, spec)
     _require_later_load(dimension, load_date, spec)
     day = load_day(load_date)
     is_active = F.col(ACTIVE) == 1
@@ -86,6 +85,13 @@ def merge_changes(
     return closed.unionByName(kept).unionByName(fresh).select(*dimension.columns)
 
 
+def require_extract(dimension: DataFrame, source: DataFrame, spec: Dimension) -> None:
+    """Refuse an extract with other columns than the dimension, or with null or repeated keys."""
+    tracked = [c for c in dimension.columns if c not in (spec.key, spec.sk, VALID_FROM, VALID_TO, ACTIVE)]
+    _require_same_columns(tracked, source, spec)
+    _require_unique_keys(source, spec)
+
+
 def _any_differs(columns: Iterable[str]) -> Column:
     differs = F.lit(False)
     for c in columns:

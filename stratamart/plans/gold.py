@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.dates import load_day
 from stratamart.model import (
     DIMENSIONS,
     FACT_DIMENSIONS,
@@ -15,11 +16,13 @@ from stratamart.model import (
     SALES,
     SALES_PARTITION_TYPES,
     SALES_PARTITIONS,
+    VALID_FROM,
     YEAR,
     Dimension,
     Lake,
 )
-from stratamart.operators.dimensions import first_load, merge_changes
+from stratamart.operators.dimensions import first_load, merge_changes, require_extract
+from stratamart.operators.history import differing_states, insert_states, last_of_day
 from stratamart.operators.ledger import (
     LEDGER,
     compare_months,
@@ -40,7 +43,7 @@ from stratamart.sinks.tables import (
     switch,
 )
 from stratamart.sources.tables import scan_table, scan_table_if_present
-from stratamart.workspace import exists, remove
+from stratamart.workspace import exists, materialize, remove
 
 
 def build(
@@ -65,11 +68,21 @@ def build(
 
 
 def build_dimension(
-    spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None, restart: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    spec: Dimension,
+    load_date: date | str | None = None,
+    restart: bool = False,
+    remember: bool = False,
 ) -> None:
+    """Start a dimension from its silver table; ``remember`` as for :func:`update_dimension`."""
     if not restart:
         _refuse_existing(spark, lake, spec)
     rows = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
+    remove(spark, seen_path(lake, spec))
+    if remember:
+        load_date = _fixed_day(spark, load_date)
+        _remember(spark, lake, spec, rows, load_date)
     overwrite(first_load(rows, spec, load_date), lake.table("gold", spec.table), lake.fmt)
 
 
@@ -80,22 +93,84 @@ def _refuse_existing(spark: SparkSession, lake: Lake, spec: Dimension) -> None:
         raise ValueError(f"{path} exists and holds history: update it, or build with restart=True")
 
 
-def update_dimension(spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None) -> None:
+def update_dimension(
+    spark: SparkSession, lake: Lake, spec: Dimension, load_date: date | str | None = None, remember: bool = False
+) -> None:
     """Merge the silver table into the dimension, keeping its history.
 
+    With ``remember`` the keys of the extract are kept beside the dimension, by load date. A dimension whose
+    loads were all remembered takes extracts in any order: one dated before the newest version is worked into the
+    histories of the keys for which it says something else. Without that it is refused.
+
     The merged dimension is complete beside the current one before it takes its place.
     """
     path = lake.table("gold", spec.table)
     recover(spark, path)
-    merged = merge_changes(
-        scan_table(spark, path, lake.fmt),
-        scan_table(spark, lake.table("silver", spec.table), lake.fmt),
-        spec,
-        load_date,
-    )
+    dimension = scan_table(spark, path, lake.fmt)
+    extract = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
+    remembered = exists(spark, seen_path(lake, spec))
+    if remembered and not remember:
+        raise ValueError(f"{path} remembers its loads: one that is not remembered would end that")
+    if not remembered or not remember:
+        if remember:
+            raise ValueError(f"{path} has loads that were not remembered")
+        switch(merge_changes(dimension, extract, spec, load_date), path, lake.fmt)
+        return
+    day = _fixed_day(spark, load_date)
+    seen = scan_seen(spark, lake, spec)
+    newest = max(r[0] for r in seen.select(VALID_FROM).distinct().collect())  # one row per load
+    if str(day) >= str(newest):
+        merged = merge_changes(dimension, extract, spec, day)
+    else:
+        require_extract(dimension, extract, spec)
+        merged = insert_states(dimension, differing_states(dimension, extract, spec, day), spec, seen)
+    merged = materialize(merged, "merged")
+    _remember(spark, lake, spec, extract, day)
     switch(merged, path, lake.fmt)
 
 
+def apply_changes(
+    spark: SparkSession, lake: Lake, spec: Dimension, feed: DataFrame, at: str, order: str, remember: bool = False
+) -> None:
+    """Work a feed of changes into the dimension: several a key, in any order, dated by ``at`` and numbered by ``order``.
+
+    Per key and day the last change counts, and equal consecutive values are one version. A dimension that remembers
+    its loads keeps the days of the changes too, so that late ones find their place among them.
+    """
+    path = lake.table("gold", spec.table)
+    recover(spark, path)
+    dimension = scan_table(spark, path, lake.fmt)
+    states = materialize(last_of_day(feed, spec, at, order), "states")
+    remembered = exists(spark, seen_path(lake, spec))
+    if remembered != remember:
+        raise ValueError(f"{path} {'remembers' if remembered else 'does not remember'} its loads")
+    seen = scan_seen(spark, lake, spec) if remember else None
+    merged = materialize(insert_states(dimension, states, spec, seen), "merged")
+    if remember:
+        states.select(spec.key, VALID_FROM).write.mode("append").parquet(f"{seen_path(lake, spec)}/feed")
+    switch(merged, path, lake.fmt)
+
+
+def seen_path(lake: Lake, spec: Dimension) -> str:
+    return f"{lake.table('gold', spec.table)}__vistos"
+
+
+def scan_seen(spark: SparkSession, lake: Lake, spec: Dimension) -> DataFrame:
+    """Key and day of every remembered load that had the key."""
+    return spark.read.option("recursiveFileLookup", True).parquet(seen_path(lake, spec))
+
+
+def _remember(spark: SparkSession, lake: Lake, spec: Dimension, extract: DataFrame, day: date | str) -> None:
+    """Before the dimension changes, so that a load that breaks off and is repeated writes the same folder again."""
+    keys = extract.select(spec.key, load_day(day).alias(VALID_FROM))
+    keys.write.mode("overwrite").parquet(f"{seen_path(lake, spec)}/{day}")
+
+
+def _fixed_day(spark: SparkSession, load_date: date | str | None) -> date | str:
+    """Several queries follow; midnight must not fall between them."""
+    return spark.range(1).select(F.current_date()).first()[0] if load_date is None else load_date
+
+
 def build_sales(spark: SparkSession, lake: Lake) -> None:
     """Replace the fact; keys come from the stored dimensions, never from a second numbering.
 

@@ -91,6 +91,18 @@ def _priced(source: str) -> str:
         FROM {source} v LEFT JOIN produtos p ON v.ProdutoID = p.ProdutoID AND p.DataCadastro <= v.DataVenda"""
 
 
+def _islands(columns: str, states: str) -> str:
+    """History of dated states, one per key and day: runs of equal values, each until the next run."""
+    key, *values = columns.split(", ")
+    same = " AND ".join(f"{c} IS NOT DISTINCT FROM lag({c}) OVER w" for c in values)
+    return f"""
+        SELECT {columns}, CAST(dia AS VARCHAR) AS data_inicio,
+               CAST(coalesce(lead(dia) OVER (PARTITION BY {key} ORDER BY dia), DATE '9999-12-31') AS VARCHAR) AS data_fim,
+               CASE WHEN lead(dia) OVER (PARTITION BY {key} ORDER BY dia) IS NULL THEN 1 ELSE 0 END AS registro_ativo
+        FROM (SELECT *, row_number() OVER w > 1 AND {same} AS igual FROM ({states}) WINDOW w AS (PARTITION BY {key} ORDER BY dia))
+        WHERE NOT igual"""
+
+
 _LINE_TOTAL = (
     "CAST(CAST(round(Quantidade * PrecoUnitario * (CAST(1 AS DECIMAL(4,2)) - Desconto), 2)"
     " AS DECIMAL(18,2)) AS DOUBLE) AS PrecoTotal"
@@ -230,6 +242,25 @@ _SELECTS = {
         SELECT ClienteID, Nome, CidadeID, CAST(Saldo AS DOUBLE) AS Saldo, SK_Cliente,
                CAST(data_inicio AS VARCHAR) AS data_inicio, CAST(data_fim AS VARCHAR) AS data_fim, registro_ativo
         FROM dim_historica""",
+    "scd2_backdated": _islands(
+        "ClienteID, Nome, CidadeID, Saldo",
+        """
+        SELECT ClienteID, Nome, CidadeID, Saldo, DATE '1996-01-01' AS dia FROM clientes_nome
+        WHERE ClienteID IN (SELECT ClienteID FROM primeiros)
+        UNION ALL
+        SELECT ClienteID, Nome, CASE WHEN Saldo >= 8800 THEN CidadeID + 2 ELSE CidadeID END, Saldo, DATE '1997-03-01'
+        FROM clientes_nome WHERE Saldo >= 2000
+        UNION ALL SELECT ClienteID, Nome, CidadeID, Saldo, DATE '1998-06-01' FROM extrato""",
+    ).replace("CidadeID, Saldo, CAST(dia", "CidadeID, CAST(Saldo AS DOUBLE) AS Saldo, CAST(dia"),
+    "scd2_change_feed": _islands(
+        "ClienteID, Prioridade",
+        """
+        SELECT ClienteID, 'NENHUMA' AS Prioridade, DATE '1996-01-01' AS dia FROM clientes
+        WHERE ClienteID NOT IN (SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-01-01')
+        UNION ALL
+        SELECT o_custkey, max_by(o_orderpriority, [epoch(o_orderdate), o_orderkey]), CAST(o_orderdate AS DATE)
+        FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)""",
+    ),
     "price_asof_join": f"""
         SELECT {_SALE}, CAST(p.Preco AS DOUBLE) AS PrecoUnitario
         FROM vendas v ASOF LEFT JOIN (SELECT ProdutoID AS produto, Preco, DataCadastro FROM precos) p

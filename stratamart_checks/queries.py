@@ -48,6 +48,7 @@ NEW_BATCHES = ("vendas_2", "vendas_3")
 
 # Load dates fall inside the span of the sales, so that both versions of a customer are in use.
 FIRST_LOAD = "1996-01-01"
+BETWEEN = "1997-03-01"
 SECOND_LOAD = "1998-06-01"
 
 
@@ -376,6 +377,39 @@ def scd2_merge(t: Tables) -> DataFrame:
     return scan_table(t.spark, lake.table("gold", CUSTOMERS))
 
 
+def _extract_in_between(t: Tables) -> DataFrame:
+    """What the customers looked like between the two other extracts, some of them unknown then."""
+    balance = F.col("Saldo")
+    city = F.when(balance >= 8800, F.col("CidadeID") + 2).otherwise(F.col("CidadeID"))
+    return merge_names(t.customers(), "ClienteID").filter(balance >= 2000).withColumn("CidadeID", city)
+
+
+@query("scd2_backdated")
+def scd2_backdated(t: Tables) -> DataFrame:
+    """Three extracts of customers, the middle one loaded last: the history of the ordered loads."""
+    lake, spec = new_lake(t), DIMENSIONS[CUSTOMERS]
+    overwrite(merge_names(_early_customers(t), "ClienteID"), lake.table("silver", CUSTOMERS))
+    gold.build_dimension(t.spark, lake, spec, FIRST_LOAD, remember=True)
+    for extract, day in ((_later_extract(t), SECOND_LOAD), (_extract_in_between(t), BETWEEN)):
+        overwrite(extract, lake.table("silver", CUSTOMERS))
+        gold.update_dimension(t.spark, lake, spec, day, remember=True)
+    return scan_table(t.spark, lake.table("gold", CUSTOMERS)).drop(spec.sk)
+
+
+@query("scd2_change_feed")
+def scd2_change_feed(t: Tables) -> DataFrame:
+    """Customers by the priority of their last order: every order is a change, several a customer."""
+    lake, spec = new_lake(t), DIMENSIONS[CUSTOMERS]
+    known = t.customers().select("ClienteID", F.lit("NENHUMA").alias("Prioridade"))
+    overwrite(known, lake.table("silver", CUSTOMERS))
+    gold.build_dimension(t.spark, lake, spec, FIRST_LOAD)
+    orders = t.read("orders").select(
+        F.col("o_custkey").alias("ClienteID"), F.col("o_orderpriority").alias("Prioridade"), "o_orderdate", "o_orderkey"
+    )
+    gold.apply_changes(t.spark, lake, spec, orders, "o_orderdate", "o_orderkey")
+    return scan_table(t.spark, lake.table("gold", CUSTOMERS)).drop(spec.sk)
+
+
 @query("price_asof_join")
 def price_asof_join(t: Tables) -> DataFrame:
     return price_as_of(t.sales(), t.price_history())
