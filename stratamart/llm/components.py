@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.workspace import materialize
+from stratamart.workspace import new_folder, remove
 
 MOST_ROUNDS = 60
 
@@ -36,10 +36,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Edges with a null end or with equal ends tie nothing and are left out. Each round is written to
     the shared folder; it ends when a round changes nothing.
     """
-    now = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    spark = edges.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = new_folder(spark, "edges")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    now, path = written(
+        edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
     before = None
     for _ in range(MOST_ROUNDS):
-        now = materialize(_stars(_stars(now, large=True), large=False), "edges")
+        # Nothing reads a round once the next one is written.
+        (now, path), last = written(_stars(_stars(now, large=True), large=False)), path
+        remove(spark, last)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before:
             return now.select(F.col("a").alias("vertex"), F.col("b").alias("component")).union(

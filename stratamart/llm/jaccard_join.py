@@ -2,17 +2,19 @@
 
 Candidates. Sets of sizes a <= b with a Jaccard similarity of p % or more differ in at most
 k = a (100 - p) / p shingles. Hash values are cut into k + 1 + e ranges, so such sets agree wholly in
-e + 1 ranges at least. A set emits the hash of its content in each range that is not empty. Only sets with more
-than e empty ranges could agree in those alone: they emit each choice of e + 1 of them, or where there are many
-ranges, and e is such that it hardly occurs, one key for all. Sets with no key in common are not similar. Bands of sizes
-fix k: a similar set is in the same or the next band, so each set emits keys for its own
-band and for the one below. Common passages make no common keys, as a key needs all of a text's
-shingles in its range.
+e + 1 ranges at least, and in one of the k + 1 fullest of either. A set emits the hash of its content in each of those.
+Only sets with more than e empty ranges could agree in those alone: they emit each choice of e + 1 of them, or where there
+are many ranges, and e is such that it hardly occurs, one key for all. Sets with no key in common are not similar. Bands
+of sizes fix k: a similar set is in the same or the next band, so each set emits keys for its own
+band and for the one below. Common passages make few common keys, as a key needs all of a text's
+shingles in its range, and ranges that hold a single one are seldom among the fullest.
 
 Tiles. Sets that share keys are tied to coarse groups, which are cut by band, and further by hash
-until the shingles of a cell fit a task; a tile is a pair of cells whose bands touch. In a
-tile, every set has a hashed bitmap; bits set in one and clear in another bound the overlap from
-above, and only pairs that pass, and that links found so far do not connect, are intersected as sorted arrays.
+until the shingles of a cell fit a task; a tile is a pair of cells whose bands touch. Every set has a hashed bitmap of one
+or two bits a shingle; bits set in one and clear in another bound the overlap from above. Groups that are too large for one
+tile are first dealt out as bitmaps alone: sets that the bounds do not tie, directly or through others, fall apart. Then whole
+sets are dealt, in a tile the bounds hold once more, and only pairs that pass, and that links found so far do not
+connect, are intersected as sorted arrays.
 
 Equal sets take part once. Links then tie sets, and documents, to their smallest doc_id.
 """
@@ -37,6 +39,9 @@ PERCENT = 90
 CELL_SHINGLES = 2 << 20
 CELL_SETS = 4096
 BITMAP_BITS = 4096
+# Cells of bitmaps, which take a fortieth of the bytes of sets.
+BITMAP_CELL_SHINGLES = 32 << 20
+BITMAP_CELL_SETS = 8192
 BROADCAST_BYTES = 24 << 20
 COMBINE_KEYS = 1 << 18
 FEW_PARTS = 128
@@ -90,12 +95,16 @@ def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarra
         if b < 0:
             continue
         differ = int(tops[b]) * (100 - percent) // percent
-        spare = least_spare + differ // 10
+        spare = least_spare + differ * 35 // 100
         parts = differ + 1 + spare
         ranks = (high * np.uint64(parts)) >> np.uint64(32)
         edges = np.searchsorted(ranks, np.arange(parts + 1, dtype=np.uint64))
         tag = np.uint64(b) << np.uint64(40)
-        full = np.flatnonzero(edges[1:] > edges[:-1])
+        held = np.diff(edges)
+        # One of the differ + 1 fullest ranges is among those that agree: the others need no key. A range
+        # that agrees is as full in the other set, so whichever of the two keeps to fuller ranges decides.
+        least = max(1, int(np.partition(held, parts - differ - 1)[parts - differ - 1]))
+        full = np.flatnonzero(held >= least)
         content = sums[edges[full + 1]] - sums[edges[full]]
         out.append(mix(content * _A + mix(tag + full.astype(np.uint64))))
         empty = np.flatnonzero(edges[1:] == edges[:-1]).astype(np.uint64)
@@ -108,15 +117,63 @@ def _keys(s: np.ndarray, percent: int, band: int, tops: np.ndarray) -> np.ndarra
     return np.concatenate(out)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for the hash of each shingle, in the power of two that is not below the size, 128 at least."""
+    bits = np.zeros(max(128, 1 << max(len(s) - 1, 0).bit_length()), bool)
+    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def likely_links(sizes: np.ndarray, bitmaps: list[bytes], cells: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of indexes that tie all sets whose bitmaps do not rule similarity out; of two cells, pairs across them only.
+
+    Sets in the order of their sizes; similar ones have bitmaps of the same length or one of twice the other's, whose
+    halves are then laid over each other.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, cells = sizes[order], cells[order]
+    lengths = np.array([len(bitmaps[k]) for k in order])
+    across = cells.min(initial=0) != cells.max(initial=0)
+    group = np.arange(len(order))
+    links = []
+    for length in np.unique(lengths):
+        own, twice = np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)
+        rows = [np.frombuffer(bitmaps[order[k]], np.uint64) for k in own]
+        for k in twice:
+            wide = np.frombuffer(bitmaps[order[k]], np.uint64)
+            rows.append(wide[: len(wide) // 2] | wide[len(wide) // 2 :])
+        bits, first = np.array(rows).reshape(len(rows), length // 8), int(own[0])
+        for i in own:
+            last = min(int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right")), first + len(bits))
+            j = np.arange(i + 1, last)
+            j = j[group[j] != group[i]]
+            if across:
+                j = j[cells[j] != cells[i]]
+            for start in range(0, len(j), 4096):
+                some = j[start : start + 4096]
+                mine = np.bitwise_count(bits[i - first] & ~bits[some - first]).sum(axis=1, dtype=np.int64)
+                theirs = np.bitwise_count(bits[some - first] & ~bits[i - first]).sum(axis=1, dtype=np.int64)
+                most = np.minimum(sizes[i] - mine, sizes[some] - theirs)
+                for k in some[100 * most >= percent * (sizes[i] + sizes[some] - most)]:
+                    if group[k] != group[i]:
+                        links.append((int(order[i]), int(order[k])))
+                        group[group == group[k]] = group[i]
+    return links
+
+
 def _prints(n: int):
-    """Size and fingerprint of each text's set."""
+    """Hash of the text, size, fingerprint and bitmap of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches):
             found = shingle_sets(data, offsets, n)
             sizes = pa.array([len(s) for s in found], pa.int64())
             prints = pa.array([int(_fingerprint(s).view(np.int64)) for s in found], pa.int64())
-            yield pa.record_batch([rows.column("doc_id"), sizes, prints], ["doc_id", "n_shingles", "fp"])
+            bits = pa.array([bitmap(s) for s in found], pa.binary())
+            yield pa.record_batch(
+                [rows.column("doc_id"), rows.column("text_hash"), sizes, prints, bits],
+                ["doc_id", "text_hash", "n_shingles", "fp", "bits"],
+            )
 
     return run
 
@@ -224,9 +281,23 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
     such a row has the smallest doc_id that its text reaches, or null; it links as others do only
     through a text that some row with an id has too. Whole texts are read. Other columns are ignored.
     """
+    scanned, merged = _sets_and_components(docs, n, percent)
+    smallest = merged.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Only sets in a component of several need another document's id.
+    named = merged.join(smallest, "component").select("fp", "component_id")
+    full = scanned.where("n_shingles > 0").select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
+    empty = scanned.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", "n_shingles", "component_id").union(empty)
+
+
+def _sets_and_components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Per row its text's hash and set; per set that some row with an id has, its smallest doc_id and its component."""
     texts = docs.select("doc_id", "text")
     # Texts are read again for the keys, of which there are many times more, rather than store them.
-    scanned = materialize(texts.mapInArrow(_prints(n), "doc_id long, n_shingles long, fp long"), "shingles")
+    hashed = texts.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    scanned = materialize(
+        hashed.mapInArrow(_prints(n), "doc_id long, text_hash long, n_shingles long, fp long, bits binary"), "shingles"
+    )
     keyed = texts.select("text").mapInArrow(_keyed(n, percent), "key long, fp long")
     # Within a key each set is tied to the one before it: rows stream by, a key's sets are never held.
     chain = keyed.selectExpr("fp AS a", "lag(fp) OVER (PARTITION BY key ORDER BY fp) AS b")
@@ -239,8 +310,9 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
         sets.join(coarse, sets.fp == coarse.vertex).select("doc_id", "fp", "n_shingles", F.col("component").alias("tile_group")),
         "candidates",
     )
+    candidates = _finer_groups(candidates, scanned, percent)
     # Which tiles a set goes to is settled without the sets, which then cross the network once for each.
-    placed = materialize(_placed(candidates, percent), "tiles")
+    placed = materialize(_placed(candidates, percent, CELL_SHINGLES, CELL_SETS), "tiles")
     fetched = (
         join_by_size(texts, placed, "doc_id", "inner", 64 * F.size("places"), BROADCAST_BYTES)
         .select("text", "fp", "places")
@@ -253,33 +325,54 @@ def similar_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT)
     merged = sets.join(fine, sets.fp == fine.vertex, "left").select(
         "fp", "doc_id", F.coalesce("component", "fp").alias("component")
     )
-    smallest = merged.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    # Only sets in a component of several need another document's id.
-    named = merged.join(smallest, "component").select("fp", "component_id")
-    full = scanned.where("n_shingles > 0").select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
-    empty = scanned.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", "n_shingles", "component_id").union(empty)
+    return scanned, merged
+
+
+def _finer_groups(candidates: DataFrame, scanned: DataFrame, percent: int) -> DataFrame:
+    """Candidates again, groups that do not fit a tile cut to what bitmaps tie; sets that they tie to none go."""
+    sized = materialize(_sized(candidates, CELL_SHINGLES, CELL_SETS), "sized")
+    large = sized.where("NOT whole").select(*candidates.columns)
+    if large.isEmpty():
+        return candidates
+    bits = scanned.where("n_shingles > 0").join(large.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("bits").alias("bits"))
+    placed = _placed(large, percent, BITMAP_CELL_SHINGLES, BITMAP_CELL_SETS)
+    dealt = placed.select("fp", "n_shingles", F.explode("places").alias("place")).join(bits, "fp")
+
+    def run(group: pa.Table) -> pa.Table:
+        prints = group.column("fp").to_pylist()
+        sizes, cells = group.column("n_shingles").to_numpy(), group.column("cell").to_numpy()
+        links = likely_links(sizes, group.column("bits").to_pylist(), cells, percent)
+        ends = [pa.array([prints[pair[k]] for pair in links], pa.int64()) for k in (0, 1)]
+        return pa.table(dict(zip("ab", ends, strict=True)))
+
+    tied = dealt.select("place.tile", "place.cell", "fp", "n_shingles", "bits").groupBy("tile").applyInArrow(run, "a long, b long")
+    finer = connected_components(tied)
+    cut = large.drop("tile_group").join(finer, large.fp == finer.vertex).select("doc_id", "fp", "n_shingles", F.col("component").alias("tile_group"))
+    return materialize(sized.where("whole").select(*candidates.columns).unionByName(cut), "finer")
+
+
+def _sized(candidates: DataFrame, shingles: int, sets: int) -> DataFrame:
+    """Candidates and whether their group fits one tile."""
+    total = candidates.groupBy("tile_group").agg(F.sum("n_shingles").alias("in_group"), F.count("*").alias("group_sets"))
+    return candidates.join(total, "tile_group").withColumn("whole", (F.col("in_group") <= shingles) & (F.col("group_sets") <= sets))
 
 
-def _placed(candidates: DataFrame, percent: int) -> DataFrame:
-    """For each candidate the tiles that it goes to, and its cell there: doc_id, fp, places."""
+def _placed(candidates: DataFrame, percent: int, most_shingles: int, most_sets: int) -> DataFrame:
+    """For each candidate the tiles that it goes to, and its cell there: doc_id, fp, n_shingles, places."""
     _, tops = bands(1 << 40, percent)
     # A logarithm would round: count the bands whose largest size is less.
     band = F.size(F.filter(F.array(*[F.lit(int(t)) for t in tops]), lambda t: t < F.col("n_shingles")))
-    rows = candidates.withColumn("band", band)
-    total = rows.groupBy("tile_group").agg(F.sum("n_shingles").alias("in_group"), F.count("*").alias("group_sets"))
-    small = (F.col("in_group") <= CELL_SHINGLES) & (F.col("group_sets") <= CELL_SETS)
-    sized = rows.join(total, "tile_group").withColumn("whole", small)
+    sized = _sized(candidates, most_shingles, most_sets).withColumn("band", band)
 
     def place(tile, cell):
         return F.struct(tile.alias("tile"), cell.cast("int").alias("cell"))
 
     alone = sized.where("whole").select(
-        "doc_id", "fp", F.array(place(F.col("tile_group").cast("string"), F.lit(0))).alias("places")
+        "doc_id", "fp", "n_shingles", F.array(place(F.col("tile_group").cast("string"), F.lit(0))).alias("places")
     )
     large = sized.where("NOT whole")
     cells = large.groupBy("tile_group", "band").agg(
-        F.ceil(F.greatest(F.sum("n_shingles") / CELL_SHINGLES, F.count("*") / CELL_SETS)).cast("int").alias("cells")
+        F.ceil(F.greatest(F.sum("n_shingles") / most_shingles, F.count("*") / most_sets)).cast("int").alias("cells")
     )
     after = cells.select("tile_group", (F.col("band") - 1).alias("band"), F.col("cells").alias("cells_after"))
     before = cells.select("tile_group", (F.col("band") + 1).alias("band"), F.col("cells").alias("cells_before"))
@@ -304,7 +397,7 @@ def _placed(candidates: DataFrame, percent: int) -> DataFrame:
     none = F.array().cast("array<string>")
     every = F.concat(here, F.coalesce(up, none), F.coalesce(down, none))
     cell = F.col("band") * 100000 + F.col("own")
-    spread = own.select("doc_id", "fp", F.transform(every, lambda tile: place(tile, cell)).alias("places"))
+    spread = own.select("doc_id", "fp", "n_shingles", F.transform(every, lambda tile: place(tile, cell)).alias("places"))
     return alone.union(spread)
 
 
@@ -326,7 +419,29 @@ def _links(fetched: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their group's smallest, and rows with a null doc_id."""
-    kept = similar_documents(docs, n, percent).where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return with_id.union(docs.where("doc_id IS NULL"))
+    """One row of each group of similar documents: that with the smallest doc_id, and of several such one text of them.
+
+    Rows count, not ids: of equal rows one stays, and a row goes whose text is like that of a row kept under another or
+    under the same id. Rows without an id come after those with one; they go with the rows whose set of shingles they
+    have, and one of those stays that have a set no row with an id has. Texts without words are like nothing and stay.
+    """
+    scanned, merged = _sets_and_components(docs, n, percent)
+    rows = scanned.groupBy("fp", "doc_id", "text_hash", (F.col("n_shingles") > 0).alias("held")).agg(F.count("*").alias("n"))
+    placed = rows.where("held").join(merged.select("fp", "component"), "fp", "left")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n")).alias("first")
+    chosen = placed.groupBy(F.coalesce("component", "fp").alias("component")).agg(first).select("first.*")
+    chosen = materialize(
+        chosen.select("doc_id", "text_hash", (F.col("n") > 1).alias("repeated")).unionByName(
+            rows.where("NOT held").select("doc_id", "text_hash", F.lit(False).alias("repeated"))
+        ),
+        "chosen",
+    )
+    columns = [F.col(f"_row.{c}").alias(c) for c in docs.columns]
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")
+    )
+    same = F.col("_id").eqNullSafe(F.col("_kept.doc_id")) & (F.col("_hash") == F.col("_kept.text_hash"))
+    met = keyed.join(chosen.where("NOT repeated").alias("_kept"), same, "left_semi").select(*columns)
+    # Equal rows are few texts, whatever the number of their rows.
+    several = keyed.join(chosen.where("repeated").alias("_kept"), same, "left_semi")
+    return met.union(several.groupBy("_id", "_hash").agg(F.any_value("_row").alias("_row")).select(*columns))

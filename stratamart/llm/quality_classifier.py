@@ -105,10 +105,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     # At most ``sample`` rows of fixed width, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("rank", "label", "text")
     got = rows.mapInArrow(_counts, "rank long, label int, ids binary, counts binary").toArrow()
-    order = np.lexsort((np.array([len(x.as_py()) for x in got["ids"]]), got["rank"].to_numpy()))
+    # Views of what was collected, not copies of it.
+    ids, counts = (np.array([x.as_buffer() for x in got[c]], object) for c in ("ids", "counts"))
+    order = np.lexsort((np.array([len(x) for x in ids], np.int64), got["rank"].to_numpy()))
     found = [
-        (np.frombuffer(got["ids"][k].as_py(), np.uint32), np.frombuffer(got["counts"][k].as_py(), np.uint16), y)
-        for k, y in ((int(k), got["label"][int(k)].as_py()) for k in order)
+        (np.frombuffer(ids[k], np.uint32), np.frombuffer(counts[k], np.uint16), got["label"][int(k)].as_py())
+        for k in order
     ]
     return _descend([(a, b, y) for a, b, y in found if len(a)], seed)
 

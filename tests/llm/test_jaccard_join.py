@@ -113,7 +113,41 @@ def test_edge_cases(spark):
 def test_one_document_of_each_group(spark):
     text = " ".join(f"w{k}" for k in range(60))
     df = spark.createDataFrame([(3, text, "a"), (1, text + " more", "b"), (2, "other", "c"), (None, text, "d")], SCHEMA)
-    assert sorted(r.component_id for r in one_of_each_group(df).collect()) == ["b", "c", "d"]
+    assert sorted(r.component_id for r in one_of_each_group(df).collect()) == ["b", "c"]
+
+
+def test_rows_count_not_ids(spark):
+    text, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "wv")
+    rows = [
+        (1, text, "a"), (1, text, "a"), (1, text, "b"), (2, text, "c"), (2, other, "d"), (2, other + " more", "e"),
+        (None, other, "f"), (None, "nobody else", "g"), (None, "nobody else", "h"), (7, None, "i"), (7, "", "j"), (None, " ", "k"),
+    ]
+    got = sorted(r.component_id for r in one_of_each_group(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert len(got) == 6 and got[0] in "ab" and got[1] in "de" and got[2] in "gh" and got[3:] == ["i", "j", "k"]
+
+
+def test_bitmaps_keep_what_is_similar(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (100, 130, 900, 1100)]
+    sets = [np.unique(np.concatenate([b[k % 9 :], rng.integers(0, 1 << 63, k % 13, dtype=np.uint64)])) for b in base for k in range(30)]
+    sizes = np.array([len(s) for s in sets])
+    links = jaccard_join.likely_links(sizes, [jaccard_join.bitmap(s) for s in sets], np.zeros(len(sets), np.int64), 80)
+    group = list(range(len(sets)))
+    for a, b in links:
+        group = [group[b] if g == group[a] else g for g in group]
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])):
+                assert group[i] == group[j]
+    assert len(set(group)) >= 4
+
+
+def test_large_groups_are_cut_by_bitmaps(spark, monkeypatch):
+    for name in ("CELL_SETS", "BITMAP_CELL_SETS"):
+        monkeypatch.setattr(jaccard_join, name, 5)
+    rows = corpus(4, [40, 46, 120], 25, 3)
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+    assert run(spark, rows, 5, 80) == brute(rows, 5, 80)
 
 
 def test_tile_links_connect_what_is_similar():
