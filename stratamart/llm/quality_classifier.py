@@ -3,8 +3,8 @@
 A document is the mean of learned vectors of its features: words, pairs of adjacent words, and
 runs of four bytes, each hashed to one of a fixed number of vectors. A softmax layer over that mean
 gives the probability of label 1. Vectors and layer are trained together by stochastic gradient
-descent in numpy on the driver, over a sample of labelled documents of a fixed size: which documents
-is decided on their ids alone, executors turn them into feature counts, and only those are collected.
+descent in numpy, in one task, over a sample of labelled documents of a fixed size: which documents
+is decided on their ids alone, other tasks turn them into feature counts, and the driver gets the weights.
 
 The mean and the layer are both linear up to the softmax, so scoring needs one number per feature:
 its vector times the difference of the two rows of the layer. That table has a fixed size.
@@ -104,15 +104,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     chosen = chosen.orderBy("rank", "doc_id").limit(sample)
     # At most ``sample`` rows of fixed width, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("rank", "label", "text")
-    got = rows.mapInArrow(_counts, "rank long, label int, ids binary, counts binary").toArrow()
-    # Views of what was collected, not copies of it.
-    ids, counts = (np.array([x.as_buffer() for x in got[c]], object) for c in ("ids", "counts"))
-    order = np.lexsort((np.array([len(x) for x in ids], np.int64), got["rank"].to_numpy()))
-    found = [
-        (np.frombuffer(ids[k], np.uint32), np.frombuffer(counts[k], np.uint16), got["label"][int(k)].as_py())
-        for k in order
-    ]
-    return _descend([(a, b, y) for a, b, y in found if len(a)], seed)
+    counted = rows.mapInArrow(_counts, "rank long, label int, ids binary, counts binary")
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [
+            (rank, ids, counts, label)
+            for batch in batches
+            for rank, ids, counts, label in zip(*(batch.column(c).to_pylist() for c in ("rank", "ids", "counts", "label")), strict=True)
+        ]
+        # Rows of equal rank have equal ids or, by the sizes, an order of their own: it does not depend on how they came.
+        found.sort(key=lambda r: (r[0], len(r[1]), r[1:]))
+        model = _descend([(np.frombuffer(i, np.uint32), np.frombuffer(c, np.uint16), y) for _, i, c, y in found if i], seed)
+        yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    # The sample is bounded, so one task holds it; the weights have a fixed size.
+    trained = counted.repartition(1).mapInArrow(train, "weights binary, bias double").first()
+    return Model(np.frombuffer(bytes(trained.weights), np.float32), trained.bias)
 
 
 def _descend(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int) -> Model:
