@@ -23,6 +23,7 @@ from stratamart.model import (
 )
 from stratamart.operators.dimensions import first_load, merge_changes, require_extract
 from stratamart.operators.history import differing_states, insert_states, last_of_day
+from stratamart.operators.inferred import inferred_members, is_inferred, take_over
 from stratamart.operators.ledger import (
     LEDGER,
     compare_months,
@@ -108,6 +109,9 @@ def update_dimension(
     recover(spark, path)
     dimension = scan_table(spark, path, lake.fmt)
     extract = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
+    if not dimension.filter(is_inferred(dimension, spec)).isEmpty():
+        require_extract(dimension, extract, spec)
+        dimension = materialize(take_over(dimension, extract, spec), "taken-over")
     remembered = exists(spark, seen_path(lake, spec))
     if remembered and not remember:
         raise ValueError(f"{path} remembers its loads: one that is not remembered would end that")
@@ -151,6 +155,22 @@ def apply_changes(
     switch(merged, path, lake.fmt)
 
 
+def infer_members(
+    spark: SparkSession, lake: Lake, specs: Iterable[Dimension] = FACT_DIMENSIONS, load_date: date | str | None = None
+) -> None:
+    """Give every key that silver's sales use and a dimension lacks a member of its own, so that no fact stays without key.
+
+    Their real rows take them over when they come: :func:`update_dimension` fills them in first, under the same key.
+    """
+    for spec in specs:
+        path = lake.table("gold", spec.table)
+        recover(spark, path)
+        dimension = scan_table(spark, path, lake.fmt)
+        members = materialize(inferred_members(dimension, _silver_sales(spark, lake), spec, load_date), "inferred")
+        if not members.isEmpty():
+            switch(dimension.unionByName(members), path, lake.fmt)
+
+
 def seen_path(lake: Lake, spec: Dimension) -> str:
     return f"{lake.table('gold', spec.table)}__vistos"
 

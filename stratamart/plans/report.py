@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.model import DIMENSIONS, SALES, SALES_PARTITIONS, Dimension, Lake
+from stratamart.operators.history_check import all_history_faults
 from stratamart.operators.quality import quality_report
 from stratamart.sources.tables import scan_table
 
@@ -21,6 +22,13 @@ def sales_by_month(sales: DataFrame) -> DataFrame:
     )
 
 
+def gold_history(
+    spark: SparkSession, lake: Lake, dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values())
+) -> DataFrame:
+    """Faults in the histories of the gold dimensions."""
+    return all_history_faults([(spec, scan_table(spark, lake.table("gold", spec.table), lake.fmt)) for spec in dimensions])
+
+
 def silver_quality(
     spark: SparkSession, lake: Lake, dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values())
 ) -> DataFrame:

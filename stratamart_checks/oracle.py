@@ -265,6 +265,49 @@ _SELECTS = {
         SELECT {_SALE}, CAST(p.Preco AS DOUBLE) AS PrecoUnitario
         FROM vendas v ASOF LEFT JOIN (SELECT ProdutoID AS produto, Preco, DataCadastro FROM precos) p
           ON v.ProdutoID = p.produto AND v.DataVenda >= p.DataCadastro""",
+    "price_asof_time": """
+        SELECT VendasID, VendedorID, ProdutoID, ClienteID, CAST(Quantidade AS DOUBLE) AS Quantidade,
+               CAST(Desconto AS DOUBLE) AS Desconto, NumeroTransacao, CAST(DataHora AS VARCHAR) AS DataHora,
+               CAST(p.Preco AS DOUBLE) AS PrecoUnitario
+        FROM (SELECT *, CAST(DataVenda AS TIMESTAMP) + to_seconds(VendasID * 7919 % 86400) AS DataHora FROM vendas) v
+        ASOF LEFT JOIN (
+            SELECT ProdutoID AS produto, Preco + vez AS Preco,
+                   CAST(DataCadastro AS TIMESTAMP) + to_seconds((ProdutoID * 613 + vez * 30011) % 86400) AS desde
+            FROM (SELECT *, unnest([0, 1]) AS vez FROM precos)) p
+          ON v.ProdutoID = p.produto AND v.DataHora >= p.desde""",
+    "history_check": """
+        , com_erros AS (
+            SELECT ClienteID, data_inicio, row_number() OVER () AS linha,
+                   CASE WHEN ClienteID % 25 <> 3 THEN SK_Cliente ELSE 1 END AS sk,
+                   CASE WHEN registro_ativo = 0 AND ClienteID % 4 = 0 THEN data_fim + 30
+                        WHEN registro_ativo = 0 AND ClienteID % 4 = 1 THEN data_fim - 30
+                        WHEN registro_ativo <> 0 AND ClienteID % 10 = 7 THEN data_inicio ELSE data_fim END AS data_fim,
+                   CASE WHEN registro_ativo = 0 AND ClienteID % 4 = 2 THEN 1 ELSE registro_ativo END AS ativo
+            FROM dim_historica),
+        anteriores AS (
+            SELECT d.linha, max(a.data_fim) FILTER (a.data_inicio < a.data_fim) AS fim, count(*) FILTER (a.ativo = 1) AS ativos
+            FROM com_erros d JOIN com_erros a ON a.ClienteID = d.ClienteID AND a.data_inicio < d.data_inicio
+            GROUP BY d.linha),
+        contas AS (
+            SELECT count(*) FILTER (data_inicio < data_fim AND data_inicio < a.fim) AS sobreposicao,
+                   count(*) FILTER (data_inicio < data_fim AND data_inicio > a.fim) AS lacuna,
+                   count(*) FILTER (ativo = 1 AND a.ativos > 0) AS dois_ativos,
+                   count(*) FILTER (data_inicio >= data_fim) AS intervalo_vazio,
+                   count(*) FILTER ((ativo = 1) <> (data_fim = DATE '9999-12-31')) AS fim_sem_sucessor,
+                   count(*) FILTER (sk IN (SELECT sk FROM com_erros GROUP BY sk HAVING count(*) > 1)) AS sk_repetida,
+                   count(*) FILTER (ClienteID IS NULL) AS sem_chave
+            FROM com_erros d LEFT JOIN anteriores a USING (linha))
+        SELECT 'clientes' AS tabela, regra, linhas FROM (UNPIVOT contas ON COLUMNS(*) INTO NAME regra VALUE linhas)""",
+    "gold_inferred_members": """
+        , usados AS (
+            SELECT DISTINCT ClienteID FROM vendas
+            WHERE ClienteID IS NOT NULL AND ClienteID NOT IN (SELECT ClienteID FROM primeiros)),
+        todos AS (
+            SELECT ClienteID, SK_Cliente FROM dim_clientes
+            UNION ALL
+            SELECT ClienteID, (SELECT max(SK_Cliente) FROM dim_clientes) + row_number() OVER (ORDER BY ClienteID) FROM usados)
+        SELECT VendasID, SK_Cliente, v.ClienteID, Nome, '1996-01-01' AS data_inicio
+        FROM vendas v LEFT JOIN todos USING (ClienteID) LEFT JOIN clientes_nome c ON v.ClienteID = c.ClienteID""",
     "fact_sk_point_in_time": f"""
         SELECT VendasID, {_AMOUNTS}, {_DAY}, SK_Cliente, SK_Vendedor, SK_Produto
         FROM vendas v

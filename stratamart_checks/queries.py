@@ -25,8 +25,10 @@ from stratamart.model import (
     UNREADABLE,
     Lake,
 )
+from stratamart.operators.asof import price_as_of_time
 from stratamart.operators.audit import load_audit
 from stratamart.operators.dimensions import first_load, merge_changes
+from stratamart.operators.history_check import history_faults
 from stratamart.operators.keys import extend_keys, number_rows
 from stratamart.operators.lookup import current_versions, swap_keys, swap_keys_at_date
 from stratamart.operators.pricing import conform_sales, price_as_of, price_by_product, with_calendar, with_totals
@@ -415,6 +417,51 @@ def price_asof_join(t: Tables) -> DataFrame:
     return price_as_of(t.sales(), t.price_history())
 
 
+@query("price_asof_time")
+def price_asof_time(t: Tables) -> DataFrame:
+    """Sales and prices with a time of day; two prices on each day on which one is registered."""
+    moment = "timestampadd(SECOND, {} % 86400, CAST({} AS timestamp_ntz))"
+    sales = t.sales().withColumn("DataHora", F.expr(moment.format("VendasID * 7919", "DataVenda")))
+    twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("_again")
+    prices = t.price_history().select("ProdutoID", "Preco", "DataCadastro", twice).select(
+        "ProdutoID",
+        (F.col("Preco") + F.col("_again")).cast("decimal(12,2)").alias("Preco"),
+        F.expr(moment.format("(ProdutoID * 613 + _again * 30011)", "DataCadastro")).alias("DataCadastro"),
+    )
+    return price_as_of_time(sales, prices, "DataHora").drop("DataVenda")
+
+
+@query("history_check")
+def history_check(t: Tables) -> DataFrame:
+    """The merged customers with planted faults: ends moved both ways, versions opened again, keys lost."""
+    key, ended = F.col("ClienteID"), F.col("registro_ativo") == 0
+    moved = F.when(ended & (key % 4 == 0), F.date_add("data_fim", 30)).when(ended & (key % 4 == 1), F.date_sub("data_fim", 30))
+    moved = moved.when(~ended & (key % 10 == 7), F.col("data_inicio")).otherwise(F.col("data_fim"))
+    active = F.when(ended & (key % 4 == 2), 1).otherwise(F.col("registro_ativo"))
+    faulty = _merged_customers(t).withColumns({"data_fim": moved, "registro_ativo": active})
+    faulty = faulty.withColumn("SK_Cliente", F.when(key % 25 != 3, F.col("SK_Cliente")).otherwise(1))
+    return history_faults(faulty, DIMENSIONS[CUSTOMERS])
+
+
+@query("gold_inferred_members")
+def gold_inferred_members(t: Tables) -> DataFrame:
+    """Sales of customers whose rows come later have a key from the start, and keep it when they have come."""
+    lake, spec = new_lake(t), DIMENSIONS[CUSTOMERS]
+    sources = dimension_sources(t)
+    overwrite(_dimension_of_early_customers(t), lake.table("gold", CUSTOMERS))
+    for other in (DIMENSIONS[SELLERS], DIMENSIONS[PRODUCTS]):
+        overwrite(first_load(sources[other.table], other, FIRST_LOAD), lake.table("gold", other.table))
+    overwrite_partitioned(conform_sales(t.sales(), t.products()), lake.table("silver", SALES), SALES_PARTITIONS)
+    gold.infer_members(t.spark, lake, load_date=FIRST_LOAD)
+    gold.build_sales(t.spark, lake)
+    overwrite(merge_names(t.customers(), "ClienteID"), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(t.spark, lake, spec, SECOND_LOAD)
+    gold.refresh_sales(t.spark, lake)
+    fact = scan_table(t.spark, lake.table("gold", SALES))
+    names = scan_table(t.spark, lake.table("gold", CUSTOMERS)).select("SK_Cliente", "ClienteID", "Nome", "data_inicio")
+    return fact.select("VendasID", "SK_Cliente").join(names, "SK_Cliente", "left")
+
+
 @query("fact_sk_point_in_time")
 def fact_sk_point_in_time(t: Tables) -> DataFrame:
     lake = new_lake(t)
