@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from stratamart.model import DECLARED, LANDING_FILES, SALES, UNREADABLE, Lake
 from stratamart.sinks.tables import overwrite
 from stratamart.sources.landing import scan_csv
+from stratamart.sources.merged import scan_merged
+from stratamart.sources.tables import scan_table_if_present
 
 
 def ingest(
@@ -32,9 +34,21 @@ def ingest(
 def ingest_sales_batches(
     spark: SparkSession, lake: Lake, batches: Iterable[str], infer: bool = False, mode: str = "PERMISSIVE"
 ) -> None:
-    """Replace the bronze copy of each batch, a sales file of its own beside the first one."""
+    """Replace the bronze copy of each batch, a sales file of its own beside the first one.
+
+    Types that are taken from the data are those that hold the values of all batches, and of the first file's table
+    if it is there, so that batches that look different are stored alike.
+    """
+    batches = list(batches)
+    if infer and batches:
+        first = scan_table_if_present(spark, lake.table("bronze", SALES), lake.fmt)
+        known = None if first is None else first.drop(UNREADABLE).schema
+        files, _ = scan_merged(spark, [lake.landing_file(b) for b in batches], known)
+        for batch, rows in zip(batches, files, strict=True):
+            overwrite(rows, lake.table("bronze", batch), lake.fmt)
+        return
     for batch in batches:
-        _copy(spark, lake, batch, None if infer else DECLARED[SALES], False, mode)
+        _copy(spark, lake, batch, DECLARED[SALES], False, mode)
 
 
 def _copy(spark: SparkSession, lake: Lake, table: str, declared: T.StructType | None, infer_rest: bool, mode: str) -> None:

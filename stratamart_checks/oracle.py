@@ -275,6 +275,29 @@ _SELECTS = {
                    CAST(DataCadastro AS TIMESTAMP) + to_seconds((ProdutoID * 613 + vez * 30011) % 86400) AS desde
             FROM (SELECT *, unnest([0, 1]) AS vez FROM precos)) p
           ON v.ProdutoID = p.produto AND v.DataHora >= p.desde""",
+    "csv_merged_types": f"""
+        SELECT VendasID, CAST(CAST(Quantidade AS INTEGER) AS DOUBLE) AS Quantidade,
+               CAST(CAST(DataVenda AS TIMESTAMP) AS VARCHAR) AS DataVenda, CAST(ProdutoID AS VARCHAR) AS Codigo, {_MONTH} FROM vendas_1
+        UNION ALL
+        SELECT VendasID, CAST(Quantidade AS DOUBLE) + 0.25, CAST(CAST(DataVenda AS TIMESTAMP) AS VARCHAR),
+               CAST(ProdutoID + 1099511627776 AS VARCHAR), {_MONTH} FROM vendas_2
+        UNION ALL
+        SELECT VendasID, CAST(CAST(Quantidade AS INTEGER) AS DOUBLE), CAST(CAST(DataVenda AS TIMESTAMP) AS VARCHAR),
+               NumeroTransacao, {_MONTH} FROM vendas_3""",
+    "layer_differences": """
+        , guardadas AS (
+            SELECT * REPLACE (CASE WHEN VendasID % 97 = 5 THEN Quantidade + 1 ELSE Quantidade END AS Quantidade,
+                              CASE WHEN VendasID % 89 <> 7 THEN Desconto END AS Desconto)
+            FROM vendas WHERE VendasID % 101 <> 3),
+        camada AS (
+            SELECT * FROM guardadas UNION ALL SELECT * FROM guardadas WHERE VendasID % 103 = 11
+            UNION ALL SELECT * REPLACE (-VendasID AS VendasID) FROM guardadas WHERE VendasID % 107 = 13),
+        a AS (SELECT VendasID, count(*) AS n, list(v ORDER BY v) AS linhas FROM vendas v GROUP BY VendasID),
+        b AS (SELECT VendasID, count(*) AS n, list(c ORDER BY c) AS linhas FROM camada c GROUP BY VendasID)
+        SELECT coalesce(a.VendasID, b.VendasID) AS VendasID,
+               CASE WHEN b.n IS NULL THEN 'falta' WHEN a.n IS NULL THEN 'sobra' ELSE 'difere' END AS regra,
+               coalesce(a.n, 0) AS esquerda, coalesce(b.n, 0) AS direita
+        FROM a FULL JOIN b ON a.VendasID = b.VendasID WHERE a.linhas::VARCHAR IS DISTINCT FROM b.linhas::VARCHAR""",
     "history_check": """
         , com_erros AS (
             SELECT ClienteID, data_inicio, row_number() OVER () AS linha,

@@ -33,6 +33,7 @@ from stratamart.operators.keys import extend_keys, number_rows
 from stratamart.operators.lookup import current_versions, swap_keys, swap_keys_at_date
 from stratamart.operators.pricing import conform_sales, price_as_of, price_by_product, with_calendar, with_totals
 from stratamart.operators.quality import quality_report
+from stratamart.operators.reconcile import differences
 from stratamart.operators.shaping import merge_names, move_after, stack
 from stratamart.operators.watermark import high_watermark, newer_than, read_watermark
 from stratamart.plans import bronze, gold, incremental, silver
@@ -40,6 +41,7 @@ from stratamart.plans.report import sales_by_month as monthly
 from stratamart.sinks.staged import stage, staging_of
 from stratamart.sinks.tables import append_partitioned, overwrite, overwrite_partitioned
 from stratamart.sources.landing import scan_csv
+from stratamart.sources.merged import scan_merged
 from stratamart.sources.tables import scan_partition, scan_table, scan_table_if_present
 from stratamart.workspace import new_folder
 
@@ -131,6 +133,28 @@ def partition_scan(t: Tables) -> DataFrame:
     return scan_partition(t.spark, path, Ano=1998, Mes=1)
 
 
+@query("csv_merged_types")
+def csv_merged_types(t: Tables) -> DataFrame:
+    """Three batches that look different: whole numbers then fractions, days then moments, numbers then text."""
+    lake = new_lake(t)
+    moment = F.date_format(F.col("DataVenda").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    shown = {
+        "vendas_1": (F.col("Quantidade").cast("int"), F.col("DataVenda").cast("string"), F.col("ProdutoID")),
+        "vendas_2": (F.col("Quantidade") + F.lit("0.25").cast("decimal(3,2)"), moment, F.col("ProdutoID") + (1 << 40)),
+        "vendas_3": (F.col("Quantidade").cast("int"), moment, F.col("NumeroTransacao")),
+    }
+    for batch, (quantity, sold, code) in shown.items():
+        land(
+            t.sales(batch).select("VendasID", quantity.alias("Quantidade"), sold.alias("DataVenda"), code.alias("Codigo")),
+            lake.landing_file(batch),
+        )
+    batches, schema = scan_merged(t.spark, [lake.landing_file(b) for b in shown])
+    path = new_folder(t.spark, SALES)
+    for rows in batches:
+        append_partitioned(with_calendar(rows), path, SALES_PARTITIONS, target=with_calendar(rows).schema)
+    return scan_table(t.spark, path)
+
+
 # --- sinks -------------------------------------------------------------------------------------
 
 
@@ -540,6 +564,20 @@ def dq_summary(t: Tables) -> DataFrame:
     return quality_report(scan_table(t.spark, path), SALES, parents)
 
 
+@query("layer_differences")
+def layer_differences(t: Tables) -> DataFrame:
+    """Sales as they arrived against a layer with rows lost, changed, doubled and made up."""
+    arrived, sale = t.sales(), F.col("VendasID")
+    kept = arrived.filter(sale % 101 != 3).withColumn(
+        "Quantidade", F.when(sale % 97 == 5, F.col("Quantidade") + 1).otherwise(F.col("Quantidade")).cast("decimal(12,2)")
+    )
+    kept = kept.withColumn("Desconto", F.when(sale % 89 != 7, F.col("Desconto")))
+    doubled, made_up = kept.filter(sale % 103 == 11), kept.filter(sale % 107 == 13).withColumn("VendasID", -sale)
+    stored = new_folder(t.spark, SALES)
+    overwrite(stack(kept, doubled, made_up), stored)
+    return differences(arrived, scan_table(t.spark, stored), "VendasID")
+
+
 @query("load_audit")
 def load_audit_of_batches(t: Tables) -> DataFrame:
     mark = read_watermark(t.sales("vendas_1"))

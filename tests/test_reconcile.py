@@ -1,0 +1,50 @@
+"""Naming the rows in which two layers differ."""
+
+import pytest
+
+from stratamart.operators import reconcile
+from stratamart.operators.reconcile import differences, differing_leaves, leaf_digests
+
+SCHEMA = "k bigint, v string, w int"
+
+
+def found(spark, left, right):
+    a, b = (spark.createDataFrame(rows, SCHEMA).repartition(3) for rows in (left, right))
+    return {(r.k, r.regra, r.esquerda, r.direita) for r in differences(a, b, "k").collect()}
+
+
+ROWS = [(i, f"v{i}", i % 7 or None) for i in range(5000)]
+
+
+@pytest.fixture(autouse=True)
+def small_leaves(monkeypatch):
+    monkeypatch.setattr(reconcile, "LEAF_ROWS", 8)
+
+
+def test_planted_differences_are_named(spark):
+    # A third of the right layer's rows are of one key.
+    right = [(k, v, w) for k, v, w in ROWS if k != 17] + [(9999, "new", 1)] + [(23, "v23", 23 % 7)] * 2500
+    right = [(k, "other" if k == 42 else v, None if k == 43 else w) for k, v, w in right]
+    assert found(spark, ROWS, right) == {
+        (17, "falta", 1, 0), (9999, "sobra", 0, 1), (23, "difere", 1, 2501), (42, "difere", 1, 1), (43, "difere", 1, 1)
+    }
+
+
+def test_equal_layers_in_any_order_and_null_keys(spark):
+    assert found(spark, ROWS, ROWS[::-1]) == set()
+    assert found(spark, [(None, "a", 1), (None, "b", 2)], [(None, "b", 2), (None, "a", 1)]) == set()
+    assert found(spark, [(None, "a", 1)], [(None, "a", 1), (None, "a", 1)]) == {(None, "difere", 1, 2)}
+    # Values that a plain hash of the row would take for one another.
+    assert found(spark, [(1, None, 5)], [(1, "5", None)]) == {(1, "difere", 1, 1)}
+
+
+def test_empty_layers(spark):
+    assert found(spark, [], []) == set()
+    assert found(spark, ROWS[:2], []) == {(0, "falta", 1, 0), (1, "falta", 1, 0)}
+
+
+def test_only_differing_leaves_are_descended_to(spark):
+    changed = [(k, "x" if k == 77 else v, w) for k, v, w in ROWS]
+    digests = [leaf_digests(spark.createDataFrame(rows, SCHEMA), "k", ["k", "v", "w"], 512) for rows in (ROWS, changed)]
+    assert len(differing_leaves(*digests, 512)) == 1
+    assert differing_leaves(digests[0], digests[0], 512) == []
