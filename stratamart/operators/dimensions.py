@@ -27,10 +27,17 @@ def first_load(df: DataFrame, spec: Dimension, load_date: date | str | None = No
 
 
 def merge_changes(
-    dimension: DataFrame, source: DataFrame, spec: Dimension, load_date: date | str | None = None
+    dimension: DataFrame,
+    source: DataFrame,
+    spec: Dimension,
+    load_date: date | str | None = None,
+    last_sk: int | None = None,
 ) -> DataFrame:
     """The dimension after a load of ``source``, its full current extract.
 
+    Only active versions are needed: without the ended ones the result is the active versions and those that
+    the load ends. ``last_sk`` is then the highest surrogate key given out, which an ended version may have.
+
     * Unchanged keys, and keys the extract no longer has, keep their active version.
     * A changed key's active version ends on the load date, exclusive, and a new version with a
       new surrogate key starts on it. If the active version started on the load date its
@@ -79,7 +86,7 @@ def merge_changes(
     opened = pairs.filter(~held | F.col("_ended")).select(
         spec.key, *(F.col(f"_new.{c}").alias(c) for c in tracked)
     )
-    numbered = number_rows(opened, spec.key, spec.sk, after=highest(dimension, spec.sk))
+    numbered = number_rows(opened, spec.key, spec.sk, after=highest(dimension, spec.sk) if last_sk is None else last_sk)
     fresh = with_history_columns(numbered, load_date)
     closed = dimension.filter(~F.coalesce(is_active, F.lit(False)))
     return closed.unionByName(kept).unionByName(fresh).select(*dimension.columns)

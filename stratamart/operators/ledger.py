@@ -16,9 +16,10 @@ from stratamart.operators.validity import lookup_valid
 IMAGE = ("dimensao", "chave", "sk", "_from", "_to")
 
 
-def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Names and lengths of a table's data files, listed by Spark; their content is not read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths))
+def _files(spark: SparkSession, paths: Sequence[str], by_folder: bool = False) -> DataFrame:
+    """Names and lengths of the data files of tables, listed by Spark; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    found = files.option("recursiveFileLookup", not by_folder).load(list(paths))
     return found.drop("content", "modificationTime").withColumn("_name", F.element_at(F.split("path", "/"), -1))
 
 
@@ -30,7 +31,7 @@ def _digest() -> Column:
 
 def month_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per stored month of a sales table a digest of the files that hold it."""
-    files = _files(spark, [path])
+    files = _files(spark, [path], by_folder=True)
     if not set(SALES_PARTITIONS) <= set(files.columns):  # no file, so no folder to take them from
         files = files.withColumns({c: F.lit(None) for c in SALES_PARTITIONS})
     kinds = {c: F.col(c).cast("int") for c in SALES_PARTITIONS}

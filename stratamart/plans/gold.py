@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratamart.functions.dates import load_day
 from stratamart.model import (
+    ACTIVE,
     DIMENSIONS,
     FACT_DIMENSIONS,
     MONTH,
@@ -24,6 +25,7 @@ from stratamart.model import (
 from stratamart.operators.dimensions import first_load, merge_changes, require_extract
 from stratamart.operators.history import differing_states, insert_states, last_of_day
 from stratamart.operators.inferred import inferred_members, is_inferred, take_over
+from stratamart.operators.keys import highest
 from stratamart.operators.ledger import (
     LEDGER,
     compare_months,
@@ -34,7 +36,7 @@ from stratamart.operators.ledger import (
 )
 from stratamart.operators.lookup import fitting, swap_keys_at_date
 from stratamart.operators.months import differing_months, in_months
-from stratamart.sinks.staged import finish_loads
+from stratamart.sinks.staged import finish_loads, forget_loads, stage, staging_of
 from stratamart.sinks.tables import (
     overwrite,
     overwrite_partitioned,
@@ -75,8 +77,12 @@ def build_dimension(
     load_date: date | str | None = None,
     restart: bool = False,
     remember: bool = False,
+    apart: bool = False,
 ) -> None:
-    """Start a dimension from its silver table; ``remember`` as for :func:`update_dimension`."""
+    """Start a dimension from its silver table; ``remember`` as for :func:`update_dimension`.
+
+    With ``apart`` active and ended versions are stored apart, and updates write active ones and what they end alone.
+    """
     if not restart:
         _refuse_existing(spark, lake, spec)
     rows = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
@@ -84,7 +90,12 @@ def build_dimension(
     if remember:
         load_date = _fixed_day(spark, load_date)
         _remember(spark, lake, spec, rows, load_date)
-    overwrite(first_load(rows, spec, load_date), lake.table("gold", spec.table), lake.fmt)
+    path = lake.table("gold", spec.table)
+    forget_loads(spark, path)
+    if apart:
+        overwrite_partitioned(first_load(rows, spec, load_date), path, [ACTIVE], lake.fmt)
+    else:
+        overwrite(first_load(rows, spec, load_date), path, lake.fmt)
 
 
 def _refuse_existing(spark: SparkSession, lake: Lake, spec: Dimension) -> None:
@@ -103,13 +114,14 @@ def update_dimension(
     loads were all remembered takes extracts in any order: one dated before the newest version is worked into the
     histories of the keys for which it says something else. Without that it is refused.
 
-    The merged dimension is complete beside the current one before it takes its place.
+    The merged dimension is complete beside the current one before it takes its place. Of a dimension whose active and
+    ended versions are stored apart, ended ones are not read, but for their surrogate keys, and not written again.
     """
     path = lake.table("gold", spec.table)
-    recover(spark, path)
-    dimension = scan_table(spark, path, lake.fmt)
+    dimension = _stored_dimension(spark, lake, spec)
     extract = scan_table(spark, lake.table("silver", spec.table), lake.fmt)
-    if not dimension.filter(is_inferred(dimension, spec)).isEmpty():
+    filled = not dimension.filter(is_inferred(dimension, spec) & F.expr(_IS_ACTIVE)).isEmpty()
+    if filled:
         require_extract(dimension, extract, spec)
         dimension = materialize(take_over(dimension, extract, spec), "taken-over")
     remembered = exists(spark, seen_path(lake, spec))
@@ -118,11 +130,16 @@ def update_dimension(
     if not remembered or not remember:
         if remember:
             raise ValueError(f"{path} has loads that were not remembered")
-        switch(merge_changes(dimension, extract, spec, load_date), path, lake.fmt)
+        if not filled and _apart(spark, path):
+            merged = merge_changes(dimension.filter(_IS_ACTIVE), extract, spec, load_date, highest(dimension, spec.sk))
+            stage(merged, path, [ACTIVE], lake.fmt)
+            finish_loads(spark, path, _ACTIVE_FOLDER)
+        else:
+            _replace(merge_changes(dimension, extract, spec, load_date), path, lake)
         return
     day = _fixed_day(spark, load_date)
     seen = scan_seen(spark, lake, spec)
-    newest = max(r[0] for r in seen.select(VALID_FROM).distinct().collect())  # one row per load
+    newest = seen.agg(F.max(VALID_FROM)).first()[0]
     if str(day) >= str(newest):
         merged = merge_changes(dimension, extract, spec, day)
     else:
@@ -130,7 +147,7 @@ def update_dimension(
         merged = insert_states(dimension, differing_states(dimension, extract, spec, day), spec, seen)
     merged = materialize(merged, "merged")
     _remember(spark, lake, spec, extract, day)
-    switch(merged, path, lake.fmt)
+    _replace(merged, path, lake)
 
 
 def apply_changes(
@@ -142,8 +159,7 @@ def apply_changes(
     its loads keeps the days of the changes too, so that late ones find their place among them.
     """
     path = lake.table("gold", spec.table)
-    recover(spark, path)
-    dimension = scan_table(spark, path, lake.fmt)
+    dimension = _stored_dimension(spark, lake, spec)
     states = materialize(last_of_day(feed, spec, at, order), "states")
     remembered = exists(spark, seen_path(lake, spec))
     if remembered != remember:
@@ -152,7 +168,7 @@ def apply_changes(
     merged = materialize(insert_states(dimension, states, spec, seen), "merged")
     if remember:
         states.select(spec.key, VALID_FROM).write.mode("append").parquet(f"{seen_path(lake, spec)}/feed")
-    switch(merged, path, lake.fmt)
+    _replace(merged, path, lake)
 
 
 def infer_members(
@@ -164,11 +180,10 @@ def infer_members(
     """
     for spec in specs:
         path = lake.table("gold", spec.table)
-        recover(spark, path)
-        dimension = scan_table(spark, path, lake.fmt)
+        dimension = _stored_dimension(spark, lake, spec)
         members = materialize(inferred_members(dimension, _silver_sales(spark, lake), spec, load_date), "inferred")
         if not members.isEmpty():
-            switch(dimension.unionByName(members), path, lake.fmt)
+            _replace(dimension.unionByName(members), path, lake)
 
 
 def seen_path(lake: Lake, spec: Dimension) -> str:
@@ -331,4 +346,26 @@ def _write_ledger(spark: SparkSession, lake: Lake, made_from: dict[tuple, str] |
 def stored_dimensions(
     spark: SparkSession, lake: Lake, specs: Iterable[Dimension] = FACT_DIMENSIONS
 ) -> list[tuple[Dimension, DataFrame]]:
-    return [(spec, scan_table(spark, lake.table("gold", spec.table), lake.fmt)) for spec in specs]
+    return [(spec, _stored_dimension(spark, lake, spec)) for spec in specs]
+
+
+_IS_ACTIVE = f"{ACTIVE} <=> 1"
+_ACTIVE_FOLDER = (f"{ACTIVE}=1",)
+
+
+def _apart(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/{_ACTIVE_FOLDER[0]}")
+
+
+def _stored_dimension(spark: SparkSession, lake: Lake, spec: Dimension) -> DataFrame:
+    """A gold dimension, after an update of it that broke off is finished."""
+    path = lake.table("gold", spec.table)
+    recover(spark, path)
+    if exists(spark, staging_of(path)):
+        finish_loads(spark, path, _ACTIVE_FOLDER)
+    return scan_table(spark, path, lake.fmt)
+
+
+def _replace(merged: DataFrame, path: str, lake: Lake) -> None:
+    """Put a whole dimension in the place of the stored one, stored as that is."""
+    switch(merged, path, lake.fmt, [ACTIVE] if _apart(merged.sparkSession, path) else [])

@@ -82,8 +82,11 @@ def stage(
     return load
 
 
-def finish_loads(spark: SparkSession, path: str) -> list[str]:
-    """Publish staged loads that are complete, drop those that are not; returns the loads published now."""
+def finish_loads(spark: SparkSession, path: str, replaced: Sequence[str] = ()) -> list[str]:
+    """Publish staged loads that are complete, drop those that are not; returns the loads published now.
+
+    Storage partitions in ``replaced`` take the place of the table's own, instead of adding files to them.
+    """
     staging = staging_of(path)
     if not exists(spark, staging):
         return []
@@ -93,7 +96,7 @@ def finish_loads(spark: SparkSession, path: str) -> list[str]:
         if name.endswith(_WRITING):
             remove(spark, folder)
             continue
-        _publish(spark, folder, path)
+        _publish(spark, folder, path, replaced)
         record = f"{folder}/{_RECORD}"
         if exists(spark, record):
             make_folder(spark, loads_of(path))
@@ -103,10 +106,16 @@ def finish_loads(spark: SparkSession, path: str) -> list[str]:
     return published
 
 
-def _publish(spark: SparkSession, folder: str, path: str) -> None:
-    """Move a load's partitions into the table: whole folders where the table has none, else file by file."""
-    for partition in list(_leaves(spark, folder)):
+def _publish(spark: SparkSession, folder: str, path: str, replaced: Sequence[str]) -> None:
+    """Move a load's partitions into the table: whole folders where the table has none, else file by file.
+
+    A partition that replaces another is still in the load until it has been moved, so a load that broke off in between
+    moves it then. Those come last: what left the replaced partition is in the table before it goes.
+    """
+    for partition in sorted(_leaves(spark, folder), key=lambda p: p in replaced):
         source, target = f"{folder}/{partition}", f"{path}/{partition}"
+        if partition in replaced:
+            remove(spark, target)
         if not exists(spark, target):
             make_folder(spark, target.rsplit("/", 1)[0])
             rename(spark, source, target)

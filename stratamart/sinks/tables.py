@@ -21,8 +21,8 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def switch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a table by rows that may be read from it.
+def switch(df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:
+    """Replace a table, stored by the columns ``by`` if any, by rows that may be read from it.
 
     The new version is complete beside the table before the old one is renamed away and the new one takes its
     place; the old one goes last. A run that dies in between leaves a complete version that
@@ -32,7 +32,7 @@ def switch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     following, previous = _versions(path)
     remove(spark, following)
     remove(spark, previous)
-    df.write.format(fmt).save(following)
+    (gather(df, by).write.partitionBy(*by) if by else df.write).format(fmt).save(following)
     if exists(spark, path):
         rename(spark, path, previous)
     rename(spark, following, path)

@@ -242,6 +242,10 @@ _SELECTS = {
         SELECT ClienteID, Nome, CidadeID, CAST(Saldo AS DOUBLE) AS Saldo, SK_Cliente,
                CAST(data_inicio AS VARCHAR) AS data_inicio, CAST(data_fim AS VARCHAR) AS data_fim, registro_ativo
         FROM dim_historica""",
+    "scd2_stored_apart": """
+        SELECT ClienteID, Nome, CidadeID, CAST(Saldo AS DOUBLE) AS Saldo, SK_Cliente,
+               CAST(data_inicio AS VARCHAR) AS data_inicio, CAST(data_fim AS VARCHAR) AS data_fim, registro_ativo
+        FROM dim_historica""",
     "scd2_backdated": _islands(
         "ClienteID, Nome, CidadeID, Saldo",
         """

@@ -403,6 +403,17 @@ def scd2_merge(t: Tables) -> DataFrame:
     return scan_table(t.spark, lake.table("gold", CUSTOMERS))
 
 
+@query("scd2_stored_apart")
+def scd2_stored_apart(t: Tables) -> DataFrame:
+    """As scd2_merge, of a dimension whose ended versions are stored apart and never written again."""
+    lake, spec = new_lake(t), DIMENSIONS[CUSTOMERS]
+    overwrite(merge_names(_early_customers(t), "ClienteID"), lake.table("silver", CUSTOMERS))
+    gold.build_dimension(t.spark, lake, spec, FIRST_LOAD, apart=True)
+    overwrite(_later_extract(t), lake.table("silver", CUSTOMERS))
+    gold.update_dimension(t.spark, lake, spec, SECOND_LOAD)
+    return scan_table(t.spark, lake.table("gold", CUSTOMERS))
+
+
 def _extract_in_between(t: Tables) -> DataFrame:
     """What the customers looked like between the two other extracts, some of them unknown then."""
     balance = F.col("Saldo")

@@ -1,0 +1,92 @@
+"""Dimensions whose active and ended versions are stored apart."""
+
+import shutil
+from pathlib import Path
+
+import pytest
+
+from stratamart.model import CUSTOMERS, DIMENSIONS, Lake
+from stratamart.plans import gold
+from stratamart.sinks import staged
+from stratamart.sinks.tables import overwrite
+from stratamart.sources.tables import scan_table
+
+SPEC = DIMENSIONS[CUSTOMERS]
+LOADS = [
+    ("2020-01-01", [(k, "a") for k in range(1, 40)]),
+    ("2020-02-01", [(k, "b" if k % 3 == 0 else "a") for k in range(1, 40)]),
+    ("2020-03-01", [(k, "c" if k == 3 else "b" if k % 3 == 0 else "a") for k in range(1, 42)]),
+]
+
+
+class Broken(Exception):
+    pass
+
+
+def extract(spark, lake, rows):
+    overwrite(spark.createDataFrame(rows, "ClienteID bigint, Nome string"), lake.table("silver", CUSTOMERS))
+
+
+def loaded(spark, root, loads, apart):
+    lake = Lake.under(str(root))
+    for k, (date, rows) in enumerate(loads):
+        extract(spark, lake, rows)
+        if k:
+            gold.update_dimension(spark, lake, SPEC, date)
+        else:
+            gold.build_dimension(spark, lake, SPEC, date, apart=apart)
+    return lake
+
+
+def rows_of(spark, lake):
+    return sorted(tuple(map(str, r)) for r in scan_table(spark, lake.table("gold", CUSTOMERS)).collect())
+
+
+def ended_files(lake):
+    return {f.name: f.stat().st_mtime_ns for f in Path(lake.table("gold", CUSTOMERS)).glob("registro_ativo=0/*.parquet")}
+
+
+def test_same_rows_as_in_one_piece_and_ended_ones_stay(spark, tmp_path):
+    apart = loaded(spark, tmp_path / "apart", LOADS[:2], True)
+    before = ended_files(apart)
+    extract(spark, apart, LOADS[2][1])
+    gold.update_dimension(spark, apart, SPEC, LOADS[2][0])
+    assert before and before.items() <= ended_files(apart).items()
+    assert rows_of(spark, apart) == rows_of(spark, loaded(spark, tmp_path / "whole", LOADS, False))
+
+
+def test_every_step_can_break(spark, tmp_path, monkeypatch):
+    expected = rows_of(spark, loaded(spark, tmp_path / "whole", LOADS[:2], False))
+    start = loaded(spark, tmp_path / "start", LOADS[:1], True)
+    extract(spark, start, LOADS[1][1])
+    broke = 0
+    for step in range(20):
+        shutil.copytree(tmp_path / "start", tmp_path / f"run{step}")
+        lake = Lake.under(str(tmp_path / f"run{step}"))
+        calls = [0]
+        with monkeypatch.context() as patch:
+            for name in ("rename", "remove", "make_folder", "write_text"):
+                def call(*args, real=getattr(staged, name)):
+                    calls[0] += 1
+                    if calls[0] > step:
+                        raise Broken
+                    return real(*args)
+                patch.setattr(staged, name, call)
+            try:
+                gold.update_dimension(spark, lake, SPEC, LOADS[1][0])
+                whole = True
+            except Broken:
+                broke, whole = broke + 1, False
+        gold.update_dimension(spark, lake, SPEC, LOADS[1][0])
+        assert rows_of(spark, lake) == expected, step
+        if whole:
+            break
+    assert whole and broke > 4
+
+
+def test_other_updates_keep_the_layout(spark, tmp_path):
+    lake = loaded(spark, tmp_path / "lake", LOADS[:2], True)
+    feed = spark.createDataFrame([(1, "z", "2020-05-01", 1)], "ClienteID bigint, Nome string, quando string, seq int")
+    gold.apply_changes(spark, lake, SPEC, feed, "quando", "seq")
+    assert gold._apart(spark, lake.table("gold", CUSTOMERS))
+    assert scan_table(spark, lake.table("gold", CUSTOMERS)).filter("ClienteID = 1").count() == 2
