@@ -11,6 +11,7 @@ again. What is sent to every task, the index and word ranks, is bounded by the t
 
 from __future__ import annotations
 
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -95,7 +96,9 @@ _VOCABULARY = sorted({w for _, _, text in TEMPLATES for w in text.split()})
 
 
 def license_words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
+    # Of letters beyond A-Z the case stays: words are compared as they are written.
+    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
 def _places(words: Column) -> Column:
@@ -224,7 +227,7 @@ def _notices(texts: DataFrame, profile: DataFrame, ranked: list[str], n_rare: in
 def licenses(docs: DataFrame) -> DataFrame:
     """Per row of docs: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Words are those of the text in lower case. ``n_base`` counts the places of all phrases; first_word and
+    Words are those of the text with A-Z in lower case. ``n_base`` counts the places of all phrases; first_word and
     last_word are their smallest and largest word, null without any. ``labels`` adds those of notices
     found through rare words. ``score`` is the best share of a notice's rare words, at least 0.5 where a
     phrase was found, else 0. Null and empty texts have no words and no labels. Repeated rows give equal rows

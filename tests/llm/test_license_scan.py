@@ -134,3 +134,10 @@ def test_edge_cases(spark):
 def test_only_built_in_functions(spark):
     plan = licenses(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_letters_beyond_a_to_z_keep_their_case(spark):
+    # The Kelvin sign is no K, and a dotted capital I is two code points in lower case.
+    rows = [(1, "MIT LİCENSE mit license"), (2, "K MIT LICENSE")]
+    found = {r.doc_id: (r.n_words, r.n_base, r.first_word) for r in licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: (4, 1, 2), 2: (3, 1, 1)}
