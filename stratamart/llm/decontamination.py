@@ -2,10 +2,11 @@
 
 Words are canonicalised: a word with a digit becomes the placeholder for numbers, a capitalised word
 inside a sentence that for names, a unit of measure that for units; the value goes to a slot. Windows
-of canonical words are hashed on both sides and joined on the hash. Matched windows of a document and
+of canonical words are hashed on both sides and joined on the hash, together with windows of the words as
+written in lower case, which find copies whatever their letter case and however few plain words they have. Matched windows of a document and
 an item are grouped by alignment (difference of positions), and of an alignment only those windows count whose
 slots are consistent: an item's value always stands for the same value in the document, that of most windows. A document holds
-an item if consistent alignments cover enough of the item's windows.
+an item if the windows that count cover enough of it.
 
 Before the join, documents' windows pass a bitmap of the benchmark's hashes whose size is fixed, so
 what reaches the shuffle is about what matches, whatever the size of either side.
@@ -14,6 +15,7 @@ what reaches the shuffle is about what matches, whatever the size of either side
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,10 @@ from stratamart.llm.columns import bind
 from stratamart.llm.textblocks import LOWER, RangeHash, Words, text_blocks, windows, word_ranges
 
 WINDOW = 5
+# Plain words that a window of a template has at least; any window counts as written.
 LITERALS = 3
 SIMILARITY = 0.8
-# So many windows found are a passage of the item, however long the item is.
+# So many words in a row as written, or windows of templates, are a passage of the item, however long the item is.
 PASSAGE = 13
 FILTER_BITS = 24
 
@@ -49,7 +52,8 @@ _ENDS_SENTENCE = np.zeros(256, bool)
 _ENDS_SENTENCE[[ord(c) for c in ".!?:;\n"]] = True
 _NUMBER, _NAME, _UNIT = (np.uint64(k) for k in (11, 12, 13))
 
-_FOUND = "id long, hash long, position int, slots array<long>"
+# A window as written has no slots; usable: it has the plain words that a template needs.
+_FOUND = "hash long, position int, usable boolean, slots array<long>"
 
 
 def _unit_hashes() -> np.ndarray:
@@ -96,14 +100,20 @@ def _found(id_column: str, bitmap: np.ndarray | None, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches):
             w, is_slot, written = canonical(data, offsets)
-            at, hashes = windows(w, window)
+            at, templates = windows(w, window)
+            _, hashes = windows(replace(w, hashes=written), window)
             slots_before = _before(is_slot)
-            ok = window - (slots_before[at + window] - slots_before[at]) >= LITERALS
+            lengths = slots_before[at + window] - slots_before[at]
+            usable = window - lengths >= LITERALS
+            # A template without slots is the window as written.
+            also = np.flatnonzero(usable & (lengths > 0))
+            lengths = np.concatenate((np.zeros_like(lengths), lengths[also]))
+            usable = np.concatenate((usable, usable[also]))
+            at, hashes = np.concatenate((at, at[also])), np.concatenate((hashes, templates[also]))
             if bitmap is not None:
                 place = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                ok &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            at, hashes = at[ok], hashes[ok]
-            lengths = slots_before[at + window] - slots_before[at]
+                passes = (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                at, hashes, lengths, usable = at[passes], hashes[passes], lengths[passes], usable[passes]
             values = written.view(np.int64)
             # Few windows get here: those of the benchmark, or those the bitmap passes.
             slots = [values[a : a + window][is_slot[a : a + window]] if n else [] for a, n in zip(at, lengths, strict=True)]
@@ -113,14 +123,20 @@ def _found(id_column: str, bitmap: np.ndarray | None, window: int):
                     rows.column(id_column).take(pa.array(doc)),
                     pa.array(hashes.view(np.int64)),
                     pa.array((at - w.first[doc]).astype(np.int32)),
+                    pa.array(usable),
                     pa.array(slots, pa.list_(pa.int64())),
                 ],
-                ["id", "hash", "position", "slots"],
+                ["id", "hash", "position", "usable", "slots"],
             )
 
     return run
 
 
+def _windows(rows: DataFrame, id_column: str, bitmap: np.ndarray | None, window: int) -> DataFrame:
+    schema = f"id {rows.schema[id_column].dataType.simpleString()}, {_FOUND}"
+    return rows.where(F.col(id_column).isNotNull()).select(id_column, "text").mapInArrow(_found(id_column, bitmap, window), schema)
+
+
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for batch in batches:
@@ -165,49 +181,67 @@ def contaminated(
 ) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, the item's windows, those found, verbatim.
 
-    A pair is returned where at least ``similarity`` of the item's distinct window positions, or ``passage``
-    of them, are found in alignments, each without the windows that contradict it; ``verbatim`` says whether all slots found hold the item's own values.
-    Windows with fewer than three words outside slots are not used, and items that have no other,
-    such as those shorter than a window, match nothing. Null and empty texts match nothing. Rows with a
+    A pair is returned where one of these holds: at least ``similarity`` of the item's distinct window positions are found,
+    as written or, in an alignment, as a template whose slots do not contradict it; as many of the positions that templates
+    can use, where those are half of all or more; ``passage`` such positions; ``passage`` words as written in one alignment. ``verbatim`` says
+    whether every window found is found as written, letter case aside. A template's windows have three words outside slots
+    at least. Items shorter than a window match nothing. Null and empty texts match nothing. Rows with a
     null id are not reported. Rows that share an id are taken as one document or item. Empty tables
     give no rows; other columns are ignored.
     """
-    items = benchmark.where("item_id is not null").select("item_id", "text").mapInArrow(_found("item_id", None, window), _FOUND)
+    items = _windows(benchmark, "item_id", None, window)
     parts = items.select("hash").coalesce(8).mapInArrow(_bitmaps, "bits binary").collect()
     bitmap = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for part in parts:
         bitmap |= np.frombuffer(part.bits, np.uint8)
-    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_found("doc_id", bitmap, window), _FOUND)
+    found = _windows(docs, "doc_id", bitmap, window)
 
-    sizes = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("position").alias("item_windows"))
-    theirs = items.select("hash", F.col("id").alias("item_id"), F.col("position").alias("place"), F.col("slots").alias("own"))
+    sizes = items.groupBy(F.col("id").alias("item_id")).agg(
+        F.countDistinct("position").alias("item_windows"),
+        F.countDistinct(F.when(F.col("usable"), F.col("position"))).alias("template_windows"),
+    )
+    theirs = items.select(
+        "hash", F.col("id").alias("item_id"), F.col("position").alias("place"), "usable", F.col("slots").alias("own")
+    )
     pairs = F.zip_with("own", "slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    hit = F.struct("place", "usable", (F.size("own") == 0).alias("written"), pairs.alias("pairs"))
     aligned = (
-        found.join(theirs, "hash")
+        found.drop("usable")
+        .join(theirs, "hash")
         .groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("position") - F.col("place")).alias("shift"))
-        .agg(F.collect_set(F.struct(F.col("place"), pairs.alias("pairs"))).alias("hits"))
-        .select(
-            "doc_id",
-            "item_id",
-            bind(
-                _consistent(F.col("hits")), lambda h: F.struct(h["place"].alias("places"), F.flatten(h["pairs"]).alias("pairs"))
-            ).alias("kept"),
-        )
-        .select("doc_id", "item_id", "kept.places", "kept.pairs")
+        .agg(F.collect_set(hit).alias("hits"))
+        .select("doc_id", "item_id", _consistent(F.col("hits")).alias("kept"))
     )
+    as_written = F.filter("kept", lambda h: h["written"])["place"]
+    in_templates = F.filter("kept", lambda h: h["usable"])["place"]
+
+    def places(of: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(of))))
+
     held = aligned.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found_windows"),
-        F.min(F.forall("pairs", lambda p: p["item"] == p["doc"])).alias("verbatim"),
+        places(F.col("kept.place")).alias("found_windows"),
+        places(in_templates).alias("found_templates"),
+        places(as_written).alias("found_written"),
+        F.max(F.size(as_written)).alias("longest"),
     )
+    most_of_item = F.col("found_windows") >= similarity * F.col("item_windows")
+    most_of_template = (2 * F.col("template_windows") >= F.col("item_windows")) & (
+        F.col("found_templates") >= similarity * F.col("template_windows")
+    )
+    long_passage = (F.col("found_templates") >= passage) | (F.col("longest") >= passage - window + 1)
     return (
         held.join(sizes, "item_id")
-        .where((F.col("found_windows") >= similarity * F.col("item_windows")) | (F.col("found_windows") >= passage))
-        .select("doc_id", "item_id", "item_windows", "found_windows", "verbatim")
+        .where(most_of_item | most_of_template | long_passage)
+        .select("doc_id", "item_id", "item_windows", "found_windows", (F.col("found_written") == F.col("found_windows")).alias("verbatim"))
     )
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    return docs.join(contaminated(docs, benchmark, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(
-        *docs.columns
-    )
+    """The rows of ``docs`` whose texts hold no benchmark item, with all their columns, whatever ids they have or lack."""
+    key = "text_digest"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    held = contaminated(texts, benchmark, **options).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(held, key, "left_anti").select(*docs.columns)
