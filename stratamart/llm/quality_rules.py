@@ -145,8 +145,8 @@ def distance(one: Column, two: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x), F.lit(0.0)))
 
 
-def _word_distances() -> Column:
-    """``judged``: which common words there are; ``most``: the larger of that and how many there are beside any other words.
+def _word_distance() -> Column:
+    """The larger of two distances: which common words there are, and how many there are beside any other words.
 
     The second is in parts of the distance of a text that has none, so that 1 is such a text.
     """
@@ -161,7 +161,7 @@ def _word_distances() -> Column:
         expected = F.col("n_words") * usual >= LEAST_COMMON * F.col("usual_words")
         which = F.when(common >= LEAST_COMMON, distance(F.col("common"), F.col("usual_common")))
         how_many = F.when(expected & (usual > 0), F.least(F.try_divide(distance(one, two), none), F.lit(1.0)))
-        return bind(which, lambda x: F.struct(x.alias("judged"), F.greatest(x, how_many).alias("most")))
+        return F.greatest(which, how_many)
 
     return bind(F.array(total("common"), total("usual_common")), compared)
 
@@ -170,8 +170,8 @@ def judged(docs: DataFrame) -> DataFrame:
     """Counts and verdict per row of docs, which has doc_id, text and lang.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated windows of three.
-    ``kept``: not so, and neither distance above its limit, that of words only where the text has 20 common words;
-    ``word_distance`` is given, up to 1, for long texts with fewer too, and does not reject those. A distance is null, and passes, where the
+    ``kept``: not so, and neither distance above its limit. A long text with few or no common words has a ``word_distance``
+    up to 1, and is rejected. A distance is null, and passes, where the
     text has too few characters or is too short to be expected to have 20 common words, or its language is not listed or
     has no common words in any document. Null and empty
     texts fail. Repeated rows are judged alike and count each in the references; null ids and languages
@@ -182,9 +182,9 @@ def judged(docs: DataFrame) -> DataFrame:
     both = profile.join(F.broadcast(references(profile)), "language", "left")
     both = both.withColumn(
         "character_distance", F.when(F.col("chars") >= LEAST_CHARACTERS, distance(F.col("classes"), F.col("usual_classes")))
-    ).withColumn("words", _word_distances())
+    ).withColumn("word_distance", _word_distance())
     far = (F.coalesce("character_distance", F.lit(0.0)) > MOST_CHARACTER_DISTANCE) | (
-        F.coalesce("words.judged", F.lit(0.0)) > MOST_WORD_DISTANCE
+        F.coalesce("word_distance", F.lit(0.0)) > MOST_WORD_DISTANCE
     )
     return both.select(
         "doc_id",
@@ -196,5 +196,5 @@ def judged(docs: DataFrame) -> DataFrame:
         "base_failed",
         (~F.col("base_failed") & ~far).alias("kept"),
         "character_distance",
-        F.col("words.most").alias("word_distance"),
+        "word_distance",
     )

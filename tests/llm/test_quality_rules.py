@@ -54,13 +54,18 @@ def brute(rows):
     for _, lang, base, words, text in found:
         if not base[-1]:
             a, b = histogram(words, text, lang)
-            have = usual.setdefault(lang, ([0] * 7, [0] * 16))
-            usual[lang] = ([x + y for x, y in zip(have[0], a, strict=True)], b and [x + y for x, y in zip(have[1], b, strict=True)])
+            have = usual.setdefault(lang, ([0] * 7, [0] * 16, 0))
+            classes = [x + y for x, y in zip(have[0], a, strict=True)]
+            usual[lang] = (classes, b and [x + y for x, y in zip(have[1], b, strict=True)], have[2] + len(words))
     out = []
     for doc_id, lang, base, words, text in found:
         a, b = histogram(words, text, lang)
-        ref = usual.get(lang, (None, None))
-        near = (len(text) < 300 or distance(a, ref[0]) <= 0.25) and (not b or sum(b) < 20 or distance(b, ref[1]) <= 0.6)
+        classes, common, n = usual.get(lang, (None, None, 0))
+        near = (len(text) < 300 or distance(a, classes) <= 0.25) and (not b or sum(b) < 20 or distance(b, common) <= 0.6)
+        if b and common and sum(common) and len(words) * sum(common) >= 20 * n:
+            others = [sum(common), n - sum(common)]
+            most = distance([0, 1], others)
+            near = near and (most == 0 or distance([sum(b), len(words) - sum(b)], others) / most <= 0.6)
         out.append((doc_id, *base, not base[-1] and near))
     return sorted(out, key=str)
 
@@ -99,10 +104,13 @@ def test_long_texts_without_common_words(spark):
     rng = random.Random(4)
     prose = lambda lang, n: " ".join(rng.choice([*COMMON[lang], *(f"{chr(97 + k)}ord" for k in range(24))]) for _ in range(n))
     names = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(n))
-    rows = [(k, prose(lang, 200), lang) for k, lang in enumerate(["en", "fr"] * 20)]
+    rows = [(k, prose(lang, 200), lang) for k, lang in enumerate(["en", "fr", "de"] * 14)]
     rows += [(50, names(400), "en"), (51, names(200) + " the of and to in", "en"), (52, prose("fr", 400), "de"), (53, names(60) , "it")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
-    got = {r.doc_id: r.word_distance for r in judged(df).collect()}
+    out = judged(df).collect()
+    got, kept = ({r.doc_id: r[c] for r in out} for c in ("word_distance", "kept"))
+    assert run(spark, rows) == brute(rows)
+    assert not any(kept[k] for k in (50, 51, 52)) and all(kept[k] for k in [*range(40), 53])
     assert got[50] == pytest.approx(1) and got[51] > 0.6
     assert all(got[k] < 0.5 for k in range(40))
     assert got[53] is None
