@@ -2,8 +2,8 @@
 
 Patterns give matches and, from the pieces between them, their places. Besides, long runs of the
 characters keys are made of are candidates. A window slides over each: Shannon entropy is kept up to
-date from the counts of the character that enters and the one that leaves. A candidate is a
-secret where the highest entropy of a window reaches the limit of its character class and no allowed form
+date from the counts of the character that enters and the one that leaves. Known forms and allowed words are cut out of a candidate;
+each piece left that is long enough is a secret where the highest entropy of a window reaches the limit of its character class and no allowed form
 covers it. Built-in functions only, and no shuffle: a row's result comes from that row.
 """
 
@@ -31,14 +31,28 @@ CLASSES = (
     (r"^[0-9A-Za-z]+$", 3.9),
     (r"^[0-9A-Za-z+/=_-]+$", 4.0),
 )
+# With fewer digits more entropy is needed; letters of both cases have to alternate besides, as in keys but not in names
+# of several words: at least so often as every third place.
 LEAST_DIGITS = 2
-# What looks random and is not secret.
+FEW_DIGITS_MIXED = 4.0
+FEW_DIGITS_ONE_CASE = 4.1
+MOST_PLACES_PER_CHANGE = 3
+# What looks random and is not secret, as a whole, and words in it by length.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|placeholder|dummy|changeme|redacted|xxxx|your[_-]",
-    r"(?i)0123456789|abcdefghij|qwertyuiop",
     r"^[0-9+/=_-]+$",
 )
+ALLOWED_WORDS = {
+    11: "placeholder",
+    10: "0123456789|abcdefghij|qwertyuiop",
+    8: "changeme|redacted",
+    7: "example",
+    6: "sample",
+    5: "dummy|your[_-]",
+    4: "xxxx",
+}
+# What joins words and stands at the edge of a piece is not part of it.
+EDGE = r"(?<=\x20)[+/=_-]|[+/=_-](?=\x20)"
 
 CHUNK = 512
 PART = 128
@@ -139,27 +153,63 @@ def _is_secret(s: Column) -> Column:
     for form, bits in reversed(CLASSES):
         limit = F.when(s.rlike(form), bits).otherwise(limit)
     digits = F.char_length(F.regexp_replace(s, "[^0-9]", "")) >= LEAST_DIGITS
+    changes = F.char_length(F.regexp_replace(s, "(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])", " ")) - F.char_length(s)
+    mixed = s.rlike("[a-z]") & s.rlike("[A-Z]")
+    alternating = F.when(MOST_PLACES_PER_CHANGE * changes >= F.char_length(s), FEW_DIGITS_MIXED)
+    needed = F.when(digits, limit).when(mixed, alternating).otherwise(FEW_DIGITS_ONE_CASE)
     allowed = F.lit(False)
     for form in ALLOWED:
         allowed = allowed | s.rlike(form)
-    return F.when(digits & s.rlike("[A-Za-z]") & ~allowed, _highest_entropy(s) >= limit).otherwise(F.lit(False))
+    return F.when(~allowed & needed.isNotNull(), _highest_entropy(s) >= needed).otherwise(F.lit(False))
 
 
-def _located(docs: DataFrame) -> DataFrame:
-    """Columns ``base`` and ``all_spans`` beside those of docs: (start, kind, end) in order of start and kind."""
+def _blanked(s: Column, start: Column, base: Column) -> Column:
+    """A candidate with spaces in place of the base spans and allowed words in it, and of what joined the rest to them."""
+
+    def cut(acc: Column, b: Column) -> Column:
+        first = F.greatest(b["start"] - start, F.lit(0))
+        n = F.least(b["end"] - start, F.char_length(s)) - first
+        return F.overlay(acc, F.repeat(F.lit(" "), n), first + 1, n)
+
+    touching = F.filter(base, lambda b: (b["start"] < start + F.char_length(s)) & (start < b["end"]))
+    out = F.aggregate(touching, s, cut)
+    for length, words in ALLOWED_WORDS.items():
+        out = F.regexp_replace(out, f"(?i){words}", " " * length)
+    return F.regexp_replace(out, EDGE, " ")
+
+
+def _pieces(text: Column) -> Column:
+    """(start, kind, end, piece) of every candidate in a text."""
+    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    return F.zip_with(_spans(text, CANDIDATE, 3), found, lambda x, piece: x.withField("piece", piece))
+
+
+def _located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """docs with columns beside its own, and those of them that hold the base spans and all spans: (start, kind, end) in order of start and kind."""
+    name = "secrets"
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    base, left, all_spans = (f"{name}_{x}" for x in ("base", "left", "all"))
     text = F.coalesce("text", F.lit(""))
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     assign = _spans(text, ASSIGN, 0, F.transform(values, lambda v: F.char_length(v) >= ASSIGN_LEAST))
-    base = F.array_sort(F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
-    random = _spans(
-        text, CANDIDATE, 3, F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), _is_secret)
-    )
 
-    def with_random(b: Column) -> Column:
-        new = F.filter(random, lambda r: ~F.exists(b, lambda x: (x["start"] < r["end"]) & (r["start"] < x["end"])))
-        return F.struct(b.alias("base"), F.array_sort(F.concat(b, new)).alias("all_spans"))
+    def cut(b: Column) -> Column:
+        return F.transform(_pieces(text), lambda c: F.struct(c["start"].alias("at"), _blanked(c["piece"], c["start"], b).alias("left")))
+
+    def judged(c: Column) -> Column:
+        def span(x: Column) -> Column:
+            return F.struct((x["start"] + c["at"]).alias("start"), x["kind"].alias("kind"), (x["end"] + c["at"]).alias("end"))
 
-    return docs.withColumn("_secrets", bind(base, with_random))
+        return F.transform(F.filter(_pieces(c["left"]), lambda x: _is_secret(x["piece"])), span)
+
+    # A column each, as an expression of all steps would be nested too deep to be resolved.
+    found = (
+        docs.withColumn(base, F.array_sort(F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))))
+        .withColumn(left, bind(F.col(base), cut))
+        .withColumn(all_spans, F.array_sort(F.concat(base, F.flatten(F.transform(left, judged)))))
+    )
+    return found, F.col(base), F.col(all_spans)
 
 
 def _shown(spans: Column) -> Column:
@@ -171,25 +221,24 @@ def secrets(docs: DataFrame) -> DataFrame:
     """Per row of docs its secrets: n_assign, n_access, n_hex, base_sha256, spans.
 
     ``spans`` lists kind:start:end, code points, end exclusive, by start and then kind. Kinds are found
-    each for itself, so base spans may overlap; an entropy span that meets a base span is left
-    out. Null and empty texts have none. Whole texts are scanned. Repeated rows give equal rows; null ids
+    each for itself, so base spans may overlap; entropy spans lie outside base spans and are pieces of 20 characters or
+    more between them and allowed words. Null and empty texts have none. Whole texts are scanned. Repeated rows give equal rows; null ids
     are kept; other columns are ignored; an empty table gives no rows.
     """
-    found = _located(docs.select("doc_id", "text"))
-    base = F.col("_secrets.base")
-    kinds = F.col("_secrets.base.kind")
+    found, base, all_spans = _located(docs.select("doc_id", "text"))
+    kinds = base["kind"]
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select(
         "doc_id",
         *counts,
         F.sha2(_shown(base).cast("binary"), 256).alias("base_sha256"),
-        _shown(F.col("_secrets.all_spans")).alias("spans"),
+        _shown(all_spans).alias("spans"),
     )
 
 
 def redacted(docs: DataFrame, mark: str = REDACTED) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``, spans that overlap or touch by one; other columns as they are."""
-    spans = F.col("_secrets.all_spans")
+    found, _, spans = _located(docs)
 
     def step(acc: Column, s: Column) -> Column:
         # Keeps what stands before each run of spans, and where the run ends.
@@ -209,4 +258,4 @@ def redacted(docs: DataFrame, mark: str = REDACTED) -> DataFrame:
         return F.array_join(F.array_append(run["pieces"], tail), mark)
 
     clean = F.when(F.size(spans) > 0, bind(F.aggregate(rest, start, step), joined)).otherwise(F.col("text"))
-    return _located(docs).withColumn("text", clean).select(*docs.columns)
+    return found.withColumn("text", clean).select(*docs.columns)

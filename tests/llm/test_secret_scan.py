@@ -5,7 +5,7 @@ import re
 import string
 from collections import Counter
 
-from stratamart.llm.secret_scan import ALLOWED, CLASSES, redacted, secrets
+from stratamart.llm.secret_scan import ALLOWED, ALLOWED_WORDS, CLASSES, redacted, secrets
 
 SCHEMA = "doc_id long, text string, spans string"
 KEYWORDS = "password passwd secret token apikey api_key".split()
@@ -24,12 +24,30 @@ def entropy(s):
 
 
 def random_looking(s):
-    if sum(c in string.digits for c in s) < 2 or not re.search("[A-Za-z]", s) or any(re.search(p, s) for p in ALLOWED):
+    if any(re.search(p, s) for p in ALLOWED):
         return False
     limit = next(bits for form, bits in CLASSES if re.search(form, s))
+    if sum(c in string.digits for c in s) < 2:
+        limit = 4.1
+        if re.search("[a-z]", s) and re.search("[A-Z]", s):
+            turns = sum(a.isalpha() and b.isalpha() and a.islower() != b.islower() for a, b in zip(s, s[1:], strict=False))
+            limit = 4.0 if 3 * turns >= len(s) else 9
     return entropy(s) >= limit - 1e-12
 
 
+def left_of(s, start, base):
+    """A candidate with spaces for base spans, allowed words and what joins the rest to them."""
+    out = list(s)
+    for a, _, b in base:
+        for k in range(max(a, start), min(b, start + len(s))):
+            out[k - start] = " "
+    out = "".join(out)
+    for words in ALLOWED_WORDS.values():
+        out = re.sub(f"(?i){words}", lambda m: " " * len(m[0]), out, flags=re.ASCII)
+    edge = [c in "+/=_-" and (out[k - 1 : k] == " " or out[k + 1 : k + 2] == " ") for k, c in enumerate(out)]
+    return "".join(" " if e else c for e, c in zip(edge, out, strict=True))
+
+
 def brute(rows):
     out = []
     for doc_id, text in rows:
@@ -39,9 +57,10 @@ def brute(rows):
         base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
         base.sort()
         more = [
-            (m.start(), 3, m.end())
-            for m in re.finditer(r"[A-Za-z0-9+/=_-]+", text)
-            if len(m[0]) >= 20 and random_looking(m[0]) and not any(a < m.end() and m.start() < b for a, _, b in base)
+            (m.start() + x.start(), 3, m.start() + x.end())
+            for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text)
+            for x in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", left_of(m[0], m.start(), base))
+            if random_looking(x[0])
         ]
         show = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'entropy')[k]}:{a}:{b}" for a, k, b in sorted(spans))
         count = [sum(k == n for _, k, _ in base) for n in range(3)]
@@ -115,10 +134,36 @@ def test_edge_cases(spark):
     assert run(spark, []) == []
 
 
+def test_pieces_beside_base_spans_and_allowed_words(spark):
+    key = "wJ7rXUt9nFEMi4K2bPxRfiCYzQ8hLdVs3TgAoNkE"
+    letters = "qWzRtYpLkJhGfDsAmNbVcXeUiOqTaWsEdRfTgYh"
+    low, access = "9f8a7b6c5d4e3f2a1b0c9d8e", "AKIA" + "Q7" * 8
+    rows = [
+        (1, f"{access}/{key}"),
+        (2, f"sample/service/{key} your_{key}"),
+        (3, f"x {letters} y"),
+        (4, f"{low}{low.upper()}"),
+        (5, "ConfigurationManagerFactoryBuilderImplementation donaudampfschifffahrtsgesellschaft a_long_name_of_some_function"),
+        (6, f"{key}_token={key}"),
+        (7, "8d3f0a1e-4c7b-4b1a-9f0e-2d6c5b7a8e9f 2024-12-01_1234567890+0987654"),
+        (8, f"{access}={key}_{low}-{letters}EXAMPLE"),
+    ]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    spans = {r[0]: r[-1] for r in got}
+    assert spans[1] == "access:0:20,entropy:21:61"
+    assert spans[2] == "entropy:7:55,entropy:61:101"
+    assert spans[3] == "entropy:2:41"
+    assert spans[4] == "hex:0:25,entropy:25:48"
+    assert spans[5] == spans[7] == ""
+    assert spans[6].startswith("entropy:0:40,assign:41:")
+    assert spans[8].count("entropy") == 2
+
+
 def test_redaction(spark):
     key = "9f8a7b6c5d4e3f2a1b0c9d8e"
     rows = [(1, f"é token = {key} end {key}"), (2, "nothing"), (3, None), (4, key), (5, f"{key} {key}")]
-    df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA.replace("spans", "secrets_base"))
     out = redacted(df)
     assert out.columns == df.columns
     assert {r.doc_id: r.text for r in out.collect()} == {
