@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.textblocks import PLAIN, Words, mix, text_blocks, word_ranges, words
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 LEAST = 2
 BLOCK_TEXT = 12 << 20
@@ -60,19 +60,18 @@ def _words(block: pa.Table) -> Words:
     return Words(none, none, np.repeat(np.arange(len(lengths)), lengths), all_hashes, np.concatenate(([0], np.cumsum(lengths))))
 
 
-def _grams(w: Words, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order, the words that end an n-gram of it, and its hash cut to what a partition tells apart."""
+def _grams(w: Words, order: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one order after the other, the words that end an n-gram of it, and its hash cut to what a partition tells apart."""
     cut = np.uint64(max(0, 16 - bits))
     place = np.arange(len(w.hashes)) - w.first[w.doc]
-    hashes, out = w.hashes, []
+    hashes = w.hashes
     for n in range(1, order + 1):
         if n > 1:
             longer = np.zeros_like(hashes)
             longer[1:] = mix(hashes[:-1] * _MIX + w.hashes[1:])
             hashes = longer
         at = np.flatnonzero(place >= n - 1)
-        out.append((at, hashes[at] >> cut << cut))
-    return out
+        yield at, hashes[at] >> cut << cut
 
 
 def _counted(order: int, bits: int):
@@ -124,24 +123,21 @@ def _scored(order: int, bits: int, tokens: int, backoff: float, least: int):
         size = len(w.hashes)
         answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
         of = answers.column("n").to_numpy()
-        score = np.zeros(size)
-        open_ = np.ones(size, bool)
-        steps = np.zeros(size, np.int64)
-        counts = [np.full(size, tokens, np.float64)]
+        # The longest n-gram met often enough decides, so a longer one overwrites what a shorter one gave.
+        score, level = np.zeros(size), np.zeros(size, np.int8)
+        shorter = np.full(size, tokens, np.float64)
         for n, (at, hashes) in enumerate(_grams(w, order, bits), 1):
-            totals = [_values(answers.column("totals")[int(k)].as_py(), 6) for k in np.flatnonzero(of == n)]
             here = np.zeros(size)
             if len(at):
+                totals = [_values(answers.column("totals")[int(k)].as_py(), 6) for k in np.flatnonzero(of == n)]
                 _, place = np.unique(hashes, return_inverse=True)
                 here[at] = np.concatenate(totals)[place]
-            counts.append(here)
-        for n in range(order, 0, -1):
-            has = open_ & (np.arange(size) - w.first[w.doc] >= n - 1) if size else open_
-            good = has & (counts[n] >= least) if n > 1 else has
-            before = counts[n - 1] if n == 1 else np.concatenate(([0.0], counts[n - 1]))[:-1]
-            score[good] = np.log(counts[n][good]) - np.log(before[good]) + steps[good] * np.log(backoff)
-            steps[has & ~good] += 1
-            open_ &= ~good
+            good = at[here[at] >= (least if n > 1 else 1)]
+            score[good] = np.log(here[good]) - np.log(shorter[good - 1] if n > 1 else tokens)
+            level[good] = n
+            shorter = here
+        steps = np.minimum(np.arange(size) - w.first[w.doc] + 1, order) - level
+        score += steps * np.log(backoff)
         lengths = np.diff(w.first)
         sums, backs = np.zeros(len(lengths)), np.zeros(len(lengths), np.int64)
         full = np.flatnonzero(lengths)

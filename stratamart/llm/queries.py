@@ -99,17 +99,24 @@ ORACLE_SQL["op1_lm_scoring"] = r"""
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
         FROM documents),
     tokens AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM texts),
-    pairs AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY k) AS p FROM tokens),
+    grams AS (
+        SELECT doc_id, w, lag(w) OVER d AS p, lag(w, 2) OVER d AS q FROM tokens WINDOW d AS (PARTITION BY doc_id ORDER BY k)),
     ones AS (SELECT w, count(*) AS c FROM tokens GROUP BY w),
-    twos AS (SELECT p, w, count(*) AS c FROM pairs WHERE p IS NOT NULL GROUP BY p, w),
+    twos AS (SELECT p, w, count(*) AS c FROM grams WHERE p IS NOT NULL GROUP BY p, w),
+    threes AS (SELECT q, p, w, count(*) AS c FROM grams WHERE q IS NOT NULL GROUP BY q, p, w),
     total AS (SELECT count(*) AS n FROM tokens),
+    counted AS (
+        SELECT doc_id, n, CAST(g.p IS NOT NULL AS INT) + CAST(g.q IS NOT NULL AS INT) AS before,
+               threes.c AS c3, b.c AS below3, twos.c AS c2, a.c AS below2, ones.c AS c1
+        FROM grams g CROSS JOIN total JOIN ones ON ones.w = g.w
+        LEFT JOIN ones a ON a.w = g.p LEFT JOIN twos ON twos.p = g.p AND twos.w = g.w
+        LEFT JOIN twos b ON b.p = g.q AND b.w = g.p LEFT JOIN threes ON threes.q = g.q AND threes.p = g.p AND threes.w = g.w),
     scored AS (
-        SELECT doc_id, twos.c IS NOT NULL AND twos.c < 2 AS back,
-               CASE WHEN twos.c >= 2 THEN ln(twos.c) - ln(o.c) ELSE ln(ones.c) - ln(n) END
-                 + CASE WHEN twos.c < 2 THEN ln(0.4) ELSE 0 END AS s
-        FROM pairs JOIN ones USING (w) CROSS JOIN total
-        LEFT JOIN twos ON twos.p = pairs.p AND twos.w = pairs.w LEFT JOIN ones o ON o.w = pairs.p)
-    SELECT doc_id, len(ws) AS n_tokens, CAST(count(*) FILTER (WHERE back) AS BIGINT) AS n_backoffs,
+        SELECT doc_id, CASE WHEN c3 >= 2 THEN 0 WHEN c2 >= 2 THEN before - 1 ELSE before END AS steps,
+               CASE WHEN c3 >= 2 THEN ln(c3) - ln(below3) WHEN c2 >= 2 THEN ln(c2) - ln(below2) ELSE ln(c1) - ln(n) END
+                 + steps * ln(0.4) AS s
+        FROM counted)
+    SELECT doc_id, len(ws) AS n_tokens, CAST(coalesce(sum(steps), 0) AS BIGINT) AS n_backoffs,
            round(coalesce(sum(s), 0), 6) AS log_score,
            CASE WHEN len(ws) > 0 THEN round(sum(s) / len(ws), 6) END AS mean_log_score
     FROM texts LEFT JOIN scored USING (doc_id) GROUP BY doc_id, ws"""

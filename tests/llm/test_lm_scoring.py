@@ -37,7 +37,7 @@ def brute(rows, order, backoff=0.4, least=2):
     return sorted(out, key=str)
 
 
-def check(spark, rows, order=2, **options):
+def check(spark, rows, order=lm_scoring.ORDER, **options):
     df = spark.createDataFrame([(a, b, "clash") for a, b in rows], SCHEMA)
     columns = ("doc_id", "n_tokens", "n_backoffs", "log_score", "mean_log_score")
     got = sorted((tuple(r[c] for c in columns) for r in backoff_scores(df, order, **options).collect()), key=str)
