@@ -25,6 +25,7 @@ BLOCK_TEXT = 12 << 20
 PARTITION_GRAMS = 1 << 20
 
 _MIX = np.uint64(0x9FB21C651E98DF25)
+_LOW_48 = np.uint64((1 << 48) - 1)
 _SCORES = "doc_id long, n_tokens long, n_backoffs long, log_score double"
 
 
@@ -46,6 +47,15 @@ def _values(planes: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _steps(values: np.ndarray, width: int) -> bytes:
+    """Sorted values as distances from the one before, whose high bytes are mostly zero."""
+    return _planes(np.diff(values, prepend=np.uint64(0)), width)
+
+
+def _sorted_values(steps: bytes, width: int) -> np.ndarray:
+    return np.cumsum(_values(steps, width), dtype=np.uint64)
+
+
 def _words(block: pa.Table) -> Words:
     """Words of a block's texts, found a few megabytes of text at a time."""
     hashes, counts = [], []
@@ -86,7 +96,7 @@ def _counted(order: int, bits: int):
             part = (found >> np.uint64(64 - bits)).astype(np.int64)
             edges = np.concatenate((np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]))
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                rows.append((int(part[a]), n, _planes(found[a:b] >> low, 6), _planes(counts[a:b], 5)))
+                rows.append((int(part[a]), n, _steps(found[a:b] >> low & _LOW_48, 6), _planes(counts[a:b], 5)))
         number = block.column("block")[0].as_py()
         columns = list(zip(*rows, strict=True)) or [()] * 4
         return pa.table(
@@ -108,7 +118,7 @@ _TOTALS = "block long, part long, n int, totals binary"
 
 def _added(group: pa.Table) -> pa.Table:
     """Totals of one partition of one order's table, for each block as it asked."""
-    grams = [_values(x.as_py(), 6) for x in group.column("grams")]
+    grams = [_sorted_values(x.as_py(), 6) for x in group.column("grams")]
     counts = np.concatenate([_values(x.as_py(), 5) for x in group.column("counts")])
     found, place = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(place, weights=counts.astype(np.float64), minlength=len(found)).astype(np.uint64)[place]

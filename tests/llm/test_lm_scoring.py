@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from stratamart.llm import lm_scoring
-from stratamart.llm.lm_scoring import _planes, _values, backoff_scores
+from stratamart.llm.lm_scoring import _planes, _sorted_values, _steps, _values, backoff_scores
 
 SCHEMA = "doc_id long, text string, block string"
 
@@ -68,3 +68,5 @@ def test_edge_cases(spark):
 def test_planes_come_back():
     values = np.array([0, 1, 255, 256, 2**40 + 7], np.uint64)
     assert _values(_planes(values, 6), 6).tolist() == values.tolist()
+    assert _sorted_values(_steps(values, 6), 6).tolist() == values.tolist()
+    assert _sorted_values(_steps(values[:0], 6), 6).tolist() == []
