@@ -77,6 +77,55 @@ TEMPLATES = (
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
         "granted provided that the above copyright notice and this permission notice appear in all copies",
     ),
+    # Without the third clause the disclaimer follows the second.
+    (
+        "bsd-2-clause",
+        "materials provided with the distribution this software is provided by",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the distribution this software is provided by "
+        "the copyright holders and contributors as is and any express or implied warranties",
+    ),
+    (
+        "bsd-3-clause",
+        "neither the name of",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+    ),
+    (
+        "lgpl",
+        "gnu lesser general public license",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+        "public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    ),
+    (
+        "agpl",
+        "gnu affero general public license",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+        "public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    ),
+    (
+        "cc0",
+        "waived all copyright and related or neighboring rights",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+    ),
+    (
+        "unlicense",
+        "free and unencumbered software released into the public domain",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+        "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+        "commercial or non commercial and by any means",
+    ),
+    (
+        "epl",
+        "eclipse public license",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license",
+    ),
+    (
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose",
+        "in no event will the authors be held liable for any damages arising from the use of this software permission is "
+        "granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+    ),
 )
 
 # What does not belong to words of lower-cased text: ASCII other than digits and letters.

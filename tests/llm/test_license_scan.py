@@ -1,5 +1,6 @@
 import math
 import re
+from collections import Counter
 
 from stratamart.llm.license_scan import PHRASES, TEMPLATES, licenses
 
@@ -11,28 +12,40 @@ def words_of(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
+def shares(words, template, looked_up, of):
+    """Most looked-up words that agree on one place of a template, as a share of ``of``."""
+    votes = {}
+    for k, w in enumerate(words):
+        for at, x in enumerate(template):
+            if w == x and w in looked_up:
+                votes.setdefault(("a", (k - at) // 8), set()).add(w)
+                votes.setdefault(("b", (k - at + 4) // 8), set()).add(w)
+    return max((min(1.0, len(v) / of) for v in votes.values()), default=0.0)
+
+
 def notices(rows):
-    """Labels and best share per row, vote by vote."""
+    """Labels and best share per row: each template's own rarest words, those rare in all rows before any others."""
     texts = [words_of(t) for _, t in rows]
     vocabulary = {w for _, _, t in TEMPLATES for w in t.split()}
-    idf = {w: math.log((len(rows) + 1) / (sum(w in t for t in texts) + 1)) for w in vocabulary if any(w in t for t in texts)}
-    rare = sorted((w for w, v in idf.items() if v >= 1.5), key=lambda w: (-idf[w], w))
+    held = Counter(w for t in texts for w in vocabulary & set(t))
+    idf = {w: math.log((len(rows) + 1) / (n + 1)) for w, n in held.items()}
+    ranked = sorted(idf, key=lambda w: (-idf[w], w))
+    rare = [w for w in ranked if idf[w] >= 1.5]
     out = []
     for words in texts:
-        top = [w for w in rare if w in words][:12]
         labels, best = set(), 0.0
-        for label, phrase, template in TEMPLATES if len(top) > 1 else ():
-            parts = template.split()
-            size = min(12, len(set(parts) & set(rare)))
-            if f" {phrase} " not in f" {' '.join(words)} ":
+        mine = set(words)
+        line = f" {' '.join(words)} "
+        for label, phrase, template in TEMPLATES:
+            if f" {phrase} " not in line:
                 continue
-            votes = {}
-            for k, w in enumerate(words):
-                for at, x in enumerate(parts):
-                    if w == x and w in top:
-                        votes.setdefault(("a", (k - at) // 8), set()).add(w)
-                        votes.setdefault(("b", (k - at + 4) // 8), set()).add(w)
-            share = max((min(1.0, len(v) / size) for v in votes.values()), default=0)
+            parts = template.split()
+            share = 0.0
+            mine_rare = [w for w in rare if w in mine]
+            for ranks, have in ((rare, mine_rare if len(mine_rare) > 1 else []), (ranked, [w for w in ranked if w in mine])):
+                size = min(12, len(set(parts) & set(ranks)))
+                if share < 0.6 and size:
+                    share = shares(words, parts, [w for w in have if w in parts][:12], size)
             if share >= 0.6:
                 labels.add(label)
                 best = max(best, share)
@@ -93,7 +106,9 @@ def test_several_notices_in_one_text(spark):
     mit, apache, gpl, bsd = (TEMPLATES[k][2] for k in (1, 3, 5, 6))
     texts = {1: (mit, bsd), 2: (mit, apache), 3: (gpl, bsd), 4: (mit, apache, bsd, gpl), 5: (mit,)}
     rows = [*FILLER, *((k, "\n\n".join(parts)) for k, parts in texts.items())]
-    found = {r[0]: r[6:] for r in run(spark, rows)}
+    got = run(spark, rows)
+    assert got == brute(rows)
+    found = {r[0]: r[6:] for r in got}
     assert found[1] == ("bsd,mit", 1) and found[2] == ("apache,apache-2.0,mit", 1) and found[3] == ("bsd,gpl", 1)
     assert found[4] == ("apache,apache-2.0,bsd,gpl,mit", 1) and found[5] == ("mit", 1)
 
@@ -102,12 +117,37 @@ def test_notice_in_a_third_of_the_rows_or_more(spark):
     bsd, isc = TEMPLATES[6][2], TEMPLATES[11][2]
     for copies in (30, 60, 240):
         rows = [*FILLER, *((1000 + k, f"File {k}. {bsd}") for k in range(copies)), (1, isc), (2, "other text")]
-        found = {r[0]: r[6:] for r in run(spark, rows)}
+        got = run(spark, rows)
+        assert got == brute(rows)
+        found = {r[0]: r[6:] for r in got}
         assert {found[1000 + k] for k in range(copies)} == {("bsd", 1)}
         assert found[1] == ("isc", 1) and found[2] == found[100] == ("", 0)
     assert {r[6:] for r in run(spark, [(k, isc) for k in range(3)])} == {("isc", 1)}
 
 
+def test_notices_that_share_words(spark):
+    text = {label: template for label, _, template in TEMPLATES}
+    first, second, third = text["bsd"], text["bsd-2-clause"], text["bsd-3-clause"]
+    binary, disclaimer = second[: second.index("this software")], second[second.index("this software") :]
+    rows = [
+        *FILLER,
+        (1, f"{first}. {binary.strip()}. {disclaimer.capitalize()}"),
+        (2, f"{first}. {binary.strip()}. 3. {third.capitalize()}. {disclaimer.capitalize()}"),
+        (3, text["lgpl"]),
+        (4, text["agpl"]),
+        (5, text["gpl"]),
+        (6, f"{text['cc0']}. {text['unlicense']}"),
+        (7, f"{text['epl']} v2.0. {text['zlib']}"),
+        (8, "the name of the public domain, neither software nor rights"),
+    ]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    labels = {r[0]: r[6] for r in got}
+    assert labels[1] == "bsd,bsd-2-clause" and labels[2] == "bsd,bsd-3-clause"
+    assert (labels[3], labels[4], labels[5]) == ("lgpl", "agpl", "gpl")
+    assert (labels[6], labels[7], labels[8]) == ("cc0,unlicense", "epl,zlib", "")
+
+
 def test_given_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     assert run(spark, rows) == brute(rows)
