@@ -226,7 +226,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     found = materialize(texts.select("key", "text").mapInArrow(_scan(length), _OCCURRENCES), "anchors")
 
-    repeated = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Stored before they are joined, as the planner splits a hot key only where both sides of a join come from a shuffle.
+    repeated = materialize(found.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
     met = materialize(found.join(repeated, "anchor"), "repeated")
     place = F.struct("key", "first", "last", "at").alias("place")
     contexts = met.select("anchor", "context", place).groupBy("anchor", "context").agg(
@@ -234,6 +235,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     )
     contexts = materialize(contexts, "contexts")
     several = contexts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    several = materialize(several, "several-contexts")
     wanted = (
         contexts.join(several, "anchor")
         .select("place.*", "anchor", (F.col("contexts") > HOT_CONTEXTS).alias("hot"))
@@ -253,7 +255,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     spans = (
         whole.union(sorted_spans)
         .groupBy("key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        .agg(F.collect_set(F.struct("low", "high")).alias("spans"))
         .mapInArrow(_merged, "key long, spans binary")
     )
     spans = materialize(spans, "spans")
