@@ -185,8 +185,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose texts score ``threshold`` or more, with all their columns."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_blocks(batches):
-            yield rows.filter(pa.array(_probabilities(model, rows, data, offsets) >= threshold))
-
-    return docs.mapInArrow(run, docs.schema)
+    # Only the texts go to Python and only scores come back; the rows wait in Spark, so no text is copied back.
+    @F.arrow_udf("double")
+    def probability(text: pa.Array) -> pa.Array:
+        rows = pa.record_batch([text], ["text"])
+        parts = [_probabilities(model, block, data, offsets) for block, data, offsets in text_blocks([rows])]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.filter(probability(F.col("text")) >= threshold)

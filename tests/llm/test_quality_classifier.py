@@ -85,3 +85,18 @@ def test_conflicting_labels_and_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "e f g h"), (2, "i j"), (3, "")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
     assert score(docs, fit(docs, labels)).count() == 4
+
+
+def test_accepted_sends_only_texts_to_python(spark, given):
+    from stratamart.llm.quality_classifier import accepted
+
+    docs, labels = given
+    model = fit(docs, labels, sample=40)
+    kept = accepted(docs, model)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert kept.columns == docs.columns
+    want = score(docs, model).filter("predicted = 1").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in want)
+    rows = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (2, "", "y")], "doc_id long, text string, lang string")
+    assert accepted(rows, model).count() == (3 if 1 / (1 + np.exp(-model.bias)) >= 0.3 else 0)
