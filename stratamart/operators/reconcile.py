@@ -67,9 +67,15 @@ def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """
     columns = [c for c in left.columns if c in right.columns]
     left, right = left.select(*columns), right.select(*columns)
-    rows = max(left.count(), right.count())
+    # One pass over each side: digests of the finest leaves, from which the row counts and coarser leaves follow.
+    finest = [materialize(leaf_digests(table, key, columns, MOST_LEAVES), "digests") for table in (left, right)]
+    rows = max(int(d.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) for d in finest)
     leaves = 1 << max(0, min(MOST_LEAVES, max(1, rows // LEAF_ROWS)).bit_length() - 1)
-    stored = [materialize(leaf_digests(table, key, columns, leaves), "digests") for table in (left, right)]
+    shift = int(math.log2(MOST_LEAVES)) - int(math.log2(leaves))
+    stored = [
+        d.groupBy(F.shiftrightunsigned("leaf", shift).alias("leaf")).agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,0)").alias("total"))
+        for d in finest
+    ]
     suspect = differing_leaves(*stored, leaves)
 
     def of_key(table: DataFrame, side: str) -> DataFrame:

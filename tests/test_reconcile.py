@@ -48,3 +48,14 @@ def test_only_differing_leaves_are_descended_to(spark):
     digests = [leaf_digests(spark.createDataFrame(rows, SCHEMA), "k", ["k", "v", "w"], 512) for rows in (ROWS, changed)]
     assert len(differing_leaves(*digests, 512)) == 1
     assert differing_leaves(digests[0], digests[0], 512) == []
+
+
+def test_each_layer_is_read_once_before_the_differing_keys(spark, monkeypatch):
+    # The row counts come from the stored digests, not from another pass over each layer.
+    a, b = (spark.createDataFrame(rows, SCHEMA) for rows in (ROWS, ROWS[:-1]))
+
+    def refused(self):
+        raise AssertionError("a layer was counted on its own")
+
+    monkeypatch.setattr(type(a), "count", refused)
+    assert [(r.k, r.regra) for r in differences(a, b, "k").collect()] == [(4999, "falta")]
