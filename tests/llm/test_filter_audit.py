@@ -100,6 +100,29 @@ def test_matrix_counts_every_word(spark, monkeypatch):
     assert seen == {i: dict(Counter(words(text))) for i, (_, text, _) in enumerate(ROWS)}
 
 
+def test_rows_of_the_matrix_are_blocks_of_a_shard(spark, monkeypatch):
+    import stratamart.llm.term_matrix as module
+
+    monkeypatch.setattr(module, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(module, "BLOCK_BYTES", 500)
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(i % 40)) for i in range(1200)] + [None, "long " * 300 + "w1", "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    dictionary, matrix = term_matrix(docs, ["doc_id"])
+    names = {r.term_id: r.term for r in dictionary.collect()}
+    assert sorted(names.values()) == sorted({w for t in texts for w in words(t)})
+    blocks = matrix.collect()
+    shards = {b.shard for b in blocks}
+    assert len(shards) > 3 and len(blocks) > 10 * len(shards)
+    seen = {}
+    for block in blocks:
+        assert len(block.rows) == 1 or sum(len(texts[r.doc_id] or "") for r in block.rows) <= 500
+        assert len(block.indptr) == len(block.rows) + 1
+        assert len(block.columns) == len(block.counts) == block.indptr[-1]
+        for row, a, b in zip(block.rows, block.indptr, block.indptr[1:], strict=False):
+            seen[row.doc_id] = {names[c]: n for c, n in zip(block.columns[a:b], block.counts[a:b], strict=True)}
+    assert seen == {i: dict(Counter(words(t))) for i, t in enumerate(texts)}
+
+
 def test_copies_of_one_text_in_a_third_of_all_rows(spark):
     rows = [(i, LONG if i % 3 == 0 else f"text {i}", "s") for i in range(600)]
     docs, labels = frames(spark, rows, [])
